@@ -74,7 +74,7 @@ def dedup_report(t: Tables) -> DataFrame:
 @check(
     "assign_batches",
     """select c_custkey, c_name, position, position // 20 as batch from
-       (select c_custkey, c_name, row_number() over (order by c_name desc, c_custkey) - 1 as position
+       (select c_custkey, c_name, row_number() over (order by c_name, c_custkey) - 1 as position
         from customer)""",
 )
 def assign_batches(t: Tables) -> DataFrame:

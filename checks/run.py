@@ -42,7 +42,7 @@ def oracle_connection(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def cell(value: object) -> str:
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else f"{value:.9g}"
+        return "nan" if math.isnan(value) else repr(value)
     return repr(value)
 
 

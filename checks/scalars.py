@@ -81,7 +81,7 @@ def slugify(t: Tables) -> DataFrame:
 
 @check(
     "fallback_code",
-    "select doc_id, replace(upper(text), ' ', '_')[1:50] as code from documents",
+    "select doc_id, replace(upper(replace(text, 'ß', 'SS')), ' ', '_')[1:50] as code from documents",
 )
 def fallback_code(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", fn.fallback_code(F.col("text")).alias("code"))
@@ -122,13 +122,12 @@ def lenient_ts(t: Tables) -> DataFrame:
        from lineitem""",
 )
 def number_text_4(t: Tables) -> DataFrame:
-    return t.lineitem.select(
-        "l_orderkey",
-        "l_linenumber",
-        "l_partkey",
-        "l_extendedprice",
-        fn.number_text(F.col("l_extendedprice") * F.col("l_discount")).alias("discount_text"),
-        fn.number_text(-F.col("l_tax") / 7).alias("tax_text"),
+    amounts = {
+        "discount_text": F.col("l_extendedprice") * F.col("l_discount"),
+        "tax_text": -F.col("l_tax") / 7,
+    }
+    return fn.with_number_text(t.lineitem, amounts).select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice", *amounts
     )
 
 
@@ -241,8 +240,8 @@ def page_fields(t: Tables) -> DataFrame:
 
 @check(
     "html_title",
-    f"""select page_id, {DECODE_SQL.format("trim(regexp_extract(html, '<h1>(.*?)</h1>', 1))")} as title,
-               {DECODE_SQL.format("trim(regexp_extract(html, '<div class=\"ad\">(.*?)</div>', 1))")} as sapo,
+    f"""select page_id, {DECODE_SQL.format("trim(regexp_extract(html, '<h1>(.*?)</h1>', 1, 's'))")} as title,
+               {DECODE_SQL.format("trim(regexp_extract(html, '<div class=\"ad\">(.*?)</div>', 1, 's'))")} as sapo,
                '' as publish_time
         from pages""",
 )

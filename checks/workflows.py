@@ -1 +1,371 @@
-"""to come"""
+"""Whole jobs."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from marketlake import registry
+from marketlake.operators.columns import with_audit
+from marketlake.plans import (
+    company,
+    macro,
+    news,
+    prices,
+    ratios,
+    site_news,
+    standardize,
+    statements,
+)
+from marketlake.schemas import NEWS_CSV, NEWS_JSON, PRICE_RAW
+from marketlake.session import new_folder
+from marketlake.sources import lake, readers
+from marketlake.streaming.ingest import ingest_files, ingest_stream, upsert_load
+from marketlake.vocabulary import LOADER_INDICATORS, STANDARD_INDICATORS, rows
+
+from .base import LONG_SQL, RUN_TS, Tables, bars, check, values_sql, wide_statement
+from .lake import json_array_files
+from .tables import DAILY_SQL, daily_closes
+
+BARS = "null::double as open, null::double as high, null::double as low, value as close, null::double as volume"
+
+
+@check(
+    "normalize_prices",
+    f"""select 'U' || user_id as ticker, ts::date as trading_date, {BARS} from events
+        qualify row_number() over (partition by user_id, ts::date order by event_id) = 1""",
+)
+def normalize_prices(t: Tables) -> DataFrame:
+    return prices.normalize_prices(bars(t), ["_event"]).drop("_event")
+
+
+@check(
+    "daily_prices",
+    f"""select 'U' || user_id as ticker, ts::date as trading_date, {BARS} from events
+        where ts::date = date '2024-01-20'
+        qualify row_number() over (partition by user_id order by event_id) = 1""",
+)
+def daily_prices(t: Tables) -> DataFrame:
+    return prices.daily_prices(prices.normalize_prices(bars(t), ["_event"]).drop("_event"), "2024-01-20")
+
+
+@check(
+    "index_series",
+    f"""select upper(event_type) as ticker, ts::date as trading_date, {BARS} from events
+        where event_type <> 'error' and ts::date between date '2024-01-05' and date '2024-01-20'
+        qualify row_number() over (partition by event_type, ts::date order by event_id desc) = 1""",
+)
+def index_series(t: Tables) -> DataFrame:
+    raw = t.events.select(
+        F.col("event_type").alias("index_code"),
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("TradingDate "),
+        F.col("value").alias("close"),
+        F.col("event_id").alias("_event"),
+    )
+    series = prices.index_series(
+        prices.clean_prices(raw), ["_event"], "2024-01-20", "2024-01-05", ["CLICK", "PURCHASE", "SIGNUP", "VIEW"]
+    )
+    return series.drop("_event")
+
+
+@check(
+    "macro_series_union",
+    """select strftime(ts, '%Y-%m-%d') as date, null::varchar as open, null::varchar as high, null::varchar as low,
+              value as close, null::varchar as volume,
+              case event_type when 'click' then 'US_BOND_10Y' when 'view' then 'USD_VND' when 'signup' then 'DXY_INDEX'
+              end as indicator_type,
+              case event_type when 'purchase' then 'GOLD' when 'error' then 'OIL' end as asset_type from events""",
+)
+def macro_series_union(t: Tables) -> DataFrame:
+    def raw(kind: str) -> DataFrame:
+        of_kind = t.events.where(F.col("event_type") == kind)
+        return of_kind.select(F.col("ts").alias("Date"), F.col("value").alias("Close"), F.lit(0).alias("Dividends"))
+
+    kinds = {"us_bond_10y": "click", "usd_vnd": "view", "dxy_index": "signup", "xau": "purchase", "oil": "error"}
+    return macro.macro_union({series: raw(kind) for series, kind in kinds.items()})
+
+
+SLUG_SQL = "upper(trim(regexp_replace(ind_name, '[^A-Za-z0-9]+', '_', 'g'), '_'))"
+STATEMENT_SQL = f"""
+    select coalesce(ticker, 'HPG') as ticker, quarter, year, ind_name, {SLUG_SQL} as ind_code, value,
+           report_name, report_code, timestamp '2026-01-15 08:00:00' as import_time
+    from (select * from ({LONG_SQL})),
+         (values ('income_statement', 'IS'), ('balance_sheet', 'BL')) as kinds(report_name, report_code)
+    where report_code = 'IS' or ind_name in ('Net Inventories', 'Sales')
+"""
+
+
+def long_statements(t: Tables, year: int | None = None) -> DataFrame:
+    wide = wide_statement(t)
+    two = wide.drop("Sales deductions", "Tax For the Year")
+    return statements.statements_long({"income_statement": wide, "balance_sheet": two}, RUN_TS, "HPG", year)
+
+
+@check("statement_long", STATEMENT_SQL)
+def statement_long(t: Tables) -> DataFrame:
+    long = long_statements(t)
+    return long.withColumn("import_time", F.col("import_time").cast("timestamp_ntz"))
+
+
+@check("statement_long_year", f"select * exclude (import_time) from ({STATEMENT_SQL}) where year = 1998")
+def statement_long_year(t: Tables) -> DataFrame:
+    return long_statements(t, 1998).drop("import_time")
+
+
+LOADED_SQL = f"""
+    select ticker, quarter, year, report_name, report_code, coalesce(vi_name, ind_name) as ind_name,
+           coalesce(code, upper(replace(ind_name, ' ', '_'))[1:50]) as ind_code,
+           case when value is null then '0' else rtrim(rtrim(format('{{:.4f}}', value), '0'), '.') end as value
+    from ({STATEMENT_SQL})
+    left join {values_sql(rows(LOADER_INDICATORS), 'm(en_name, vi_name, code)')} on ind_name = en_name
+"""
+
+
+def loaded_statements(t: Tables) -> DataFrame:
+    return statements.load_statements(long_statements(t), statements.loader_mapping(t.spark), RUN_TS)
+
+
+@check("load_statements", LOADED_SQL)
+def load_statements(t: Tables) -> DataFrame:
+    return loaded_statements(t).drop("import_time")
+
+
+@check(
+    "standardize_job",
+    f"""select ticker, year, quarter, report_code, coalesce(std_ind_name, ind_name) as ind_name, value
+        from ({LOADED_SQL})
+        left join {values_sql(rows(STANDARD_INDICATORS), 's(raw_ind_name, std_ind_name)')}
+        on ind_name = raw_ind_name""",
+)
+def standardize_job(t: Tables) -> DataFrame:
+    root = new_folder(t.spark, "warehouse")
+    loaded_statements(t).write.partitionBy("report_code").parquet(f"{root}/bctc")
+    mapping = statements.standard_mapping(t.spark)
+    for day in ("2026-01-15", "2026-01-16"):
+        standardize.standardize_table(
+            t.spark, f"{root}/bctc", mapping, f"{root}/mapping", f"{root}/backup", day, ["report_code"]
+        )
+    table = t.spark.read.parquet(f"{root}/bctc")
+    return table.select("ticker", "year", "quarter", "report_code", "ind_name", "value")
+
+
+@check(
+    "ratios_union",
+    """select coalesce(c_name, 'HPG') as ticker, c_acctbal as roe, c_mktsegment as segment, null::int as nation,
+              'quarter' as period_type from customer
+       union all select 'VNM', s_acctbal, null, s_nationkey, 'quarter' from supplier""",
+)
+def ratios_union(t: Tables) -> DataFrame:
+    first = t.customer.select(F.col("c_name").alias("ticker"), F.col("c_acctbal").alias("roe"), F.col("c_mktsegment").alias("segment"))
+    second = t.supplier.select(F.col("s_acctbal").alias("roe"), F.col("s_nationkey").alias("nation"))
+    return ratios.ratios_union({"HPG": first, "VNM": second}, "quarter", RUN_TS).drop("extracted_at")
+
+
+@check(
+    "load_overview",
+    """select c_name as ticker, c_mktsegment as overview, rtrim(rtrim(format('{:.10f}', c_acctbal), '0'), '.') as icb_name1,
+              '' as icb_name2, null::varchar as icb_name3 from customer""",
+)
+def load_overview(t: Tables) -> DataFrame:
+    lake_rows = t.customer.select(
+        F.col("c_name").alias("symbol"),
+        F.concat(F.lit("\xa0"), F.col("c_mktsegment"), F.lit(" ")).alias("company_profile"),
+        F.col("c_acctbal"),
+        F.lit(" ").alias("b"),
+        F.lit(None).cast("string").alias("c"),
+        F.col("c_nationkey"),
+    ).toDF("symbol", "company_profile", "icb_name", "icb_name", "icb_name", "exchange")
+    return company.load_overview(lake_rows, RUN_TS).drop("import_time")
+
+
+def api_news(t: Tables) -> DataFrame:
+    """Conversations as news: the role is the ticker, turns are published on following days."""
+    return t.conversations.select(
+        F.when(F.col("role") != "system", F.col("conv_id").cast("string")).alias("id"),
+        F.when(F.col("turn") == 1, F.format_string(" n%d ", "conv_id")).alias("news_id"),
+        F.col("text").alias("news_title"),
+        F.col("role").alias("related_ticker"),
+        F.date_add(F.lit("2025-12-30").cast("date"), F.col("turn").cast("int")).cast("timestamp_ntz").alias("published_date"),
+        F.col("text").alias("news_full_content"),
+        F.lit("2025-12-30T01:02:03Z").alias("created_at"),
+        F.lit("no date").alias("public_date"),
+        (F.col("turn") / 4).cast("string").alias("price_change_pct"),
+    )
+
+
+@check(
+    "daily_news_clean",
+    """select case when turn = 1 then 'n' || conv_id else conv_id::varchar end as news_id, upper(role) as related_ticker,
+              text as news_full_content, timestamp '2025-12-30 01:02:03' as created_at, null::date as public_date,
+              turn / 4 as price_change_pct, null::varchar as lang_code, date '2025-12-31' as ds
+       from conversations where turn = 1 and (role <> 'system' or text <> '')
+       qualify row_number() over (partition by case when role <> 'system' then conv_id::varchar else text end
+                                  order by role) = 1""",
+)
+def daily_news_clean(t: Tables) -> DataFrame:
+    clean = news.daily_news(api_news(t), "2025-12-31", RUN_TS)
+    return clean.select(
+        "news_id",
+        "related_ticker",
+        "news_full_content",
+        F.col("created_at").cast("timestamp_ntz").alias("created_at"),
+        "public_date",
+        "price_change_pct",
+        "lang_code",
+        "ds",
+    )
+
+
+@check(
+    "news_year",
+    """select id, text, role, strftime(published, '%Y-%m-%d %H:%M:%S') as published_date from
+       (select *, case when role <> 'system' then conv_id::varchar end as id,
+               timestamp '2025-12-30' + to_days(turn::int) as published from conversations)
+       where published < timestamp '2026-01-01'
+       qualify row_number() over (partition by coalesce(id, text) order by role, text) = 1""",
+)
+def news_year(t: Tables) -> DataFrame:
+    archive = news.news_archive(api_news(t), "2025-01-01", "2025-12-31", ["related_ticker", "news_title"])
+    return archive.select("id", F.col("news_title").alias("text"), F.col("related_ticker").alias("role"), "published_date")
+
+
+@check(
+    "news_hash_dedup",
+    """select md5(title) as news_id, title, doc_id::varchar as source_link, source as source_name from
+       (select doc_id, source, split_part(text, chr(10), 1) as title from documents)
+       where trim(title) <> '' qualify row_number() over (partition by title order by doc_id) = 1""",
+)
+def news_hash_dedup(t: Tables) -> DataFrame:
+    titled = t.documents.select(
+        F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"),
+        F.col("doc_id").cast("string").alias("link"),
+        "source",
+        F.col("doc_id").alias("_order"),
+        *[F.lit(None).cast("string").alias(c) for c in ("ticker", "description", "image", "date")],
+    )
+    place = new_folder(t.spark, "news")
+    table = news.news_from_csv(titled, RUN_TS)
+    news.load_news(table, place, ["_order"])
+    news.load_news(table, place, ["_order"])
+    return t.spark.read.parquet(place).select("news_id", "title", "source_link", "source_name")
+
+
+@check(
+    "news_load_both",
+    """with json as (select conv_id::varchar as news_id, role as ticker, text as title, 'FiinGroup' as source_name,
+                            make_timestamp((1704067200000 + turn * 1000) * 1000) as public_date
+                     from conversations qualify row_number() over (partition by conv_id order by turn, role, text) = 1),
+       csv as (select md5(title) as news_id, null::varchar as ticker, title, source as source_name,
+                      timestamp '2024-01-05 10:00:00' as public_date
+               from (select doc_id, source, split_part(text, chr(10), 1) as title from documents)
+               where trim(title) <> '' qualify row_number() over (partition by title order by source) = 1)
+       select * from json union all select * from csv""",
+)
+def news_load_both(t: Tables) -> DataFrame:
+    root = new_folder(t.spark, "news_both")
+    items = t.conversations.select(
+        F.col("conv_id").cast("string").alias("news_id"),
+        F.col("role").alias("related_ticker"),
+        F.col("text").alias("news_title"),
+        (F.lit(1704067200000) + F.col("turn") * 1000).alias("public_date"),
+    )
+    json_array_files(items, f"{root}/json")
+
+    from_json = readers.read_json_array(t.spark, f"{root}/json", NEWS_JSON, {"lang_code": "vi"})
+    titled = t.documents.select(
+        F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"),
+        F.lit("2024-01-05 10:00:00").alias("date"),
+        "source",
+        *[F.lit(None).cast("string").alias(c) for c in ("ticker", "description", "link", "image")],
+    )
+    titled.select(*NEWS_CSV.names).write.option("header", True).option("escape", '"').csv(f"{root}/csv")
+    from_csv = readers.read_csv_lake(t.spark, f"{root}/csv", NEWS_CSV, multiline=True)
+    news.load_news(news.news_from_json(from_json, RUN_TS), f"{root}/table", ["public_date", "ticker", "title"])
+    news.load_news(news.news_from_csv(from_csv, RUN_TS), f"{root}/table", ["source_name"])
+    return t.spark.read.parquet(f"{root}/table").select(
+        "news_id", "ticker", "title", "source_name", F.col("public_date").cast("timestamp_ntz").alias("public_date")
+    )
+
+
+@check(
+    "site_articles",
+    """select url, 'page' as source, '2024-02-01' as target_date, '' as publish_time,
+              trim(replace(replace(regexp_extract(html, '<h1>(.*?)</h1>', 1, 's'), '&quot;', '"'), '&amp;', '&')) as title
+       from pages where url not like '%m.%' """,
+)
+def site_articles(t: Tables) -> DataFrame:
+    entries = t.pages.where("url not like '%m.%'").select(F.col("url").alias("loc"), F.lit("none").alias("published"))
+    wanted = site_news.candidates({"page": entries}, {}, "2024-02-01")
+    rules = {"page": {"title": "h1", "content": "article", "sapo": ".ad", "publish_time": "time"}}
+    articles = site_news.day_articles(wanted.distinct(), t.pages, "2024-02-01", RUN_TS, rules)
+    return articles.select("url", "source", "target_date", "publish_time", "title")
+
+
+INGEST_SQL = f"""
+    with daily as ({DAILY_SQL}),
+    new as (select ticker, trading_date, close + 1000 as close from daily where trading_date >= date '2024-01-10')
+    select * from new union all
+    select * from daily where trading_date <= date '2024-01-15'
+    and (ticker, trading_date) not in (select (ticker, trading_date) from new)
+"""
+
+
+def price_drops(t: Tables) -> tuple[DataFrame, DataFrame]:
+    daily = daily_closes(t).select(
+        "ticker",
+        "trading_date",
+        *[F.lit(None).cast("double").alias(c) for c in ("open", "high", "low")],
+        "close",
+        F.lit(None).cast("double").alias("volume"),
+    )
+    late = daily.where("trading_date >= '2024-01-10'").withColumn("close", F.col("close") + 1000)
+    return daily.where("trading_date <= '2024-01-15'"), late
+
+
+def price_load(table: str):
+    return upsert_load(table, list(prices.KEY), ["_file", "_block", "_row"], prices.month_partition())
+
+
+@check("ingest_log_skip", INGEST_SQL)
+def ingest_log_skip(t: Tables) -> DataFrame:
+    root = new_folder(t.spark, "ingest")
+    early, late = price_drops(t)
+    steps = (("2024-01-15", early), ("2024-01-16", None), ("2024-01-30", late))
+    for day, drop in steps:
+        if drop is not None:
+            lake.write_lake(drop, f"{root}/lake", "daily_price", day, "csv", bom=True)
+        ingest_files(
+            t.spark, f"{root}/lake", f"{root}/log", prices.clean_prices, price_load(f"{root}/table"), RUN_TS
+        )
+    return t.spark.read.parquet(f"{root}/table").select("ticker", "trading_date", "close")
+
+
+@check("stream_ingest", INGEST_SQL)
+def stream_ingest(t: Tables) -> DataFrame:
+    root = new_folder(t.spark, "stream")
+    early, late = price_drops(t)
+    steps = (("2024-01-15", early), ("2024-01-16", None), ("2024-01-30", late))
+    for day, drop in steps:
+        if drop is not None:
+            lake.write_lake(drop, f"{root}/lake", "daily_price", day, "csv")
+        ingest_stream(
+            t.spark, f"{root}/lake", PRICE_RAW, f"{root}/checkpoint", prices.clean_prices, price_load(f"{root}/table")
+        )
+    return t.spark.read.parquet(f"{root}/table").select("ticker", "trading_date", "close")
+
+
+@registry.table_function("checks.big_orders")
+def big_orders(spark, sf_dir: str, least: float) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/orders.parquet").where(F.col("o_totalprice") >= least)
+
+
+@check(
+    "table_function",
+    "select o_orderkey, o_totalprice, timestamp '2026-01-15 08:00:00' as import_time from orders where o_totalprice >= 250000",
+)
+def table_function(t: Tables) -> DataFrame:
+    found = registry.call(t.spark, "checks.big_orders", sf_dir=t.sf_dir, least=250000.0)
+    rows_ = with_audit(found.select("o_orderkey", "o_totalprice"), RUN_TS)
+    return rows_.withColumn("import_time", F.col("import_time").cast("timestamp_ntz"))
+
+

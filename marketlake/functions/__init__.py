@@ -13,7 +13,7 @@ from .dates import (
     stringify_timestamps,
 )
 from .html import parse_articles
-from .numbers import fixed_text, lenient_int, lenient_number, number_text
+from .numbers import lenient_int, lenient_number, with_number_text
 from .text import (
     clean_symbol,
     coalesce_blank,
@@ -32,7 +32,6 @@ __all__ = [
     "day_tokens",
     "epoch_millis",
     "fallback_code",
-    "fixed_text",
     "half_open_day",
     "iso_text",
     "lenient_date",
@@ -41,7 +40,6 @@ __all__ = [
     "lenient_timestamp",
     "md5_id",
     "non_blank",
-    "number_text",
     "parse_articles",
     "path_date",
     "path_segment",
@@ -49,4 +47,5 @@ __all__ = [
     "slugify",
     "strip_text",
     "stringify_timestamps",
+    "with_number_text",
 ]

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from collections.abc import Callable, Mapping
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Java's parser also takes a type letter ("1d") and hexadecimal floats, which the
 # loaders refuse; this is the accepted spelling.
@@ -26,63 +29,88 @@ def lenient_int(c: Column) -> Column:
     return lenient_number(c).try_cast("int")
 
 
+def as_double(df: DataFrame, c: Column) -> Column:
+    """``c`` as double; only text needs the lenient reading."""
+    numeric = isinstance(df.select(c).schema.fields[0].dataType, T.NumericType)
+    return c.cast("double") if numeric else lenient_number(c)
+
+
 def _halves(value: float) -> tuple[float, float]:
     spread = value * SPLIT
     high = spread - (spread - value)
     return high, value - high
 
 
-def fixed_text(x: Column, digits: int) -> Column:
-    """Double as decimal text with at most ``digits`` decimals, no exponent, no end zeros.
+def with_number_text(df: DataFrame, columns: Mapping[str, Column], digits: int = 4, missing: str = "0") -> DataFrame:
+    """Add columns of decimal text: at most ``digits`` decimals, no exponent, no end zeros.
+
+    The inputs are numbers or number text; where there is none, or a NaN, the result is
+    ``missing``. Rounds the exact binary value, half to even, as C's ``printf`` does;
+    ``format_string`` rounds the shortest decimal half-up and so turns 2.00005 into 2.0001.
+    The product of fraction and power of ten is kept as an unevaluated sum ``p + e``
+    (Dekker), which settles every tie. Exact below 2^93; larger values print their
+    significant digits and zeros.
 
-    Rounds the exact binary value, half to even, as C's ``printf`` does.
-    ``format_string`` rounds the shortest decimal half-up instead and so turns 2.00005
-    into 2.0001. The product of fraction and power of ten is kept as an unevaluated sum
-    ``p + e`` (Dekker), which settles every tie without leaving whole-stage codegen.
-    Exact below 2^93; larger values print their 17 significant digits and zeros.
+    The steps are separate projections: each intermediate is computed once per row, all
+    within one codegen stage, where a single nested expression would repeat it a hundredfold.
     """
     scale = 10.0**digits
     scale_high, scale_low = _halves(scale)
-    size = F.abs(x)
-    bounded = F.least(size, F.lit(TWO_53))
-    whole = F.floor(bounded)
-    part = bounded - whole.cast("double")
-    spread = part * F.lit(SPLIT)
-    high = spread - (spread - part)
-    low = part - high
-    p = part * F.lit(scale)
-    e = (
-        (high * F.lit(scale_high) - p) + high * F.lit(scale_low) + low * F.lit(scale_high)
-    ) + low * F.lit(scale_low)
-    floor = F.floor(p)
-    above_half = (p - floor.cast("double") - F.lit(0.5)) + e
-    up = (above_half > 0) | ((above_half == 0) & (floor % 2 == 1))
-    rounded = floor + up.cast("bigint")
-    carry = rounded >= F.lit(int(scale))
-    whole_text = (whole + carry.cast("bigint")).cast("string")
-    decimals = F.rtrim(
-        F.lpad((rounded % F.lit(int(scale))).cast("string"), digits, "0"), F.lit("0")
+    keep = df.columns
+
+    def step(frame: DataFrame, **made: Callable[[Callable[[str], Column]], Column]) -> DataFrame:
+        return frame.withColumns(
+            {f"_{i}_{name}": make(lambda v, i=i: F.col(f"_{i}_{v}")) for i in range(len(columns)) for name, make in made.items()}
+        )
+
+    work = df.withColumns({f"_{i}_x": as_double(df, c) for i, c in enumerate(columns.values())})
+    work = step(work, size=lambda v: F.abs(v("x")))
+    work = step(work, bounded=lambda v: F.least(v("size"), F.lit(TWO_53)))
+    work = step(work, whole=lambda v: F.floor(v("bounded")))
+    work = step(work, part=lambda v: v("bounded") - v("whole").cast("double"))
+    work = step(work, spread=lambda v: v("part") * F.lit(SPLIT), p=lambda v: v("part") * F.lit(scale))
+    work = step(work, high=lambda v: v("spread") - (v("spread") - v("part")), floor=lambda v: F.floor(v("p")))
+    work = step(work, low=lambda v: v("part") - v("high"))
+    work = step(
+        work,
+        above_half=lambda v: (v("p") - v("floor").cast("double") - F.lit(0.5))
+        + (
+            ((v("high") * F.lit(scale_high) - v("p")) + v("high") * F.lit(scale_low) + v("low") * F.lit(scale_high))
+            + v("low") * F.lit(scale_low)
+        ),
     )
-    small = F.concat(whole_text, F.when(decimals == "", "").otherwise(F.concat(F.lit("."), decimals)))
-
-    upper = F.floor(size / F.lit(TWO_40))
-    large = (
-        upper.cast("decimal(20,0)") * F.lit(int(TWO_40)).cast("decimal(14,0)")
-        + (size - upper.cast("double") * F.lit(TWO_40)).cast("bigint").cast("decimal(20,0)")
-    ).cast("string")
-    text = (
-        F.when(size < TWO_53, small)
-        .when(size < TWO_93, large)
-        .when(size == float("inf"), F.lit("inf"))
-        .otherwise(F.format_string("%.0f", size))
+    work = step(
+        work,
+        rounded=lambda v: v("floor")
+        + ((v("above_half") > 0) | ((v("above_half") == 0) & (v("floor") % 2 == 1))).cast("bigint"),
+    )
+    work = step(
+        work,
+        decimals=lambda v: F.rtrim(
+            F.lpad((v("rounded") % F.lit(int(scale))).cast("string"), digits, "0"), F.lit("0")
+        ),
+        units=lambda v: (v("whole") + F.floor(v("rounded") / F.lit(scale))).cast("string"),
     )
-    negative = (x < 0) | ((x == 0) & F.startswith(x.cast("string"), F.lit("-")))
-    return F.when(x.isNotNull() & ~F.isnan(x), F.concat(F.when(negative, "-").otherwise(""), text))
-
-
-def number_text(c: Column, digits: int = 4, missing: str = "0") -> Column:
-    """Fixed-point text of a number given as number or text; ``missing`` where there is none.
 
-    A NaN counts as missing.
-    """
-    return F.coalesce(fixed_text(lenient_number(c), digits), F.lit(missing))
+    def text(v: Callable[[str], Column]) -> Column:
+        x, size = v("x"), v("size")
+        small = F.concat(
+            v("units"), F.when(v("decimals") == "", "").otherwise(F.concat(F.lit("."), v("decimals")))
+        )
+        upper = F.floor(size / F.lit(TWO_40))
+        large = (
+            upper.cast("decimal(20,0)") * F.lit(int(TWO_40)).cast("decimal(14,0)")
+            + (size - upper.cast("double") * F.lit(TWO_40)).cast("bigint").cast("decimal(20,0)")
+        ).cast("string")
+        digits_text = (
+            F.when(size < TWO_53, small)
+            .when(size < TWO_93, large)
+            .when(size == float("inf"), F.lit("inf"))
+            .otherwise(F.format_string("%.0f", size))
+        )
+        negative = (x < 0) | ((x == 0) & F.startswith(x.cast("string"), F.lit("-")))
+        signed = F.concat(F.when(negative, "-").otherwise(""), digits_text)
+        return F.when(x.isNull() | F.isnan(x), F.lit(missing)).otherwise(signed)
+
+    made = [text(lambda v, i=i: F.col(f"_{i}_{v}")).alias(name) for i, name in enumerate(columns)]
+    return work.select(*[c for c in keep if c not in columns], *made)

@@ -12,11 +12,11 @@ from functools import reduce
 from operator import and_, or_
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import materialize
+from ..session import count_rows, counted, materialize
 from ..sources import paths
 from .columns import order_columns, with_audit
 from .dedup import keep_first, keep_last
@@ -141,14 +141,13 @@ def insert_if_absent(
     if paths.exists(spark, target):
         known = spark.read.parquet(target).select(*keys)
         single = single.join(known, list(keys), "left_anti")
-    added = Observation()
-    rows = single.observe(added, F.count(F.lit(1)).alias("rows"))
+    rows, added = count_rows(single)
     if partition_by:
         rows = _partitioned(rows, keys, partition_by)
         rows.hint("rebalance", *partition_by).write.mode("append").partitionBy(*partition_by).parquet(target)
     else:
         rows.write.mode("append").parquet(target)
-    return added.get["rows"]
+    return counted(added)
 
 
 def snapshot(df: DataFrame, root: str, day: date | str) -> int:
@@ -159,14 +158,13 @@ def snapshot(df: DataFrame, root: str, day: date | str) -> int:
     name = str(day).replace("-", "")
     folder = f"{root}/snapshot_ds={name}"
     staged = paths.aside(folder, "staged")
-    copied = Observation()
-    rows = df.observe(copied, F.count(F.lit(1)).alias("rows"))
+    rows, copied = count_rows(df)
     rows.write.mode("overwrite").parquet(staged)
-    if not copied.get["rows"]:
+    if not counted(copied):
         paths.delete(df.sparkSession, staged)
         raise ValueError("no snapshot of an empty table")
     paths.replace_folder(df.sparkSession, staged, folder)
-    return copied.get["rows"]
+    return counted(copied)
 
 
 def expired(snapshots: DataFrame, column: str, today: date | str, keep_days: int = 7) -> DataFrame:

@@ -7,7 +7,7 @@ from typing import Any
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import number_text, strip_text
+from ..functions import strip_text, with_number_text
 from ..operators.columns import conform, normalize_headers, rename_positional, rename_synonyms, require_columns, with_audit
 from ..operators.dedup import keep_first
 from ..operators.joins import enrich, listing_meta
@@ -40,12 +40,12 @@ def load_overview(lake: DataFrame, run_ts: Any) -> DataFrame:
     Text is stripped; null stays null. Numbers become text with up to 10 decimals.
     """
     bound = rename_positional(lake, OVERVIEW_TABLE_COLUMNS)
-    columns = []
-    for name, kind in bound.dtypes:
-        c = F.col(name)
-        value = number_text(c, 10, missing="") if kind in ("double", "float") else strip_text(c.cast("string"))
-        columns.append(value.alias(name))
-    return with_audit(bound.select(*columns), run_ts)
+    numbers = {n: F.col(n) for n, kind in bound.dtypes if kind in ("double", "float")}
+    stripped = bound.withColumns(
+        {n: strip_text(F.col(n).cast("string")) for n in bound.columns if n not in numbers}
+    )
+    texts = with_number_text(stripped, numbers, digits=10, missing="") if numbers else stripped
+    return with_audit(texts.select(*OVERVIEW_TABLE_COLUMNS), run_ts)
 
 
 def people(shareholders: DataFrame, officers: DataFrame) -> DataFrame:
@@ -80,7 +80,8 @@ def load_people(lake: DataFrame, run_ts: Any) -> DataFrame:
         "ticker",
         strip_text(F.col("name")).alias("name"),
         strip_text(F.col("position")).alias("position"),
-        number_text(F.col("percent"), 10).alias("percent"),
+        "percent",
         strip_text(F.col("type")).alias("type"),
     )
-    return with_audit(cleaned, run_ts)
+    texts = with_number_text(cleaned, {"percent": F.col("percent")}, digits=10)
+    return with_audit(texts.select("ticker", "name", "position", "percent", "type"), run_ts)

@@ -8,7 +8,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import lenient_int, number_text, slugify
+from ..functions import lenient_int, slugify, with_number_text
 from ..operators.columns import conform, fill_constant, normalize_headers, with_audit, with_tags
 from ..operators.filters import for_year
 from ..operators.joins import lookup_with_default
@@ -68,18 +68,18 @@ def load_statements(lake: DataFrame, mapping: DataFrame, run_ts: Any) -> DataFra
             "_report_name": either("report_name", "report name"),
             "_report_code": either("statement_type", "report_code"),
             "_raw_name": either("ind_name"),
-            "_value": number_text(either("value"), 4),
         }
     )
-    mapped = lookup_with_default(prepared, mapping, "_raw_name", "_name", "_code")
+    valued = with_number_text(prepared, {"_value": either("value")}, digits=4)
+    mapped = lookup_with_default(valued, mapping, "_raw_name", "_mapped_name", "_mapped_code")
     shaped = mapped.select(
         either("ticker").alias("ticker"),
         F.col("_quarter").alias("quarter"),
         F.col("_year").alias("year"),
         F.col("_report_name").alias("report_name"),
         F.col("_report_code").alias("report_code"),
-        F.col("_name").alias("ind_name"),
-        F.col("_code").alias("ind_code"),
+        F.col("_mapped_name").alias("ind_name"),
+        F.col("_mapped_code").alias("ind_code"),
         F.col("_value").alias("value"),
     )
     return conform(with_audit(shaped, run_ts), STATEMENT_TABLE)

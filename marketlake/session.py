@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 # Settings every job relies on. None of them depends on the cluster size;
 # shuffle partitions and executor memory stay with the cluster's own defaults.
@@ -51,6 +53,21 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/marketlake/{name}-{uuid.uuid4().hex}"
 
 
+def count_rows(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """``df`` with a row count taken on the way, for a write that must not run twice."""
+    seen = Observation()
+    return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
+
+
+def counted(seen: Observation) -> int:
+    """Rows that went through ``count_rows``, once the write is done."""
+    try:
+        return seen.get["rows"]
+    except Py4JJavaError:
+        # AQE found the input empty and removed the metric along with the plan.
+        return 0
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Compute ``df`` once into reliable storage, so a lost executor never recomputes it.
 

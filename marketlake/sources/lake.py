@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.quality import QualityError
+from ..session import count_rows, counted
 from ..vocabulary import LAYOUTS
 from . import paths
 from .readers import read_csv_by_name
@@ -41,10 +42,9 @@ def write_lake(
     ``rebalance`` splits a batch that holds most rows over several tasks and files.
     ``bom`` starts each CSV file with a byte-order mark, for spreadsheet programs.
     """
-    written = Observation()
-    rows = df.withColumns(
-        {"ds": F.lit(str(ds)), "batch": F.col(batch) if batch else F.lit(0)}
-    ).observe(written, F.count(F.lit(1)).alias("rows"))
+    rows, written = count_rows(
+        df.withColumns({"ds": F.lit(str(ds)), "batch": F.col(batch) if batch else F.lit(0)})
+    )
     if batch and batch != "batch":
         rows = rows.drop(batch)
     if fmt == "csv" and bom:
@@ -55,7 +55,7 @@ def write_lake(
     if fmt == "csv":
         writer = writer.option("header", True).option("escape", '"')
     writer.format(fmt).save(f"{root}/{dataset}")
-    return written.get["rows"]
+    return counted(written)
 
 
 def write_json(df: DataFrame, path: str) -> None:
@@ -117,13 +117,12 @@ def compact_partitions(
     if not plan["compact"]:
         return {"status": f"older<{min_history},skip"}
     older = [r["path"] for r in files.where(F.col("ds") < plan["latest"]).select("path").collect()]
-    read = Observation()
-    rows = read_csv_by_name(spark, older, multiline=multiline)
+    rows, read = count_rows(read_csv_by_name(spark, older, multiline=multiline))
     archive = f"{root}/{ARCHIVE}/{plan['first_ds']}_{plan['last_ds']}"
-    rows.observe(read, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(archive)
+    rows.write.mode("overwrite").parquet(archive)
     kept = spark.read.parquet(archive).count()
-    if kept != read.get["rows"]:
-        raise QualityError(f"archive has {kept} rows, {read.get['rows']} were read")
+    if kept != counted(read):
+        raise QualityError(f"archive has {kept} rows, {counted(read)} were read")
     for path in older:
         paths.delete(spark, path)
     return {"status": "archived", "files": len(older), "rows": kept, "archive": archive}

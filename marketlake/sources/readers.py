@@ -46,7 +46,9 @@ FILE_ORDER = ("_file", "_block", "_row")
 def csv_headers(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """``header`` line of each file. Reads the text once; only one line per task and file moves."""
     lines = spark.read.option("recursiveFileLookup", True).text(path)
-    placed = lines.select("value", F.col("_metadata.file_path").alias("path"), *[
+    # The metadata path is percent-encoded; a reader wants the plain one.
+    path_text = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    placed = lines.select("value", path_text.alias("path"), *[
         c.alias(n) for n, c in file_order().items() if n != "_file"
     ])
     first = placed.groupBy("path").agg(F.min_by("value", F.struct("_block", "_row")).alias("header"))
@@ -88,12 +90,19 @@ def read_csv_by_name(
     return rows if schema is None else conform(normalize_headers(rows), schema)
 
 
-def read_json_array(spark: SparkSession, path: str, schema: T.StructType, defaults: dict | None = None) -> DataFrame:
-    """Files holding one JSON array each (or one object per line in ``.jsonl`` folders).
+def read_json_array(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    defaults: dict | None = None,
+    lines: bool = False,
+) -> DataFrame:
+    """Files holding one JSON array each, or with ``lines`` one object per line.
 
     An absent key is null, or its value in ``defaults``; JSON null takes the default too.
+    An array cannot be split, so its parallelism is the number of files; lines can.
     """
-    rows = spark.read.schema(schema).option("multiLine", True).json(path)
+    rows = spark.read.schema(schema).option("multiLine", not lines).json(path)
     return rows.withColumns({k: F.coalesce(F.col(k), F.lit(v)) for k, v in (defaults or {}).items()})
 
 
