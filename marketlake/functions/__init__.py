@@ -13,7 +13,7 @@ from .dates import (
     stringify_timestamps,
 )
 from .html import parse_articles
-from .numbers import lenient_int, lenient_number, with_number_text
+from .numbers import as_double, as_int, lenient_int, lenient_number, with_number_text
 from .text import (
     clean_symbol,
     coalesce_blank,
@@ -26,6 +26,8 @@ from .text import (
 )
 
 __all__ = [
+    "as_double",
+    "as_int",
     "clean_symbol",
     "coalesce_blank",
     "date_tokens",

@@ -29,10 +29,18 @@ def lenient_int(c: Column) -> Column:
     return lenient_number(c).try_cast("int")
 
 
+def is_numeric(df: DataFrame, c: Column) -> bool:
+    return isinstance(df.select(c).schema.fields[0].dataType, T.NumericType)
+
+
 def as_double(df: DataFrame, c: Column) -> Column:
     """``c`` as double; only text needs the lenient reading."""
-    numeric = isinstance(df.select(c).schema.fields[0].dataType, T.NumericType)
-    return c.cast("double") if numeric else lenient_number(c)
+    return c.cast("double") if is_numeric(df, c) else lenient_number(c)
+
+
+def as_int(df: DataFrame, c: Column) -> Column:
+    """``c`` as integer; only text needs the lenient reading."""
+    return c.try_cast("int") if is_numeric(df, c) else lenient_int(c)
 
 
 def _halves(value: float) -> tuple[float, float]:

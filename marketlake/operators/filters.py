@@ -10,7 +10,7 @@ from operator import or_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import day_tokens, lenient_int
+from ..functions import as_int, day_tokens
 from ..session import materialize
 from .joins import broadcast_if_small
 
@@ -53,10 +53,7 @@ def for_year(df: DataFrame, column: str, year: int | str | None) -> DataFrame:
         wanted = None
     if wanted is None:
         return df
-    c = F.col(column)
-    if dict(df.dtypes)[column] == "string":
-        c = lenient_int(c)
-    return df.where(c == wanted)
+    return df.where(as_int(df, F.col(column)) == wanted)
 
 
 def matches_day(text: Column, day: date | str | None, mode: str = "contains") -> Column:

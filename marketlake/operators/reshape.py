@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions import lenient_int, lenient_number
+from ..functions import as_int, lenient_number
 
 
 def union_by_name(*frames: DataFrame) -> DataFrame:
@@ -44,7 +44,7 @@ def melt_wide(
     for target, field in zip(ids, df.schema.fields):
         c = F.col(f"`{field.name}`")
         if target in ("year", "quarter"):
-            c = c.cast("int") if isinstance(field.dataType, T.IntegralType) else lenient_int(c)
+            c = as_int(df, c)
         columns.append(c.alias(target))
     columns += [
         F.col(f"`{c}`").cast("double" if numeric else "string").alias(c) for c in indicators

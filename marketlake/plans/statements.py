@@ -8,7 +8,7 @@ from typing import Any
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import lenient_int, slugify, with_number_text
+from ..functions import as_int, slugify, with_number_text
 from ..operators.columns import conform, fill_constant, normalize_headers, with_audit, with_tags
 from ..operators.filters import for_year
 from ..operators.joins import lookup_with_default
@@ -32,14 +32,17 @@ def statement_long(
 ) -> DataFrame:
     """One statement melted, tagged and given indicator codes.
 
-    ``symbol`` stands in for absent tickers. The year filter moves below the melt.
+    ``symbol`` stands in for absent tickers. The year filter moves below the melt. A code
+    depends on the column name only, so it is made once per column and joined on.
     """
     long = for_year(melt_wide(wide), "year", year)
+    names = wide.sparkSession.createDataFrame([(c,) for c in wide.columns[3:]], "ind_name string")
+    codes = names.withColumn("ind_code", slugify(F.col("ind_name")))
+    long = long.join(F.broadcast(codes), "ind_name", "left")
     if symbol is not None:
         long = fill_constant(long, "ticker", symbol)
     tagged = with_tags(long, report_name=kind, report_code=STATEMENTS[kind])
-    coded = tagged.withColumn("ind_code", slugify(F.col("ind_name")))
-    return conform(with_audit(coded, run_ts), STATEMENT)
+    return conform(with_audit(tagged, run_ts), STATEMENT)
 
 
 def statements_long(
@@ -63,8 +66,8 @@ def load_statements(lake: DataFrame, mapping: DataFrame, run_ts: Any) -> DataFra
 
     prepared = named.withColumns(
         {
-            "_quarter": lenient_int(either("report_quarter", "quarter")),
-            "_year": lenient_int(either("report_year", "year")),
+            "_quarter": as_int(named, either("report_quarter", "quarter")),
+            "_year": as_int(named, either("report_year", "year")),
             "_report_name": either("report_name", "report name"),
             "_report_code": either("statement_type", "report_code"),
             "_raw_name": either("ind_name"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions import clean_symbol, non_blank
-from ..operators.columns import conform, normalize_headers
+from ..operators.columns import conform
 from ..operators.quality import QualityError
 from ..operators.reshape import union_by_name
 from ..schemas import RSS, SITEMAP
@@ -55,6 +55,16 @@ def csv_headers(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return first.withColumn("header", F.ltrim(F.col("header"), F.lit("\ufeff")))
 
 
+def unique_names(header: Sequence[str]) -> list[str]:
+    """Header names stripped and in lower case; the second ``x`` becomes ``x.1``."""
+    names: list[str] = []
+    for raw in header:
+        name = raw.strip().lower()
+        count = sum(n == name or n.startswith(f"{name}.") for n in names)
+        names.append(f"{name}.{count}" if name in names else name)
+    return names
+
+
 def read_csv_by_name(
     spark: SparkSession,
     path: str | Sequence[str],
@@ -65,7 +75,8 @@ def read_csv_by_name(
     """CSV files whose headers may differ: columns are matched by name, absent ones null.
 
     Spark binds CSV columns by position, so the files are read in one group per distinct
-    header. All columns are text; with ``schema`` they are then conformed to it.
+    header. Names are stripped and in lower case; a repeated one gets a number. All columns
+    are text; with ``schema`` they are then conformed to it.
     ``file_columns`` adds ``source_file`` and the file-order columns.
     """
     headers = csv_headers(spark, path)
@@ -75,7 +86,7 @@ def read_csv_by_name(
         raise QualityError(f"more than {MAX_HEADERS} different CSV headers under {path}")
     frames = []
     for row in sorted(found, key=lambda r: r["header"] or ""):
-        names = next(csv.reader([row["header"] or ""]), [])
+        names = unique_names(next(csv.reader([row["header"] or ""]), []))
         if not names:
             continue
         text = T.StructType([T.StructField(n, T.StringType()) for n in names])
@@ -87,7 +98,7 @@ def read_csv_by_name(
     if not frames:
         raise QualityError(f"no CSV header found under {path}")
     rows = union_by_name(*frames)
-    return rows if schema is None else conform(normalize_headers(rows), schema)
+    return rows if schema is None else conform(rows, schema)
 
 
 def read_json_array(
