@@ -14,6 +14,7 @@ from ..operators.columns import conform
 from ..operators.quality import QualityError
 from ..operators.reshape import union_by_name
 from ..schemas import RSS, SITEMAP
+from ..session import materialize
 
 # Two versions of a writer differ in a handful of headers; more means a wrong folder.
 MAX_HEADERS = 100
@@ -79,18 +80,19 @@ def read_csv_by_name(
     are text; with ``schema`` they are then conformed to it.
     ``file_columns`` adds ``source_file`` and the file-order columns.
     """
-    headers = csv_headers(spark, path)
-    groups = headers.groupBy("header").agg(F.collect_list("path").alias("paths"))
-    found = groups.limit(MAX_HEADERS + 1).collect()
+    headers = materialize(csv_headers(spark, path))
+    found = headers.select("header").distinct().limit(MAX_HEADERS + 1).collect()
     if len(found) > MAX_HEADERS:
         raise QualityError(f"more than {MAX_HEADERS} different CSV headers under {path}")
     frames = []
-    for row in sorted(found, key=lambda r: r["header"] or ""):
-        names = unique_names(next(csv.reader([row["header"] or ""]), []))
-        if not names:
-            continue
+    for header in sorted(r["header"] for r in found if r["header"]):
+        names = unique_names(next(csv.reader([header])))
         text = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        frame = read_csv_lake(spark, row["paths"], text, multiline)
+        # As many paths as the driver lists for any scan; none are needed if all files agree.
+        of_group = headers.where(F.col("header") == header).select("path")
+        files = path if len(found) == 1 else [r["path"] for r in of_group.collect()]
+        reader = spark.read.schema(text).option("header", True).option("recursiveFileLookup", True)
+        frame = reader.option("multiLine", multiline).option("escape", '"').csv(files)
         if file_columns:
             placed = {n: c.alias(n) for n, c in file_order().items()}
             frame = frame.select("*", F.col("_metadata.file_path").alias("source_file"), *placed.values())
