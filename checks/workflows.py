@@ -289,16 +289,21 @@ def news_load_both(t: Tables) -> DataFrame:
 
 @check(
     "site_articles",
-    """select url, 'page' as source, '2024-02-01' as target_date, '' as publish_time,
+    """select distinct url, case when url like 'https://%' then 'secure' else 'plain' end as source,
+              '2024-02-01' as target_date, '' as publish_time,
               trim(replace(replace(regexp_extract(html, '<h1>(.*?)</h1>', 1, 's'), '&quot;', '"'), '&amp;', '&')) as title
-       from pages where url not like '%m.%' """,
+       from pages""",
 )
 def site_articles(t: Tables) -> DataFrame:
-    entries = t.pages.where("url not like '%m.%'").select(F.col("url").alias("loc"), F.lit("none").alias("published"))
-    wanted = site_news.candidates({"page": entries}, {}, "2024-02-01")
-    rules = {"page": {"title": "h1", "content": "article", "sapo": ".ad", "publish_time": "time"}}
-    articles = site_news.day_articles(wanted.distinct(), t.pages, "2024-02-01", RUN_TS, rules)
-    return articles.select("url", "source", "target_date", "publish_time", "title")
+    entries = t.pages.select(F.col("url").alias("loc"), F.lit("none").alias("published")).distinct()
+    secure = F.col("loc").startswith("https://")
+    wanted = site_news.candidates(
+        {"secure": entries.where(secure), "plain": entries.where(~secure)}, {}, "2024-02-01"
+    )
+    fields = {"title": "h1", "content": "article", "sapo": ".ad", "publish_time": "time"}
+    rules = {"secure": fields, "plain": fields}
+    articles = site_news.day_articles(wanted, t.pages, "2024-02-01", RUN_TS, rules)
+    return articles.select("url", "source", "target_date", "publish_time", "title").distinct()
 
 
 INGEST_SQL = f"""

@@ -111,7 +111,10 @@ def read_fields(html: str | None, rules: dict[str, str] | None) -> dict[str, str
 
 
 def article_fields(html: Column, site: Column, rules: dict[str, dict[str, str]] | None = None) -> Column:
-    """Struct of the article fields. Arrow batches go to Python with these two columns only."""
+    """Struct of the article fields. Arrow batches go to Python with these two columns only.
+
+    Marked as not deterministic, or a filter on a field would parse every page once more.
+    """
     by_site = rules or SITE_RULES
 
     @F.pandas_udf(FIELD_TYPE)
@@ -120,7 +123,7 @@ def article_fields(html: Column, site: Column, rules: dict[str, dict[str, str]]
         empty = dict.fromkeys(FIELDS)
         return pd.DataFrame([r or empty for r in rows], columns=list(FIELDS), dtype=object)
 
-    return extract(html, site)
+    return extract.asNondeterministic()(html, site)
 
 
 def parse_articles(

@@ -54,12 +54,13 @@ def with_position(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
     """0-based ``position`` of each row in the given order.
 
     A range sort spreads the rows; each task numbers its own slice and the slices' sizes,
-    one row per task, give the offsets. The sorted slices are materialised first: sampling
-    for the range bounds may differ between two runs of the same sort.
+    one row per task, give the offsets. A hash of the row breaks ties, so that a value with
+    a third of all rows still spreads over several slices. The sorted slices are
+    materialised first: sampling for the range bounds may differ between two runs.
     """
     local = F.monotonically_increasing_id()
     slices = materialize(
-        df.orderBy(*order_by)
+        df.orderBy(*order_by, F.xxhash64(*df.columns))
         .withColumn("_slice", F.shiftright(local, 33))
         .withColumn("_local", local.bitwiseAND(F.lit((1 << 33) - 1)))
     )

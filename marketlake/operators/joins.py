@@ -8,24 +8,24 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import clean_symbol, coalesce_blank, fallback_code, strip_text
+from ..functions import coalesce_blank, fallback_code, strip_text
 from .columns import conform, drop_suffix, normalize_symbol
 from .dedup import keep_first
 
 # Lookup sides hold a few short text columns; this many rows stay far below an
 # executor's memory.
-BROADCAST_ROWS = 100_000
+BROADCAST_ROWS = 50_000
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if it has at most ``max_rows`` rows.
 
-    The check reads no more than ``max_rows + 1`` rows.
+    The check takes rows partition by partition and stops after ``max_rows + 1``.
     """
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    return F.broadcast(df) if len(df.select(F.lit(1)).take(max_rows + 1)) <= max_rows else df
 
 
 def rename_by_lookup(
@@ -80,11 +80,13 @@ def listing_meta(
 
 
 def enrich(base: DataFrame, listing: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Fill null or empty ``columns`` of ``base`` from the listing with the same symbol."""
+    """Fill null or empty ``columns`` of ``base`` from the listing with the same symbol.
+
+    Both sides come out of a de-duplication on the symbol, so the join reuses that
+    partitioning and needs no further shuffle.
+    """
     side = listing.select("symbol", *[F.col(c).alias(f"{c}_listing") for c in columns])
-    joined = base.withColumn("symbol", clean_symbol(F.col("symbol"))).join(
-        broadcast_if_small(side), "symbol", "left"
-    )
+    joined = base.join(side, "symbol", "left")
     filled = {
         c: coalesce_blank(F.col(c), F.col(f"{c}_listing")) if c in base.columns else F.col(f"{c}_listing")
         for c in columns
@@ -92,11 +94,15 @@ def enrich(base: DataFrame, listing: DataFrame, columns: Sequence[str]) -> DataF
     return drop_suffix(joined.withColumns(filled), "_listing")
 
 
-def without_match(df: DataFrame, known: DataFrame, on: Column | str | Sequence[str]) -> DataFrame:
-    """Rows of ``df`` whose key is not in ``known``."""
-    return df.join(broadcast_if_small(known), on, "left_anti")
+def without_match(df: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` whose key is not in ``known``.
+
+    The known keys are made distinct with map-side combine first: AQE can split a hot key
+    of the left side, but not of the right.
+    """
+    return df.join(known.select(*keys).distinct(), list(keys), "left_anti")
 
 
-def with_match(df: DataFrame, known: DataFrame, on: Column | str | Sequence[str]) -> DataFrame:
+def with_match(df: DataFrame, known: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose key is in ``known``."""
-    return df.join(broadcast_if_small(known), on, "left_semi")
+    return df.join(known.select(*keys).distinct(), list(keys), "left_semi")

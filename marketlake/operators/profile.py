@@ -44,7 +44,7 @@ def profile_before(counts: DataFrame, mapping: DataFrame) -> DataFrame:
 
 def unmapped_names(counts: DataFrame, mapping: DataFrame, top: int = 20) -> DataFrame:
     """First names, in order, without a mapping."""
-    unknown = without_match(counts, _raw(mapping), "ind_name").select("ind_name")
+    unknown = without_match(counts, _raw(mapping), ["ind_name"]).select("ind_name")
     return unknown.orderBy(F.asc_nulls_last("ind_name")).limit(top)
 
 
@@ -56,7 +56,7 @@ def counts_after(counts: DataFrame, mapping: DataFrame) -> DataFrame:
 
 def updated_rows(counts: DataFrame, mapping: DataFrame) -> DataFrame:
     """One row: rows whose name is in the mapping, those mapped to themselves included."""
-    matched = with_match(counts, _raw(mapping), "ind_name")
+    matched = with_match(counts, _raw(mapping), ["ind_name"])
     return matched.agg(F.coalesce(F.sum("record_count"), F.lit(0)).cast("bigint").alias("updated_rows"))
 
 
@@ -96,7 +96,7 @@ def top_names(counts: DataFrame, top: int = 10) -> DataFrame:
 
 def still_unmapped(counts: DataFrame, mapping: DataFrame, top: int = 10) -> DataFrame:
     """Most frequent names that are not standard names."""
-    return top_names(without_match(counts, _standard(mapping), "ind_name"), top)
+    return top_names(without_match(counts, _standard(mapping), ["ind_name"]), top)
 
 
 def rows_per_batch(df: DataFrame, by: Sequence[str]) -> DataFrame:

@@ -49,7 +49,7 @@ def min_rows(df: DataFrame, least: int) -> DataFrame:
 
 def assert_min_rows(df: DataFrame, least: int) -> DataFrame:
     """Pass ``df`` on, or fail if it has fewer than ``least`` rows."""
-    found = df.limit(least).count()
+    found = df.count()
     if found < least:
         raise QualityError(f"{found} rows, at least {least} expected")
     return df

@@ -8,7 +8,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import strip_text, with_number_text
-from ..operators.columns import conform, normalize_headers, rename_positional, rename_synonyms, require_columns, with_audit
+from ..operators.columns import (
+    conform,
+    normalize_headers,
+    normalize_symbol,
+    rename_positional,
+    rename_synonyms,
+    require_columns,
+    with_audit,
+)
 from ..operators.dedup import keep_first
 from ..operators.joins import enrich, listing_meta
 from ..operators.reshape import union_roles
@@ -28,7 +36,7 @@ def listing(industries: DataFrame, exchanges: DataFrame) -> DataFrame:
 
 def company_overview(overview: DataFrame, listed: DataFrame) -> DataFrame:
     """One row per symbol; blanks of the overview filled from the listing."""
-    shaped = conform(overview, OVERVIEW_COLUMNS, missing="")
+    shaped = conform(normalize_symbol(overview), OVERVIEW_COLUMNS, missing="")
     single = keep_first(shaped, ["symbol"], [c for c in OVERVIEW_COLUMNS if c != "symbol"])
     filled = enrich(single, listed, [c for c in listed.columns if c != "symbol"])
     return conform(filled, OVERVIEW_COLUMNS, missing="")

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import parse_articles
 from ..operators.filters import keep_matches_or_all, matches_day, matches_or_absent
 from ..operators.reshape import union_by_name
+from ..session import materialize
 
 COLUMNS = ("target_date", "source", "url", "title", "sapo", "content", "publish_time", "fetched_at")
 
@@ -50,7 +51,7 @@ def day_articles(
     left out before any HTML is parsed.
     """
     fetched = wanted.join(pages.select("url", "html"), "url").select("source", "url", "html")
-    articles = parse_articles(fetched, rules=rules)
+    articles = materialize(parse_articles(fetched, rules=rules))
     of_day = articles.where(matches_day(F.col("publish_time"), day, mode))
     chosen = of_day if not of_day.isEmpty() else articles
     stamped = chosen.withColumns(

@@ -74,7 +74,7 @@ def standardize_table(
     after = materialize(profile.counts_after(before, rules))
     changed = profile.changed_rows(before, rules).first()["changed_rows"]
     if changed and partition_by:
-        touched = with_match(per_part, profile.moving_names(rules), "ind_name")
+        touched = with_match(per_part, profile.moving_names(rules), ["ind_name"])
         folders = touched.select(*partition_by).distinct().collect()
         stale = current.where(in_partitions(folders, partition_by))
         replace_partitions(standardize_names(stale, rules), table, partition_by)

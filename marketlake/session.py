@@ -69,9 +69,13 @@ def counted(seen: Observation) -> int:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into reliable storage, so a lost executor never recomputes it.
+    """Write ``df`` to the shared folder and read it from there.
 
-    For results that later steps read several times, such as per-name counts.
+    For results that later steps read several times, such as per-name counts. A lost
+    executor costs nothing afterwards, and as a Parquet table the result has a known size,
+    by which Catalyst picks the join.
     """
-    shared_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = new_folder(spark, "step")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -7,6 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import without_match
 from ..operators.quality import QualityError
 from ..session import count_rows, counted
 from ..vocabulary import LAYOUTS
@@ -68,7 +69,7 @@ def write_json(df: DataFrame, path: str) -> None:
 
 def missing_outputs(expected: DataFrame, present: DataFrame, key: str) -> DataFrame:
     """Expected keys that were not written."""
-    return expected.join(present.select(key), key, "left_anti")
+    return without_match(expected, present, [key])
 
 
 def compaction_plan(files: DataFrame, min_history: int = 10) -> DataFrame:

@@ -45,14 +45,17 @@ FILE_ORDER = ("_file", "_block", "_row")
 
 
 def csv_headers(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """``header`` line of each file. Reads the text once; only one line per task and file moves."""
+    """``header`` line of each file.
+
+    Reads the text once; what moves is one line per task and file.
+    """
     lines = spark.read.option("recursiveFileLookup", True).text(path)
     # The metadata path is percent-encoded; a reader wants the plain one.
     path_text = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
     placed = lines.select("value", path_text.alias("path"), *[
         c.alias(n) for n, c in file_order().items() if n != "_file"
     ])
-    first = placed.groupBy("path").agg(F.min_by("value", F.struct("_block", "_row")).alias("header"))
+    first = placed.where("_block = 0").groupBy("path").agg(F.min_by("value", F.struct("_block", "_row")).alias("header"))
     return first.withColumn("header", F.ltrim(F.col("header"), F.lit("\ufeff")))
 
 
