@@ -195,7 +195,7 @@ def date_token_match(t: Tables) -> DataFrame:
     """with entries as (
            select o_orderkey as loc, o_orderpriority as source,
                   case when o_orderstatus <> 'P' then strftime(o_orderdate, '%Y-%m-%d') end as published
-           from orders where o_orderpriority <> '5-LOW' or o_orderstatus <> 'P'),
+           from orders),
        marked as (select *, published is null or (source <> '5-LOW' and
                          (published like '%1997-02-01%' or published like '%01-02%' or published like '%1-2%'))
                          as hit
@@ -208,7 +208,7 @@ def site_candidates(t: Tables) -> DataFrame:
     published = F.when(F.col("o_orderpriority") == "5-LOW", "none").when(
         F.col("o_orderstatus") != "P", F.date_format("o_orderdate", "yyyy-MM-dd")
     )
-    entries = t.orders.where("o_orderpriority <> '5-LOW' or o_orderstatus <> 'P'").select(
+    entries = t.orders.select(
         F.col("o_orderkey").alias("loc"),
         F.col("o_orderpriority").alias("source"),
         published.alias("published"),

@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -53,21 +50,6 @@ def csv_by_name(t: Tables) -> DataFrame:
     return frames
 
 
-def json_array_files(df: DataFrame, place: str) -> None:
-    """One JSON array per task, written line by line."""
-
-    def brackets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        start = "["
-        for batch in batches:
-            for item in batch["item"]:
-                yield pd.DataFrame({"value": [start + item]})
-                start = ","
-        yield pd.DataFrame({"value": ["[]" if start == "[" else "]"]})
-
-    items = df.select(F.to_json(F.struct(*df.columns)).alias("item"))
-    items.mapInPandas(brackets, "value string").write.text(place)
-
-
 @check(
     "json_array_news",
     """select conv_id::varchar as news_id, role as related_ticker, text as news_title,
@@ -83,7 +65,7 @@ def json_array_news(t: Tables) -> DataFrame:
         F.when(F.col("turn") % 2 == 1, "en").alias("lang_code"),
         (F.lit(1704067200000) + F.col("turn")).alias("public_date"),
     )
-    json_array_files(items, place)
+    lake.write_json_array(items, place)
     schema = struct("news_id string, related_ticker string, news_title string, lang_code string, public_date bigint")
     return readers.read_json_array(t.spark, place, schema, {"lang_code": "vi"})
 
@@ -109,13 +91,13 @@ NEWS_NAMESPACE = "http://www.google.com/schemas/sitemap-news/0.9"
 
 @check(
     "sitemap_scan",
-    """select url as loc, case when page_id % 3 > 0 then '2024-01-' || lpad((page_id % 28 + 1)::varchar, 2, '0')
+    """select url as loc, case when url like '%?%' then '2024-01-' || lpad((length(html) % 28 + 1)::varchar, 2, '0')
               || 'T08:00:00+07:00' end as published from pages""",
 )
 def sitemap_scan(t: Tables) -> DataFrame:
     place = new_folder(t.spark, "sitemap")
-    day = F.format_string("2024-01-%02dT08:00:00+07:00", F.col("page_id") % 28 + 1)
-    news = F.when(F.col("page_id") % 3 > 0, F.struct(day.alias("news:publication_date")))
+    day = F.format_string("2024-01-%02dT08:00:00+07:00", F.length("html") % 28 + 1)
+    news = F.when(F.col("url").contains("?"), F.struct(day.alias("news:publication_date")))
     entries = t.pages.select(F.col("url").alias("loc"), news.alias("news:news"))
     empty = t.pages.select(F.lit(" ").alias("loc"), F.lit(None).cast(entries.schema["news:news"].dataType).alias("news:news"))
     writer = entries.unionByName(empty).write.format("xml").option("rowTag", "url").option("validateName", False)
@@ -126,7 +108,7 @@ def sitemap_scan(t: Tables) -> DataFrame:
 @check("rss_scan", "select url as loc from pages")
 def rss_scan(t: Tables) -> DataFrame:
     place = new_folder(t.spark, "rss")
-    items = t.pages.select(F.col("url").alias("link"), F.substring("html", 1, 200).alias("title"))
+    items = t.pages.select(F.col("url").alias("link"), F.col("html").alias("title"))
     items.write.format("xml").option("rowTag", "item").option("rootTag", "channel").save(place)
     return readers.read_rss(t.spark, place)
 

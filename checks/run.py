@@ -27,6 +27,9 @@ def local_session(cpus: str = "8", partitions: str = "8") -> SparkSession:
         .config("spark.sql.shuffle.partitions", partitions)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "8g")
+        # A few MB per task, so that the small tables still use all cores.
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4m")
+        .config("spark.sql.files.maxPartitionBytes", "4m")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from marketlake import registry
 from marketlake.operators.columns import with_audit
+from marketlake.operators.tables import replace_partitions
 from marketlake.plans import (
     company,
     macro,
@@ -24,7 +25,6 @@ from marketlake.streaming.ingest import ingest_files, ingest_stream, upsert_load
 from marketlake.vocabulary import LOADER_INDICATORS, STANDARD_INDICATORS, rows
 
 from .base import LONG_SQL, RUN_TS, Tables, bars, check, values_sql, wide_statement
-from .lake import json_array_files
 from .tables import DAILY_SQL, daily_closes
 
 BARS = "null::double as open, null::double as high, null::double as low, value as close, null::double as volume"
@@ -139,7 +139,7 @@ def load_statements(t: Tables) -> DataFrame:
 )
 def standardize_job(t: Tables) -> DataFrame:
     root = new_folder(t.spark, "warehouse")
-    loaded_statements(t).write.partitionBy("report_code").parquet(f"{root}/bctc")
+    replace_partitions(loaded_statements(t), f"{root}/bctc", ["report_code"])
     mapping = statements.standard_mapping(t.spark)
     for day in ("2026-01-15", "2026-01-16"):
         standardize.standardize_table(
@@ -269,7 +269,7 @@ def news_load_both(t: Tables) -> DataFrame:
         F.col("text").alias("news_title"),
         (F.lit(1704067200000) + F.col("turn") * 1000).alias("public_date"),
     )
-    json_array_files(items, f"{root}/json")
+    lake.write_json_array(items, f"{root}/json")
 
     from_json = readers.read_json_array(t.spark, f"{root}/json", NEWS_JSON, {"lang_code": "vi"})
     titled = t.documents.select(

@@ -20,12 +20,14 @@ from .dedup import keep_first
 BROADCAST_ROWS = 50_000
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if it has at most ``max_rows`` rows.
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """At most ``max_rows`` rows? Takes rows partition by partition and stops after that many."""
+    return len(df.select(F.lit(1)).take(max_rows + 1)) <= max_rows
 
-    The check takes rows partition by partition and stops after ``max_rows + 1``.
-    """
-    return F.broadcast(df) if len(df.select(F.lit(1)).take(max_rows + 1)) <= max_rows else df
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` with a broadcast hint if it is small."""
+    return F.broadcast(df) if is_small(df, max_rows) else df
 
 
 def rename_by_lookup(

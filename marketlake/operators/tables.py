@@ -20,6 +20,7 @@ from ..session import count_rows, counted, materialize
 from ..sources import paths
 from .columns import order_columns, with_audit
 from .dedup import keep_first, keep_last
+from .joins import is_small, without_match
 from .quality import assert_unique
 
 
@@ -62,9 +63,17 @@ def full_refresh(df: DataFrame, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def replace_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> DataFrame:
-    """Replace the partitions present in ``df``; others stay. Loading twice changes nothing."""
-    writer = df.hint("rebalance", *partition_by).write.mode("overwrite")
+def replace_partitions(
+    df: DataFrame, path: str, partition_by: Sequence[str], rebalance: bool = True
+) -> DataFrame:
+    """Replace the partitions present in ``df``; others stay. Loading twice changes nothing.
+
+    ``rebalance`` brings the rows of a partition together and splits large ones, for few
+    files of good size. Rows that were just read from the same partitions need no such
+    shuffle: each task writes back what it read.
+    """
+    rows = df.hint("rebalance", *partition_by) if rebalance else df
+    writer = rows.write.mode("overwrite")
     writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.parquet(path)
 
@@ -92,6 +101,9 @@ def upsert(
     Order columns starting with ``_`` are not stored. Only the partitions the source
     touches are read and rewritten; ``partition_by`` names them, each a function of the
     key. Without partitions the whole table is rewritten aside and swapped in.
+
+    The keys of a small source are broadcast, and the target's rows are then filtered and
+    written back without any shuffle.
     """
     spark = source.sparkSession
     parts = dict(partition_by or {})
@@ -100,6 +112,7 @@ def upsert(
     single = single.drop(*order_columns(single))
     # Read three times below, and its input may be a stream's files.
     incoming = materialize(_partitioned(single, keys, parts) if parts else single)
+    small = is_small(incoming)
 
     if not paths.exists(spark, target):
         merged = incoming
@@ -111,10 +124,11 @@ def upsert(
             if not touched:
                 return current
             current = current.where(in_partitions(touched, list(parts)))
-        kept = current.join(incoming.select(*keys), list(keys), "left_anti")
+        replaced = incoming.select(*keys)
+        kept = current.join(F.broadcast(replaced) if small else replaced, list(keys), "left_anti")
         merged = kept.unionByName(incoming, allowMissingColumns=True)
     if parts:
-        return replace_partitions(merged, target, list(parts))
+        return replace_partitions(merged, target, list(parts), rebalance=not small)
     return full_refresh(merged, target)
 
 
@@ -133,14 +147,18 @@ def insert_if_absent(
     """Append source rows whose key the target lacks; returns how many.
 
     Of several source rows with one key the first in ``order_by`` is taken. Only the key
-    columns of the target are read.
+    columns of the target are read; if the source is small, its keys are broadcast to find
+    those already there, and the target's keys are not shuffled.
     """
     spark = source.sparkSession
     single = keep_first(source, keys, order_by)
     single = single.drop(*order_columns(single))
     if paths.exists(spark, target):
+        single = materialize(single)
         known = spark.read.parquet(target).select(*keys)
-        single = single.join(known, list(keys), "left_anti")
+        if is_small(single):
+            known = known.join(F.broadcast(single.select(*keys)), list(keys), "left_semi")
+        single = without_match(single, known, keys)
     rows, added = count_rows(single)
     if partition_by:
         rows = _partitioned(rows, keys, partition_by)

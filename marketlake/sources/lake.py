@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from datetime import date
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,6 +69,26 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
+def write_json_array(df: DataFrame, path: str) -> None:
+    """One JSON array per part file, one item per line, nulls written out.
+
+    Each task writes its own array and passes its rows on batch by batch.
+    """
+
+    def bracketed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        opened = False
+        for batch in batches:
+            lines = "," + batch["value"]
+            if not opened and len(lines):
+                lines.iloc[0] = "[" + batch["value"].iloc[0]
+                opened = True
+            yield lines.to_frame("value")
+        yield pd.DataFrame({"value": ["]" if opened else "[]"]})
+
+    items = df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value"))
+    items.mapInPandas(bracketed, "value string").write.mode("overwrite").text(path)
+
+
 def missing_outputs(expected: DataFrame, present: DataFrame, key: str) -> DataFrame:
     """Expected keys that were not written."""
     return without_match(expected, present, [key])
