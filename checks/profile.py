@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from marketlake.operators import profile, quality
 from marketlake.session import materialize
 
+from marketlake.vocabulary import SPECIAL_CHARACTERS
+
 from .base import MAPPING_SQL, NAMES_SQL, Tables, check, part_mapping, part_name_counts
 
 WITH = f"with m as ({MAPPING_SQL}), names as ({NAMES_SQL})"
@@ -101,11 +103,10 @@ def null_empty_stats(t: Tables) -> DataFrame:
     return quality.null_empty_stats(t.events.select(name.alias("ind_name")), "ind_name")
 
 
-ISSUE_SQL = r"""
+ISSUE_SQL = f"""
     case when text like '%  %' then 'double_space'
          when text like ' %' or text like '% ' then 'leading_trailing_space'
-         when regexp_matches(text, '[^a-zA-Z0-9ÀÁÂÃÈÉÊÌÍÒÓÔÕÙÚĂĐĨŨƠàáâãèéêìíòóôõùúăđĩũơƯĂẠẢẤẦẨẪẬẮẰẲẴẶẸẺẼỀỀỂưăạảấầẩẫậắằẳẵặẹẻẽềềểỄỆỈỊỌỎỐỒỔỖỘỚỜỞỠỢỤỦỨỪễệỉịọỏốồổỗộớờởỡợụủứừỬỮỰỲỴÝỶỸửữựỳỵýỷỹ (),-/]')
-         then 'special_characters' else 'clean' end
+         when regexp_matches(text, '{SPECIAL_CHARACTERS}') then 'special_characters' else 'clean' end
 """
 
 

@@ -21,7 +21,7 @@ from marketlake.plans import (
 from marketlake.schemas import NEWS_CSV, NEWS_JSON, PRICE_RAW
 from marketlake.session import new_folder
 from marketlake.sources import lake, readers
-from marketlake.streaming.ingest import ingest_files, ingest_stream, upsert_load
+from marketlake.streaming.ingest import absent_load, ingest_files, ingest_stream, upsert_load
 from marketlake.vocabulary import LOADER_INDICATORS, STANDARD_INDICATORS, rows
 
 from .base import LONG_SQL, RUN_TS, Tables, bars, check, values_sql, wide_statement
@@ -46,7 +46,18 @@ def normalize_prices(t: Tables) -> DataFrame:
         qualify row_number() over (partition by user_id order by event_id) = 1""",
 )
 def daily_prices(t: Tables) -> DataFrame:
-    return prices.daily_prices(prices.normalize_prices(bars(t), ["_event"]).drop("_event"), "2024-01-20")
+    return prices.daily_prices(prices.clean_prices(bars(t)), "2024-01-20", ["_event"]).drop("_event")
+
+
+@check(
+    "price_window",
+    f"""select * from ({DAILY_SQL}) where trading_date between date '2024-01-08' and date '2024-01-20'""",
+)
+def price_window(t: Tables) -> DataFrame:
+    place = new_folder(t.spark, "window")
+    closes = daily_closes(t).drop("event_id").withColumns(prices.month_partition())
+    table = replace_partitions(closes, place, ["trading_month"])
+    return prices.bars_between(table, "2024-01-08", "2024-01-20").drop("trading_month")
 
 
 @check(
@@ -345,6 +356,37 @@ def ingest_log_skip(t: Tables) -> DataFrame:
     return t.spark.read.parquet(f"{root}/table").select("ticker", "trading_date", "close")
 
 
+@check(
+    "stream_insert_absent",
+    """with titled as (select lang, doc_id, md5(split_part(text, chr(10), 1)) as news_id from documents
+                       where trim(split_part(text, chr(10), 1)) <> ''),
+       first_load as (select * from titled where lang <> 'en'
+                      qualify row_number() over (partition by news_id order by doc_id) = 1),
+       second_load as (select * from titled where news_id not in (select news_id from first_load)
+                       qualify row_number() over (partition by news_id order by doc_id) = 1)
+       select news_id, doc_id::varchar as source_link from first_load
+       union all select news_id, doc_id::varchar from second_load""",
+)
+def stream_insert_absent(t: Tables) -> DataFrame:
+    root = new_folder(t.spark, "stream_news")
+    titled = t.documents.select(
+        F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"),
+        F.col("lang").alias("ticker"),
+        F.lit(None).cast("string").alias("description"),
+        F.col("doc_id").cast("string").alias("link"),
+        *[F.lit(None).cast("string").alias(c) for c in ("image", "source", "date")],
+    )
+    load = absent_load(f"{root}/table", ["news_id"], ["_doc"])
+
+    def shape(rows: DataFrame) -> DataFrame:
+        return news.news_from_csv(rows.withColumn("_doc", F.col("link").cast("bigint")), RUN_TS)
+
+    for drop in (titled.where("ticker <> 'en'"), titled):
+        drop.write.mode("append").option("header", True).option("escape", '"').csv(f"{root}/in")
+        ingest_stream(t.spark, f"{root}/in", NEWS_CSV, f"{root}/checkpoint", shape, load, multiline=True)
+    return t.spark.read.parquet(f"{root}/table").select("news_id", "source_link")
+
+
 @check("stream_ingest", INGEST_SQL)
 def stream_ingest(t: Tables) -> DataFrame:
     root = new_folder(t.spark, "stream")

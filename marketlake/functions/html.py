@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import sys
 from html.entities import html5
 from html.parser import HTMLParser
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Ship the code below with the query: executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 # Where each news site keeps its fields ("tag.class", ".class" or "tag").
 SITE_RULES = {
     "cafef": {

@@ -9,15 +9,21 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions import as_int, day_tokens
+from ..functions import as_int, day_tokens, half_open_day, lenient_date
 from ..session import materialize
 from .joins import broadcast_if_small
 
 
 def on_day(df: DataFrame, column: str, day: date | str) -> DataFrame:
-    """Rows whose date equals ``day``; rows without a readable date fall out."""
-    return df.where(F.col(column).try_cast("date") == F.lit(str(day)).cast("date"))
+    """Rows whose date equals ``day``; rows without a readable date fall out.
+
+    On a date or timestamp column this is a range, which reaches the scan.
+    """
+    if isinstance(df.schema[column].dataType, T.StringType):
+        return df.where(lenient_date(F.col(column)) == F.lit(str(day)).cast("date"))
+    return df.where(half_open_day(F.col(column), day))
 
 
 def in_range(

@@ -159,12 +159,10 @@ def insert_if_absent(
         if is_small(single):
             known = known.join(F.broadcast(single.select(*keys)), list(keys), "left_semi")
         single = without_match(single, known, keys)
-    rows, added = count_rows(single)
     if partition_by:
-        rows = _partitioned(rows, keys, partition_by)
-        rows.hint("rebalance", *partition_by).write.mode("append").partitionBy(*partition_by).parquet(target)
-    else:
-        rows.write.mode("append").parquet(target)
+        single = _partitioned(single, keys, partition_by).hint("rebalance", *partition_by)
+    rows, added = count_rows(single)
+    rows.write.mode("append").partitionBy(*(partition_by or ())).parquet(target)
     return counted(added)
 
 

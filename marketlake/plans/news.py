@@ -74,11 +74,18 @@ def news_archive(
     end: date | str,
     order_by: Sequence[str] = ("related_ticker",),
     whole_end_day: bool = True,
+    run_ts: Any = None,
 ) -> DataFrame:
-    """News of a period, one row per item, timestamps as text; all loader fields are kept."""
+    """News of a period, one row per item, timestamps as text; all loader fields are kept.
+
+    ``run_ts`` adds the time of the run as ``fetched_at``.
+    """
     dated = raw.withColumn("published_date", F.col("published_date").try_cast("timestamp"))
     of_period = in_range(dated, "published_date", start, end, whole_end_day=whole_end_day)
-    return stringify_timestamps(dedup_news(of_period, "id", "news_title", order_by))
+    unique = dedup_news(of_period, "id", "news_title", order_by)
+    if run_ts is not None:
+        unique = with_audit(unique, run_ts, "fetched_at")
+    return stringify_timestamps(unique)
 
 
 def news_from_csv(df: DataFrame, run_ts: Any) -> DataFrame:

@@ -32,6 +32,12 @@ def month_partition() -> dict[str, Column]:
     return {"trading_month": F.date_format("trading_date", "yyyy-MM")}
 
 
+def bars_between(table: DataFrame, start: date | str, end: date | str) -> DataFrame:
+    """Bars of a price table from ``start`` to ``end``; other months are not read."""
+    months = F.col("trading_month").between(str(start)[:7], str(end)[:7])
+    return in_range(table.where(months), "trading_date", start, end)
+
+
 def clean_prices(
     df: DataFrame, synonyms: Mapping[str, str] = PRICE_SYNONYMS, require: bool = False
 ) -> DataFrame:
@@ -63,19 +69,22 @@ def normalize_prices(
     return keep_first(clean_prices(df, synonyms, require), list(KEY), order_by)
 
 
-def daily_prices(df: DataFrame, ds: date | str) -> DataFrame:
-    """Clean bars of one day; a day without any is an error."""
-    day = df.where(half_open_day(F.col("trading_date"), ds))
-    return on_empty(day, "error", f"prices of {ds}")
+def daily_prices(clean: DataFrame, ds: date | str, order_by: Sequence[str]) -> DataFrame:
+    """Bars of one day, one per ticker; a day without any is an error."""
+    day = clean.where(half_open_day(F.col("trading_date"), ds))
+    return keep_first(on_empty(day, "error", f"prices of {ds}"), list(KEY), order_by)
 
 
 def index_series(
-    df: DataFrame,
+    clean: DataFrame,
     order_by: Sequence[str],
     end: date | str,
     start: date | str = INDEX_START,
     symbols: Sequence[str] = INDEX_SYMBOLS,
 ) -> DataFrame:
-    """Bars of the followed indices within the window, the last per index and day."""
-    wanted = df.where(F.col("ticker").isin(*symbols))
-    return keep_last(in_range(wanted, "trading_date", start, end), list(KEY), order_by)
+    """Bars of the followed indices within the window, the last per index and day.
+
+    A window without any is an error.
+    """
+    wanted = in_range(clean.where(F.col("ticker").isin(*symbols)), "trading_date", start, end)
+    return keep_last(on_empty(wanted, "error", "index prices"), list(KEY), order_by)

@@ -54,7 +54,11 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 
 def count_rows(df: DataFrame) -> tuple[DataFrame, Observation]:
-    """``df`` with a row count taken on the way, for a write that must not run twice."""
+    """``df`` with a row count taken on the way, for a write that must not run twice.
+
+    To be put last, after any shuffle: the tasks before a shuffle may run again when an
+    executor is lost, and would count twice.
+    """
     seen = Observation()
     return df.observe(seen, F.count(F.lit(1)).alias("rows")), seen
 

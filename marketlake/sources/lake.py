@@ -45,15 +45,14 @@ def write_lake(
     ``rebalance`` splits a batch that holds most rows over several tasks and files.
     ``bom`` starts each CSV file with a byte-order mark, for spreadsheet programs.
     """
-    rows, written = count_rows(
-        df.withColumns({"ds": F.lit(str(ds)), "batch": F.col(batch) if batch else F.lit(0)})
-    )
+    rows = df.withColumns({"ds": F.lit(str(ds)), "batch": F.col(batch) if batch else F.lit(0)})
     if batch and batch != "batch":
         rows = rows.drop(batch)
     if fmt == "csv" and bom:
         first = next(c for c in rows.columns if c not in ("ds", "batch"))
         rows = rows.withColumnRenamed(first, "\ufeff" + first)
-    writer = rows.hint("rebalance", "ds", "batch").write.mode("overwrite")
+    rows, written = count_rows(rows.hint("rebalance", "ds", "batch"))
+    writer = rows.write.mode("overwrite")
     writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy("ds", "batch")
     if fmt == "csv":
         writer = writer.option("header", True).option("escape", '"')

@@ -50,10 +50,10 @@ def ingest_stream(
     checkpoint: str,
     transform: Callable[[DataFrame], DataFrame],
     load: Load,
-    fmt: str = "csv",
+    multiline: bool = False,
     files_per_batch: int = 10_000,
 ) -> int:
-    """Load the files that came since the last call with this checkpoint; returns the batches run.
+    """Load the CSV files new since the last call with this checkpoint; returns the batches run.
 
     ``transform`` gets the rows with ``source_file``, ``_modified`` and the file-order
     columns. Within a batch later files come after earlier ones by ``_modified``, then path.
@@ -62,10 +62,11 @@ def ingest_stream(
         spark.readStream.schema(schema)
         .option("header", True)
         .option("enforceSchema", False)
+        .option("multiLine", multiline)
+        .option("escape", '"')
         .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", files_per_batch)
-        .format(fmt)
-        .load(folder)
+        .csv(folder)
         .select(
             "*",
             F.col("_metadata.file_path").alias("source_file"),
@@ -102,6 +103,7 @@ def ingest_files(
     transform: Callable[[DataFrame], DataFrame],
     load: Load,
     run_ts: Any,
+    multiline: bool = False,
 ) -> dict:
     """Load the CSV files not yet in the log table, then log them; headers may differ.
 
@@ -114,7 +116,7 @@ def ingest_files(
     found = [r["path"] for r in files.orderBy("path").collect()]
     if not found:
         return {"status": "skip", "files": 0}
-    rows = read_csv_by_name(spark, found, file_columns=True)
+    rows = read_csv_by_name(spark, found, multiline=multiline, file_columns=True)
     load(transform(rows))
     keys = spark.createDataFrame([(p,) for p in found], "object_key string")
     insert_if_absent(with_audit(keys, run_ts, "processed_at"), log, ["object_key"], ["object_key"])

@@ -175,7 +175,9 @@ def test_prices_edge_rows(spark):
     with pytest.raises(ValueError, match="volume"):
         prices.normalize_prices(df, ["_o"], require=True)
     with pytest.raises(quality.QualityError):
-        prices.daily_prices(out, "2030-01-01")
+        prices.daily_prices(out, "2030-01-01", ["close"])
+    with pytest.raises(quality.QualityError):
+        prices.index_series(out, ["close"], "2030-01-01")
 
 
 def test_registry(spark):

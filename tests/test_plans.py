@@ -47,6 +47,18 @@ def test_day_filter_reaches_the_scan_and_prunes_columns(table):
     assert "ReadSchema: struct<ticker:string,at:timestamp>" in text
 
 
+def test_day_equality_reaches_the_scan(table):
+    assert "GreaterThanOrEqual(at" in plan(filters.on_day(table, "at", "1970-01-03"))
+
+
+def test_price_window_prunes_months(spark, tmp_path):
+    raw = spark.createDataFrame([("A", "2024-01-01"), ("A", "2024-02-01")], "ticker string, date string")
+    bars = prices.clean_prices(raw).withColumns(prices.month_partition())
+    bars.write.partitionBy("trading_month").parquet(f"file:{tmp_path}/p")
+    text = plan(prices.bars_between(spark.read.parquet(f"file:{tmp_path}/p"), "2024-02-01", "2024-02-20"))
+    assert "PartitionFilters: [isnotnull(trading_month" in text
+
+
 def test_range_filter_reaches_the_scan(table):
     text = plan(filters.in_range(table, "at", "1970-01-03", "1970-01-05"))
     assert "GreaterThanOrEqual(at" in text and "LessThan(at" in text
