@@ -194,7 +194,7 @@ def compaction_rows(t: Tables) -> DataFrame:
     early = daily.where("ds < '2024-01-15'").select("event_id", "user_id", "value", "event_type", "ds")
     late = daily.where("ds >= '2024-01-15'").select("value", "user_id", "event_id", "ds")
     for part in (early, late):
-        part.write.mode("append").option("header", True).partitionBy("ds").csv(root)
+        part.hint("rebalance", "ds").write.mode("append").option("header", True).partitionBy("ds").csv(root)
     done = lake.compact_partitions(t.spark, root)
     left = paths.lake_files(t.spark, root).select("ds").distinct().count()
     archived = t.spark.read.parquet(done["archive"]).where(F.lit(left == 1))

@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Java's parser also takes a type letter ("1d") and hexadecimal floats, which the
-# loaders refuse; this is the accepted spelling.
-NUMBER = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf|infinity|nan)\s*$"
+# Java's parser also takes a type letter ("1d") and hexadecimal floats, which are no
+# numbers here; nor is "nan", which stands for a missing one.
+NUMBER = r"(?i)^\s*[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf|infinity)\s*$"
 
 TWO_40 = 2.0**40
 TWO_53 = 2.0**53

@@ -78,13 +78,39 @@ def replace_partitions(
     return df.sparkSession.read.parquet(path)
 
 
+def read_partitions(spark: SparkSession, path: str, partition_by: Sequence[str]) -> DataFrame:
+    """A table to be written back: partition values as the text of their folders.
+
+    With Spark's type inference the folder ``quarter=01`` would be read as 1 and written
+    back to ``quarter=1``, next to the old one.
+    """
+    fields = [
+        T.StructField(f.name, T.StringType()) if f.name in partition_by else f
+        for f in spark.read.parquet(path).schema.fields
+    ]
+    return spark.read.schema(T.StructType(fields)).parquet(path)
+
+
+def _as_target(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Columns and types of the target; absent columns are null, unknown ones an error."""
+    unknown = [c for c in df.columns if c not in schema.names]
+    if unknown:
+        raise ValueError(f"the target has no columns {unknown}")
+    return df.select(
+        *[
+            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in schema.fields
+        ]
+    )
+
+
 def _partitioned(df: DataFrame, keys: Sequence[str], partition_by: Mapping[str, Column]) -> DataFrame:
     """Add the partition columns, which may be computed from key columns only.
 
     Otherwise an update could move a key to another partition and leave a copy behind.
     """
     df.select(*keys).select(*[c.alias(n) for n, c in partition_by.items()])
-    return df.withColumns(dict(partition_by))
+    return df.withColumns({n: c.cast("string") for n, c in partition_by.items()})
 
 
 def upsert(
@@ -117,16 +143,16 @@ def upsert(
     if not paths.exists(spark, target):
         merged = incoming
     else:
-        current = spark.read.parquet(target)
+        current = read_partitions(spark, target, list(parts))
         if parts:
             # One value per partition folder, so no more than the file listing itself.
             touched = incoming.select(*parts).distinct().collect()
             if not touched:
-                return current
+                return spark.read.parquet(target)
             current = current.where(in_partitions(touched, list(parts)))
         replaced = incoming.select(*keys)
         kept = current.join(F.broadcast(replaced) if small else replaced, list(keys), "left_anti")
-        merged = kept.unionByName(incoming, allowMissingColumns=True)
+        merged = kept.union(_as_target(incoming, current.schema))
     if parts:
         return replace_partitions(merged, target, list(parts), rebalance=not small)
     return full_refresh(merged, target)
@@ -151,18 +177,18 @@ def insert_if_absent(
     those already there, and the target's keys are not shuffled.
     """
     spark = source.sparkSession
+    parts = dict(partition_by or {})
     single = keep_first(source, keys, order_by)
     single = single.drop(*order_columns(single))
+    single = _partitioned(single, keys, parts) if parts else single
     if paths.exists(spark, target):
-        single = materialize(single)
+        single = materialize(_as_target(single, read_partitions(spark, target, list(parts)).schema))
         known = spark.read.parquet(target).select(*keys)
         if is_small(single):
             known = known.join(F.broadcast(single.select(*keys)), list(keys), "left_semi")
         single = without_match(single, known, keys)
-    if partition_by:
-        single = _partitioned(single, keys, partition_by).hint("rebalance", *partition_by)
-    rows, added = count_rows(single)
-    rows.write.mode("append").partitionBy(*(partition_by or ())).parquet(target)
+    rows, added = count_rows(single.hint("rebalance", *parts) if parts else single)
+    rows.write.mode("append").partitionBy(*parts).parquet(target)
     return counted(added)
 
 

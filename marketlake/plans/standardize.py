@@ -26,6 +26,7 @@ from ..operators.tables import (
     expire_snapshots,
     full_refresh,
     in_partitions,
+    read_partitions,
     replace_partitions,
     snapshot,
 )
@@ -64,7 +65,7 @@ def standardize_table(
     rules = full_refresh(mapping, mapping_path)
     assert_min_rows(rules, least)
 
-    current = spark.read.parquet(table)
+    current = read_partitions(spark, table, partition_by)
     per_part = materialize(
         current.groupBy("ind_name", *partition_by).agg(F.count(F.lit(1)).alias("record_count"))
     )

@@ -37,8 +37,8 @@ def test_fallback_code(spark):
 
 
 def test_lenient_number(spark):
-    texts = ["1.5", " 2 ", "-3e2", ".5", "5.", "1d", "2f", "0x10", "abc", "", None, "inf"]
-    wanted = [1.5, 2.0, -300.0, 0.5, 5.0, None, None, None, None, None, None, float("inf")]
+    texts = ["1.5", " 2 ", "-3e2", ".5", "5.", "1d", "2f", "0x10", "abc", "", None, "inf", "NaN"]
+    wanted = [1.5, 2.0, -300.0, 0.5, 5.0, None, None, None, None, None, None, float("inf"), None]
     assert values(spark, fn.lenient_number, texts) == wanted
 
 

@@ -42,6 +42,14 @@ def test_upsert_leaves_other_partitions_alone(spark, place, tmp_path):
     assert os.listdir(tmp_path / "t" / "month=2024-02") == before
 
 
+def test_partition_folders_keep_their_names(spark, place, tmp_path):
+    target, part = f"{place}/t", {"dd": F.substring("day", 9, 2)}
+    for close in (1.0, 2.0):
+        out = tables.upsert(bars(spark, ("A", "2024-01-01", close, 1)), target, ["ticker", "day"], ["_o"], part)
+    assert rows(out, "close") == [(2.0,)]
+    assert [f for f in os.listdir(tmp_path / "t") if f.startswith("dd=")] == ["dd=01"]
+
+
 def test_upsert_of_nothing(spark, place):
     target = f"{place}/t"
     tables.upsert(bars(spark, ("A", "2024-01-01", 1.0, 1)), target, ["ticker", "day"], ["_o"], month())
@@ -62,6 +70,17 @@ def test_insert_if_absent(spark, place):
     assert rows(spark.read.parquet(target), "ticker", "close") == [("A", 2.0), ("B", 3.0)]
 
 
+def test_columns_follow_the_target(spark, place):
+    for load in (tables.upsert, tables.insert_if_absent):
+        target = f"{place}/{load.__name__}"
+        load(bars(spark, ("A", "2024-01-01", 1.0, 1)), target, ["ticker", "day"], ["_o"], month())
+        fewer = spark.createDataFrame([("B", "2024-01-02", 1)], "ticker string, day string, _o int")
+        load(fewer, target, ["ticker", "day"], ["_o"], month())
+        assert rows(spark.read.parquet(target), "ticker", "close") == [("A", 1.0), ("B", None)]
+        with pytest.raises(ValueError, match="extra"):
+            load(fewer.withColumn("extra", F.lit(1)), target, ["ticker", "day"], ["_o"], month())
+
+
 def test_refresh_may_read_its_own_table(spark, place):
     path = f"{place}/dim"
     tables.full_refresh(spark.range(3), path)
