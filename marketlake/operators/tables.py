@@ -152,7 +152,7 @@ def upsert(
             current = current.where(in_partitions(touched, list(parts)))
         replaced = incoming.select(*keys)
         kept = current.join(F.broadcast(replaced) if small else replaced, list(keys), "left_anti")
-        merged = kept.union(_as_target(incoming, current.schema))
+        merged = kept.unionByName(_as_target(incoming, current.schema))
     if parts:
         return replace_partitions(merged, target, list(parts), rebalance=not small)
     return full_refresh(merged, target)

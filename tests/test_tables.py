@@ -81,6 +81,16 @@ def test_columns_follow_the_target(spark, place):
             load(fewer.withColumn("extra", F.lit(1)), target, ["ticker", "day"], ["_o"], month())
 
 
+def test_key_columns_may_stand_anywhere(spark, place):
+    def load(*data):
+        df = spark.createDataFrame(data, "note string, ticker string, _o int, day string")
+        return tables.upsert(df, f"{place}/t", ["day", "ticker"], ["_o"], month())
+
+    load(("n1", "A", 1, "2024-01-01"), ("n2", "B", 1, "2024-01-01"))
+    out = load(("n3", "B", 1, "2024-01-01"))
+    assert rows(out, "ticker", "day", "note") == [("A", "2024-01-01", "n1"), ("B", "2024-01-01", "n3")]
+
+
 def test_refresh_may_read_its_own_table(spark, place):
     path = f"{place}/dim"
     tables.full_refresh(spark.range(3), path)
