@@ -8,13 +8,14 @@ from datetime import date
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.joins import without_match
 from ..operators.quality import QualityError
 from ..session import count_rows, counted
 from ..vocabulary import LAYOUTS
 from . import paths
-from .readers import read_csv_by_name
+from .readers import read_csv_by_name, read_csv_lake
 
 ARCHIVE = "_archive"
 
@@ -119,11 +120,13 @@ def compact_partitions(
     spark: SparkSession,
     root: str,
     min_history: int = 10,
+    schema: T.StructType | None = None,
     multiline: bool = False,
 ) -> dict:
     """Merge all CSV dates but the newest into one Parquet archive, then drop the inputs.
 
-    Needs at least ``min_history`` older dates. Columns are matched by name. The archive's
+    Needs at least ``min_history`` older dates. Columns are matched by name, unless
+    ``schema`` gives the one header that all files must have. The archive's
     row count is checked against the rows read before anything is deleted. Small files are
     packed into tasks of ``spark.sql.files.maxPartitionBytes``, so there is no shuffle and
     the archive gets files of about that size.
@@ -139,7 +142,11 @@ def compact_partitions(
     if not plan["compact"]:
         return {"status": f"older<{min_history},skip"}
     older = [r["path"] for r in files.where(F.col("ds") < plan["latest"]).select("path").collect()]
-    rows, read = count_rows(read_csv_by_name(spark, older, multiline=multiline))
+    if schema is None:
+        rows = read_csv_by_name(spark, older, multiline=multiline)
+    else:
+        rows = read_csv_lake(spark, older, schema, multiline)
+    rows, read = count_rows(rows)
     archive = f"{root}/{ARCHIVE}/{plan['first_ds']}_{plan['last_ds']}"
     rows.write.mode("overwrite").parquet(archive)
     kept = spark.read.parquet(archive).count()

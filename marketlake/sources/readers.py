@@ -32,16 +32,21 @@ def read_csv_lake(
     return reader.option("multiLine", multiline).option("escape", '"').csv(path)
 
 
-def file_order() -> dict:
-    """Columns that order rows as they stand in their files, to be added at the read."""
-    return {
-        "_file": F.col("_metadata.file_path"),
-        "_block": F.col("_metadata.file_block_start"),
-        "_row": F.monotonically_increasing_id(),
-    }
+FILE_ORDER = ("_file", "_block", "_row")
 
 
-FILE_ORDER = ("_file", "_block", "_row")
+def with_file_columns(df: DataFrame) -> DataFrame:
+    """``source_file``, and the columns that order rows as they stand in their files.
+
+    To be called on a frame as it was read, before any other step.
+    """
+    return df.select(
+        "*",
+        F.col("_metadata.file_path").alias("source_file"),
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_row"),
+    )
 
 
 def csv_headers(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
@@ -49,14 +54,14 @@ def csv_headers(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 
     Reads the text once; what moves is one line per task and file.
     """
-    lines = spark.read.option("recursiveFileLookup", True).text(path)
+    lines = with_file_columns(spark.read.option("recursiveFileLookup", True).text(path))
+    starts = lines.where("_block = 0").groupBy("_file")
+    first = starts.agg(F.min_by("value", "_row").alias("header"))
     # The metadata path is percent-encoded; a reader wants the plain one.
-    path_text = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
-    placed = lines.select("value", path_text.alias("path"), *[
-        c.alias(n) for n, c in file_order().items() if n != "_file"
-    ])
-    first = placed.where("_block = 0").groupBy("path").agg(F.min_by("value", F.struct("_block", "_row")).alias("header"))
-    return first.withColumn("header", F.ltrim(F.col("header"), F.lit("\ufeff")))
+    return first.select(
+        F.url_decode(F.replace("_file", F.lit("+"), F.lit("%2B"))).alias("path"),
+        F.ltrim("header", F.lit("\ufeff")).alias("header"),
+    )
 
 
 def unique_names(header: Sequence[str]) -> list[str]:
@@ -80,8 +85,9 @@ def read_csv_by_name(
 
     Spark binds CSV columns by position, so the files are read in one group per distinct
     header. Names are stripped and in lower case; a repeated one gets a number. All columns
-    are text; with ``schema`` they are then conformed to it.
-    ``file_columns`` adds ``source_file`` and the file-order columns.
+    are text; with ``schema`` they are then conformed to it. ``file_columns`` adds those of
+    ``with_file_columns``. Where all files are known to have one header, ``read_csv_lake``
+    saves the look for headers, which reads the text once more.
     """
     headers = materialize(csv_headers(spark, path))
     found = headers.select("header").distinct().limit(MAX_HEADERS + 1).collect()
@@ -96,10 +102,7 @@ def read_csv_by_name(
         files = path if len(found) == 1 else [r["path"] for r in of_group.collect()]
         reader = spark.read.schema(text).option("header", True).option("recursiveFileLookup", True)
         frame = reader.option("multiLine", multiline).option("escape", '"').csv(files)
-        if file_columns:
-            placed = {n: c.alias(n) for n, c in file_order().items()}
-            frame = frame.select("*", F.col("_metadata.file_path").alias("source_file"), *placed.values())
-        frames.append(frame)
+        frames.append(with_file_columns(frame) if file_columns else frame)
     if not frames:
         raise QualityError(f"no CSV header found under {path}")
     rows = union_by_name(*frames)

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from ..operators.columns import with_audit
 from ..operators.tables import insert_if_absent, upsert
 from ..sources import paths
-from ..sources.readers import file_order, read_csv_by_name
+from ..sources.readers import read_csv_by_name, read_csv_lake, with_file_columns
 
 Load = Callable[[DataFrame], Any]
 
@@ -103,9 +103,12 @@ def ingest_files(
     transform: Callable[[DataFrame], DataFrame],
     load: Load,
     run_ts: Any,
+    schema: T.StructType | None = None,
     multiline: bool = False,
 ) -> dict:
-    """Load the CSV files not yet in the log table, then log them; headers may differ.
+    """Load the CSV files not yet in the log table, then log them.
+
+    Headers may differ, unless ``schema`` gives the one header that all files must have.
 
     The log is written after the load: if the job dies in between, the files are loaded
     again, which the idempotent load allows.
@@ -116,7 +119,10 @@ def ingest_files(
     found = [r["path"] for r in files.orderBy("path").collect()]
     if not found:
         return {"status": "skip", "files": 0}
-    rows = read_csv_by_name(spark, found, multiline=multiline, file_columns=True)
+    if schema is None:
+        rows = read_csv_by_name(spark, found, multiline=multiline, file_columns=True)
+    else:
+        rows = with_file_columns(read_csv_lake(spark, found, schema, multiline))
     load(transform(rows))
     keys = spark.createDataFrame([(p,) for p in found], "object_key string")
     insert_if_absent(with_audit(keys, run_ts, "processed_at"), log, ["object_key"], ["object_key"])

@@ -182,6 +182,24 @@ def test_files_are_loaded_once(spark, tmp_path, place):
     assert spark.read.parquet(f"{place}/log").count() == 2
 
 
+def test_files_with_a_declared_header(spark, tmp_path, place):
+    lake_dir = tmp_path / "lake" / "2026-01-01"
+    load = upsert_load(f"{place}/t", list(prices.KEY), ["_file", "_block", "_row"], prices.month_partition())
+    price_file(lake_dir, "batch_0.csv", "A,2026-01-01,,,,1,")
+    price_file(lake_dir, "batch_1.csv", "A,2026-01-01,,,,2,")
+    args = (spark, f"{place}/lake", f"{place}/log", prices.clean_prices, load, "2026-01-01 00:00:00")
+    assert ingest_files(*args, schema=PRICE_RAW) == {"status": "loaded", "files": 2}
+    assert closes(spark, f"{place}/t") == [("A", "2026-01-01", 2.0)]
+
+
+def test_compaction_with_a_declared_header(spark, place):
+    for d in range(1, 12):
+        df = spark.createDataFrame([(f"T{d}", float(d))], "ticker string, close double")
+        lake.write_lake(df, place, "p", f"2026-01-{d:02d}", "csv")
+    done = lake.compact_partitions(spark, f"{place}/p", schema=struct("ticker string, close double"))
+    assert spark.read.parquet(done["archive"]).agg(F.sum("close")).first()[0] == 55.0
+
+
 def test_stream_takes_only_new_files(spark, tmp_path, place):
     lake_dir = tmp_path / "lake" / "2026-01-01"
     load = upsert_load(f"{place}/t", list(prices.KEY), ["_modified", "_file", "_block", "_row"], prices.month_partition())
