@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import count_rows, counted, materialize
+from ..session import count_rows, counted
 from ..sources import paths
 from .columns import order_columns, with_audit
 from .dedup import keep_first, keep_last
@@ -137,25 +137,23 @@ def upsert(
     single = pick(source, keys, order_by)
     single = single.drop(*order_columns(single))
     # Read three times below, and its input may be a stream's files.
-    incoming = materialize(_partitioned(single, keys, parts) if parts else single)
-    small = is_small(incoming)
-
-    if not paths.exists(spark, target):
+    with paths.step(_partitioned(single, keys, parts) if parts else single) as incoming:
+        small = is_small(incoming)
         merged = incoming
-    else:
-        current = read_partitions(spark, target, list(parts))
+        if paths.exists(spark, target):
+            current = read_partitions(spark, target, list(parts))
+            if parts:
+                # One value per partition folder, so no more than the file listing itself.
+                touched = incoming.select(*parts).distinct().collect()
+                if not touched:
+                    return spark.read.parquet(target)
+                current = current.where(in_partitions(touched, list(parts)))
+            replaced = incoming.select(*keys)
+            kept = current.join(F.broadcast(replaced) if small else replaced, list(keys), "left_anti")
+            merged = kept.unionByName(_as_target(incoming, current.schema))
         if parts:
-            # One value per partition folder, so no more than the file listing itself.
-            touched = incoming.select(*parts).distinct().collect()
-            if not touched:
-                return spark.read.parquet(target)
-            current = current.where(in_partitions(touched, list(parts)))
-        replaced = incoming.select(*keys)
-        kept = current.join(F.broadcast(replaced) if small else replaced, list(keys), "left_anti")
-        merged = kept.unionByName(_as_target(incoming, current.schema))
-    if parts:
-        return replace_partitions(merged, target, list(parts), rebalance=not small)
-    return full_refresh(merged, target)
+            return replace_partitions(merged, target, list(parts), rebalance=not small)
+        return full_refresh(merged, target)
 
 
 def in_partitions(rows: Sequence, names: Sequence[str]) -> Column:
@@ -181,13 +179,17 @@ def insert_if_absent(
     single = keep_first(source, keys, order_by)
     single = single.drop(*order_columns(single))
     single = _partitioned(single, keys, parts) if parts else single
-    if paths.exists(spark, target):
-        single = materialize(_as_target(single, read_partitions(spark, target, list(parts)).schema))
+    if not paths.exists(spark, target):
+        return _append(single, target, parts)
+    with paths.step(_as_target(single, read_partitions(spark, target, list(parts)).schema)) as incoming:
         known = spark.read.parquet(target).select(*keys)
-        if is_small(single):
-            known = known.join(F.broadcast(single.select(*keys)), list(keys), "left_semi")
-        single = without_match(single, known, keys)
-    rows, added = count_rows(single.hint("rebalance", *parts) if parts else single)
+        if is_small(incoming):
+            known = known.join(F.broadcast(incoming.select(*keys)), list(keys), "left_semi")
+        return _append(without_match(incoming, known, keys), target, parts)
+
+
+def _append(df: DataFrame, target: str, parts: Mapping[str, Column]) -> int:
+    rows, added = count_rows(df.hint("rebalance", *parts) if parts else df)
     rows.write.mode("append").partitionBy(*parts).parquet(target)
     return counted(added)
 

@@ -79,7 +79,10 @@ def materialize(df: DataFrame) -> DataFrame:
     executor costs nothing afterwards, and as a Parquet table the result has a known size,
     by which Catalyst picks the join.
     """
-    spark = df.sparkSession
-    path = new_folder(spark, "step")
+    return stored(df, new_folder(df.sparkSession, "step"))
+
+
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` to a new folder and read it from there."""
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

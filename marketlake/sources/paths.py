@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import path_date
+from ..session import new_folder, stored
 
 
 def _path(spark: SparkSession, path: str):
@@ -41,6 +45,17 @@ def delete(spark: SparkSession, path: str) -> bool:
     return fs.delete(p, True)
 
 
+@contextmanager
+def step(df: DataFrame) -> Iterator[DataFrame]:
+    """``session.materialize`` for use within a block; the folder goes at its end."""
+    spark = df.sparkSession
+    path = new_folder(spark, "step")
+    try:
+        yield stored(df, path)
+    finally:
+        delete(spark, path)
+
+
 def replace_folder(spark: SparkSession, staged: str, target: str) -> None:
     """Put a completely written folder in the place of ``target``.
 

@@ -14,7 +14,7 @@ from ..operators.columns import conform
 from ..operators.quality import QualityError
 from ..operators.reshape import union_by_name
 from ..schemas import RSS, SITEMAP
-from ..session import materialize
+from . import paths
 
 # Two versions of a writer differ in a handful of headers; more means a wrong folder.
 MAX_HEADERS = 100
@@ -89,17 +89,19 @@ def read_csv_by_name(
     ``with_file_columns``. Where all files are known to have one header, ``read_csv_lake``
     saves the look for headers, which reads the text once more.
     """
-    headers = materialize(csv_headers(spark, path))
-    found = headers.select("header").distinct().limit(MAX_HEADERS + 1).collect()
-    if len(found) > MAX_HEADERS:
-        raise QualityError(f"more than {MAX_HEADERS} different CSV headers under {path}")
+    groups = {}
+    with paths.step(csv_headers(spark, path)) as headers:
+        found = headers.select("header").distinct().limit(MAX_HEADERS + 1).collect()
+        if len(found) > MAX_HEADERS:
+            raise QualityError(f"more than {MAX_HEADERS} different CSV headers under {path}")
+        for header in sorted(r["header"] for r in found if r["header"]):
+            # As many paths as the driver lists for any scan; none if all files agree.
+            of_group = headers.where(F.col("header") == header).select("path")
+            groups[header] = path if len(found) == 1 else [r["path"] for r in of_group.collect()]
     frames = []
-    for header in sorted(r["header"] for r in found if r["header"]):
+    for header, files in groups.items():
         names = unique_names(next(csv.reader([header])))
         text = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        # As many paths as the driver lists for any scan; none are needed if all files agree.
-        of_group = headers.where(F.col("header") == header).select("path")
-        files = path if len(found) == 1 else [r["path"] for r in of_group.collect()]
         reader = spark.read.schema(text).option("header", True).option("recursiveFileLookup", True)
         frame = reader.option("multiLine", multiline).option("escape", '"').csv(files)
         frames.append(with_file_columns(frame) if file_columns else frame)
