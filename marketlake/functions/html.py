@@ -49,7 +49,7 @@ class _FieldReader(HTMLParser):
 
     def __init__(self, rules: dict[str, str]) -> None:
         super().__init__(convert_charrefs=False)
-        self.wanted = {name: tuple(sel.split(".", 1)) if "." in sel else (sel, "") for name, sel in rules.items()}
+        self.wanted = {name: sel.partition(".")[::2] for name, sel in rules.items()}
         self.open_tags: list[str] = []
         self.depth: dict[str, int] = {}
         self.found: dict[str, list[str]] = {}
@@ -66,7 +66,8 @@ class _FieldReader(HTMLParser):
         self.end_run()
         classes = next((v or "" for k, v in attrs if k == "class"), "").split()
         for name, (want_tag, want_class) in self.wanted.items():
-            if name not in self.found and want_tag in ("", tag) and (not want_class or want_class in classes):
+            fits = want_tag in ("", tag) and (not want_class or want_class in classes)
+            if fits and name not in self.found:
                 self.found[name] = []
                 if tag not in VOID:
                     self.depth[name] = len(self.open_tags)
@@ -115,7 +116,9 @@ def read_fields(html: str | None, rules: dict[str, str] | None) -> dict[str, str
     return {name: "".join(reader.found.get(name, ())) for name in FIELDS}
 
 
-def article_fields(html: Column, site: Column, rules: dict[str, dict[str, str]] | None = None) -> Column:
+def article_fields(
+    html: Column, site: Column, rules: dict[str, dict[str, str]] | None = None
+) -> Column:
     """Struct of the article fields. Arrow batches go to Python with these two columns only.
 
     Marked as not deterministic, or a filter on a field would parse every page once more.

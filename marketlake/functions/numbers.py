@@ -49,7 +49,9 @@ def _halves(value: float) -> tuple[float, float]:
     return high, value - high
 
 
-def with_number_text(df: DataFrame, columns: Mapping[str, Column], digits: int = 4, missing: str = "0") -> DataFrame:
+def with_number_text(
+    df: DataFrame, columns: Mapping[str, Column], digits: int = 4, missing: str = "0"
+) -> DataFrame:
     """Add columns of decimal text: at most ``digits`` decimals, no exponent, no end zeros.
 
     The inputs are numbers or number text; where there is none, or a NaN, the result is
@@ -68,7 +70,11 @@ def with_number_text(df: DataFrame, columns: Mapping[str, Column], digits: int =
 
     def step(frame: DataFrame, **made: Callable[[Callable[[str], Column]], Column]) -> DataFrame:
         return frame.withColumns(
-            {f"_{i}_{name}": make(lambda v, i=i: F.col(f"_{i}_{v}")) for i in range(len(columns)) for name, make in made.items()}
+            {
+                f"_{i}_{name}": make(lambda v, i=i: F.col(f"_{i}_{v}"))
+                for i in range(len(columns))
+                for name, make in made.items()
+            }
         )
 
     work = df.withColumns({f"_{i}_x": as_double(df, c) for i, c in enumerate(columns.values())})
@@ -83,7 +89,8 @@ def with_number_text(df: DataFrame, columns: Mapping[str, Column], digits: int =
         work,
         above_half=lambda v: (v("p") - v("floor").cast("double") - F.lit(0.5))
         + (
-            ((v("high") * F.lit(scale_high) - v("p")) + v("high") * F.lit(scale_low) + v("low") * F.lit(scale_high))
+            ((v("high") * F.lit(scale_high) - v("p")) + v("high") * F.lit(scale_low))
+            + v("low") * F.lit(scale_high)
             + v("low") * F.lit(scale_low)
         ),
     )

@@ -140,7 +140,7 @@ def upsert(
     with paths.step(_partitioned(single, keys, parts) if parts else single) as incoming:
         small = is_small(incoming)
         merged = incoming
-        if paths.exists(spark, target):
+        if paths.has_data(spark, target):
             current = read_partitions(spark, target, list(parts))
             if parts:
                 # One value per partition folder, so no more than the file listing itself.
@@ -170,19 +170,26 @@ def insert_if_absent(
 ) -> int:
     """Append source rows whose key the target lacks; returns how many.
 
-    Of several source rows with one key the first in ``order_by`` is taken. Only the key
-    columns of the target are read; if the source is small, its keys are broadcast to find
-    those already there, and the target's keys are not shuffled.
+    Of several source rows with one key the first in ``order_by`` is taken. Of the target
+    only the key columns are read, and only in the partitions the source touches; if the
+    source is small, its keys are broadcast to find those already there, and the target's
+    keys are not shuffled.
     """
     spark = source.sparkSession
     parts = dict(partition_by or {})
     single = keep_first(source, keys, order_by)
     single = single.drop(*order_columns(single))
     single = _partitioned(single, keys, parts) if parts else single
-    if not paths.exists(spark, target):
+    if not paths.has_data(spark, target):
         return _append(single, target, parts)
-    with paths.step(_as_target(single, read_partitions(spark, target, list(parts)).schema)) as incoming:
-        known = spark.read.parquet(target).select(*keys)
+    current = read_partitions(spark, target, list(parts))
+    with paths.step(_as_target(single, current.schema)) as incoming:
+        if parts:
+            touched = incoming.select(*parts).distinct().collect()
+            if not touched:
+                return 0
+            current = current.where(in_partitions(touched, list(parts)))
+        known = current.select(*keys)
         if is_small(incoming):
             known = known.join(F.broadcast(incoming.select(*keys)), list(keys), "left_semi")
         return _append(without_match(incoming, known, keys), target, parts)

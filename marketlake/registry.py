@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 from typing import Any
 
@@ -23,6 +24,12 @@ def table_function(name: str) -> Callable[[TableFunction], TableFunction]:
     return register
 
 
+def load(module: str) -> list[str]:
+    """Import a module for the functions it registers; returns all known names."""
+    importlib.import_module(module)
+    return names()
+
+
 def names() -> list[str]:
     return sorted(_functions)
 

@@ -32,6 +32,20 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(old) and fs.rename(old, p)
 
 
+def has_data(spark: SparkSession, path: str) -> bool:
+    """Does the folder hold a file that Spark would read? A table just created has none."""
+    if not exists(spark, path):
+        return False
+    fs, p = _path(spark, path)
+    root = fs.makeQualified(p).toString().rstrip("/")
+    files = fs.listFiles(p, True)
+    while files.hasNext():
+        below = files.next().getPath().toString()[len(root) + 1 :].split("/")
+        if not any(part.startswith((".", "_")) for part in below):
+            return True
+    return False
+
+
 def child_folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders directly below ``path``, in order."""
     fs, p = _path(spark, path)

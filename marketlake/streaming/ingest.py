@@ -114,7 +114,7 @@ def ingest_files(
     again, which the idempotent load allows.
     """
     files = paths.lake_files(spark, folder).select("path")
-    if paths.exists(spark, log):
+    if paths.has_data(spark, log):
         files = new_files(files, spark.read.parquet(log))
     found = [r["path"] for r in files.orderBy("path").collect()]
     if not found:

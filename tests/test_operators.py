@@ -195,5 +195,6 @@ def test_registry(spark):
         registry.call(spark, "tests.wrong")
     with pytest.raises(KeyError):
         registry.call(spark, "tests.none")
+    assert "checks.big_orders" in registry.load("checks.workflows")
     with pytest.raises(ValueError):
         registry.table_function("tests.wrong")(wrong)

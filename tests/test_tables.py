@@ -126,6 +126,18 @@ def test_empty_table_does_not_replace_a_snapshot(spark, place):
     assert spark.read.parquet(place).count() == 4
 
 
+def test_loads_into_a_table_just_created(spark, place):
+    schema = struct("ticker string, day string, close double, month string")
+    for load in (tables.upsert, tables.insert_if_absent):
+        target, name = f"{place}/{load.__name__}", f"t_{load.__name__}"
+        tables.ensure_table(spark, name, schema, ["month"], target)
+        for _ in range(2):
+            load(bars(spark, ("A", "2024-01-01", 1.0, 1)), target, ["ticker", "day"], ["_o"], month())
+        assert rows(spark.read.parquet(target), "ticker", "close") == [("A", 1.0)]
+        assert tables.insert_if_absent(bars(spark, ("A", "x", 1.0, 1)).where("false"), target, ["ticker", "day"], ["_o"], month()) == 0
+        spark.sql(f"drop table {name}")
+
+
 def test_ensure_table_checks_columns(spark, place):
     tables.ensure_table(spark, "t_columns", struct("a int"), location=f"{place}/x")
     with pytest.raises(ValueError):
