@@ -225,9 +225,10 @@ def date_tokens(t: Tables) -> DataFrame:
     return t.orders.select("o_orderkey", tokens.alias("tokens"))
 
 
+# A title may be cut off inside a reference, which then lacks its semicolon.
 DECODE_SQL = (
-    "replace(replace(replace(replace({}, '&quot;', '\"'), '&copy;', chr(169)), '&middot;', chr(183)),"
-    " '&amp;', '&')"
+    "regexp_replace(regexp_replace(regexp_replace(regexp_replace({}, '&quot;?', '\"', 'g'),"
+    " '&copy;?', chr(169), 'g'), '&middot;?', chr(183), 'g'), '&amp;?', '&', 'g')"
 )
 PAGE_RULES = {"page": {"title": "h1", "content": "article", "sapo": "div.ad", "publish_time": "time"}}
 

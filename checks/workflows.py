@@ -25,6 +25,7 @@ from marketlake.streaming.ingest import absent_load, ingest_files, ingest_stream
 from marketlake.vocabulary import LOADER_INDICATORS, STANDARD_INDICATORS, rows
 
 from .base import LONG_SQL, RUN_TS, Tables, bars, check, values_sql, wide_statement
+from .scalars import DECODE_SQL
 from .tables import DAILY_SQL, daily_closes
 
 BARS = "null::double as open, null::double as high, null::double as low, value as close, null::double as volume"
@@ -300,9 +301,9 @@ def news_load_both(t: Tables) -> DataFrame:
 
 @check(
     "site_articles",
-    """select distinct url, case when url like 'https://%' then 'secure' else 'plain' end as source,
+    f"""select distinct url, case when url like 'https://%' then 'secure' else 'plain' end as source,
               '2024-02-01' as target_date, '' as publish_time,
-              trim(replace(replace(regexp_extract(html, '<h1>(.*?)</h1>', 1, 's'), '&quot;', '"'), '&amp;', '&')) as title
+              {DECODE_SQL.format("trim(regexp_extract(html, '<h1>(.*?)</h1>', 1, 's'))")} as title
        from pages""",
 )
 def site_articles(t: Tables) -> DataFrame:

@@ -3,6 +3,8 @@ import struct
 from datetime import date, datetime
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from marketlake import functions as fn
@@ -121,6 +123,18 @@ def test_html_fields():
     assert read_fields(None, rules) is None
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="<>/&;#!-='\" abhp1xé\n", max_size=200))
+def test_html_reader_never_fails(text):
+    fields = read_fields(text, {"title": "h1.a", "content": ".b", "sapo": "p", "publish_time": "a"})
+    assert fields is None or set(fields) == {"title", "sapo", "content", "publish_time"}
+
+
+def test_html_cut_off_reference():
+    assert read_fields("<h1>a&amp</h1>", {"title": "h1"})["title"] == "a&"
+    assert read_fields("<h1>a&am</h1>", {"title": "h1"})["title"] == "a&am"
+
+
 def test_parse_articles_drops_null_pages(spark):
     df = spark.createDataFrame(
         [(1, "cafef", PAGE), (2, "cafef", None), (3, "other", PAGE)], "i int, source string, html string"
