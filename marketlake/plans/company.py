@@ -29,6 +29,10 @@ from ..schemas import (
 )
 
 
+# Fixed value: the position stored for a shareholder.
+SHAREHOLDER = "Cổ đông"
+
+
 def listing(industries: DataFrame, exchanges: DataFrame) -> DataFrame:
     """Industry and exchange lists in one row per symbol."""
     return listing_meta(industries, exchanges, LISTING_INDUSTRY, LISTING_EXCHANGE)
@@ -66,7 +70,7 @@ def people(shareholders: DataFrame, officers: DataFrame) -> DataFrame:
         return df.select(
             "symbol",
             get(prefix, "").alias("name"),
-            (F.lit("Cổ đông") if position is None else get(position, "")).alias("position"),
+            (F.lit(SHAREHOLDER) if position is None else get(position, "")).alias("position"),
             get(share, 0).cast("string").alias("percent"),
         )
 

@@ -33,6 +33,7 @@ from ..operators.filters import in_range, on_day
 from ..operators.tables import insert_if_absent
 from ..schemas import NEWS_API, NEWS_DAILY, NEWS_TABLE
 
+# Fixed value: the provider of the JSON files, as stored in the table.
 SOURCE_NAME = "FiinGroup"
 
 

@@ -1,11 +1,13 @@
 """The physical plans the operators are meant to have."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from checks import QUERIES
 from marketlake import functions as fn
-from marketlake.operators import dedup, filters, joins, reshape
+from marketlake.operators import dedup, filters, joins, reshape, tables
 from marketlake.plans import prices, statements
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -101,3 +103,38 @@ def test_no_query_multiplies_rows(spark, name):
     assert "BatchEvalPython" not in text
     if not name.startswith("html_"):
         assert "ArrowEvalPython" not in text
+
+
+def test_rebalance_splits_a_hot_partition(spark, tmp_path):
+    rows = spark.range(0, 400_000, 1, 8).select(
+        F.xxhash64("id").alias("v"), F.when(F.col("id") % 3 == 0, F.col("id") % 50).otherwise(-1).alias("part")
+    )
+    size = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "200k")
+    try:
+        tables.replace_partitions(rows, f"file:{tmp_path}/t", ["part"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", size)
+    files = [f for f in os.listdir(tmp_path / "t" / "part=-1") if f.endswith(".parquet")]
+    assert len(files) > 4
+
+
+def test_hot_key_reaches_the_shuffle_once_per_task(spark, tmp_path):
+    spark.range(0, 300_000, 1, 6).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.col("id").cast("string")).alias("k"), "id"
+    ).write.parquet(f"file:{tmp_path}/t")
+    table = spark.read.parquet(f"file:{tmp_path}/t")
+    last = dedup.keep_last(table, ["k"], ["id"])
+    assert last.count() == 200_001
+    assert last.where("k = 'HOT'").first()["id"] == 299_997
+
+
+def test_small_upsert_does_not_shuffle_the_target(spark, tmp_path, monkeypatch):
+    seen = []
+    real = tables.replace_partitions
+    monkeypatch.setattr(tables, "replace_partitions", lambda df, *a, **k: seen.append(plan(df)) or real(df, *a, **k))
+    df = spark.range(100).select(F.col("id").alias("k"), F.lit(1).alias("_o"))
+    for _ in range(2):
+        tables.upsert(df, f"file:{tmp_path}/t", ["k"], ["_o"], {"p": F.col("k") % 3})
+    assert "Exchange hash" not in seen[1] and "BroadcastHashJoin" in seen[1]
+    assert spark.read.parquet(f"file:{tmp_path}/t").count() == 100
