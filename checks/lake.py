@@ -171,6 +171,18 @@ def missing_outputs(t: Tables) -> DataFrame:
     return lake.missing_outputs(t.orders.select(keys("o_orderkey")), t.lineitem.select(keys("l_orderkey")), "key")
 
 
+@check(
+    "missing_batches",
+    "select distinct event_type as batch from events where event_type = 'error'",
+)
+def missing_batches(t: Tables) -> DataFrame:
+    place = new_folder(t.spark, "batches")
+    written = t.events.where("event_type <> 'error'").select("event_id", "event_type")
+    lake.write_lake(written, place, "prices", "2024-01-31", batch="event_type")
+    expected = t.events.select(F.col("event_type").alias("batch")).distinct()
+    return lake.missing_outputs(expected, lake.written_batches(t.spark, place, "prices", "2024-01-31"), "batch")
+
+
 @check(
     "compaction_plan",
     """select max(d) as latest, min(d) as first_ds, max(d) filter (where d < last) as last_ds,

@@ -89,6 +89,17 @@ def write_json_array(df: DataFrame, path: str) -> None:
     items.mapInPandas(bracketed, "value string").write.mode("overwrite").text(path)
 
 
+def written_batches(spark: SparkSession, root: str, dataset: str, ds: date | str) -> DataFrame:
+    """``batch`` of every output that ``write_lake`` left for the day, as text."""
+    folder = f"{root}/{dataset}/ds={ds}"
+    if not paths.has_data(spark, folder):
+        return spark.createDataFrame([], "batch string")
+    name = F.regexp_extract("path", r"/batch=([^/]*)/[^/]*$", 1)
+    # Spark escapes special characters in folder names with percent codes.
+    plain = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+    return paths.lake_files(spark, folder).select(plain.alias("batch")).distinct()
+
+
 def missing_outputs(expected: DataFrame, present: DataFrame, key: str) -> DataFrame:
     """Expected keys that were not written."""
     return without_match(expected, present, [key])

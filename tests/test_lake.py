@@ -51,6 +51,14 @@ def test_write_lake_skips_empty_and_replaces(spark, place, tmp_path):
     assert len([f for f in os.listdir(folder) if f.endswith(".csv")]) == 1
 
 
+def test_written_batches(spark, place):
+    df = spark.createDataFrame([("a", "x y"), ("b", "p/q+%")], "t string, batch string")
+    assert rows(lake.written_batches(spark, place, "d", "2026-01-01")) == []
+    lake.write_lake(df, place, "d", "2026-01-01", batch="batch")
+    lake.write_lake(df.limit(1).withColumn("batch", F.lit("z")), place, "d", "2026-01-02", batch="batch")
+    assert rows(lake.written_batches(spark, place, "d", "2026-01-01")) == [("p/q+%",), ("x y",)]
+
+
 def dated(spark, place, days):
     for d in range(1, days + 1):
         df = spark.createDataFrame([(f"T{d}", float(d))], "ticker string, close double")
