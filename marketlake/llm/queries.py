@@ -1,6 +1,6 @@
 """All queries of this package."""
 
-from . import maxscore, packing  # noqa: F401
+from . import bpe, maxscore, neardup, packing  # noqa: F401
 from .base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
