@@ -158,12 +158,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: int = 80, ste
     named = nodes.select("node", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     owner = steps.keep(named.join(smallest, "root").select("node", "component_id"))
-    for path in steps.paths[start:-1]:
-        steps.spark  # the result reads the sketch and the owners only
-    last = steps.paths[-1]
-    steps.paths[start:] = steps.paths[start:-1]
-    steps.drop_from(start)
-    steps.paths.append(last)
+    steps.drop_from(start, but_last=True)  # the result reads the sketch and the owners only
     linked = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
     placed = sketch.select("doc_id", "n_shingles", F.when(linked, F.col("node")).alias("node")).join(owner, "node", "left")
     own = F.coalesce("component_id", "doc_id")

@@ -19,11 +19,12 @@ class Steps:
         self.paths.append(new_folder(self.spark, "step"))
         return stored(df, self.paths[-1])
 
-    def drop_from(self, first: int) -> None:
+    def drop_from(self, first: int, but_last: bool = False) -> None:
         """Delete what was kept since ``len(paths)`` was ``first``."""
-        for path in self.paths[first:]:
+        last = len(self.paths) - but_last
+        for path in self.paths[first:last]:
             delete(self.spark, path)
-        del self.paths[first:]
+        del self.paths[first:last]
 
 
 def components(links: DataFrame, steps: Steps) -> DataFrame:
@@ -53,9 +54,6 @@ def components(links: DataFrame, steps: Steps) -> DataFrame:
         edges = name(name(edges, "high"), "low").where("high <> low")
         edges = steps.keep(edges.select(F.greatest("high", "low").alias("high"), F.least("high", "low").alias("low")).distinct())
     kept = roots.select("node", "root")
-    last = len(steps.paths)
     final = steps.keep(kept)
-    for path in steps.paths[start:last]:
-        delete(steps.spark, path)
-    steps.paths[start:last] = []
+    steps.drop_from(start, but_last=True)
     return final
