@@ -1,6 +1,6 @@
 """All queries of this package."""
 
-from . import bpe, maxscore, neardup, packing, syncmers  # noqa: F401
+from . import bpe, maxscore, neardup, packing, pages, pii, syncmers  # noqa: F401
 from .base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
