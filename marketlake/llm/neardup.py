@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -16,6 +18,7 @@ from .steps import Steps, components
 SIDE = 8  # collections on each side; SIDE * SIDE tables
 ROWS = 2  # minimum hashes in a collection, so 4 in a table's key
 PIVOT_ROUNDS = 3
+BITS = 1024  # of a set's parity bitmap
 SALTS = mix(np.arange(1, 2 * SIDE * ROWS + 1, dtype=U64) * U64(BASE)) | U64(1)
 
 
@@ -62,6 +65,14 @@ def _collections(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return keys
 
 
+def _bitmaps(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """For each set, the parity of its hashes in each of BITS classes, 64 to a long."""
+    n = len(bounds) - 1
+    place = np.repeat(np.arange(n), np.diff(bounds)) * BITS + (values >> U64(64 - BITS.bit_length() + 1)).astype(np.int64)
+    odd = (np.bincount(place, minlength=n * BITS) & 1).astype(bool)
+    return np.packbits(odd.reshape(n, BITS), axis=1, bitorder="little").view(np.int64)
+
+
 def _sketch_task(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.RecordBatch]:
     shingles = Shingler(size)
     for batch in by_size(batches, "text"):
@@ -73,9 +84,12 @@ def _sketch_task(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[pa.Re
         lists = pa.ListArray.from_arrays(
             pa.array(np.append(0, np.cumsum(some * 2 * SIDE)).astype(np.int32)), pa.array(keys.ravel())
         )
+        bits = pa.ListArray.from_arrays(
+            pa.array(np.append(0, np.cumsum(some * (BITS // 64))).astype(np.int32)), pa.array(_bitmaps(values, bounds)[some].ravel())
+        )
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(counts.astype(np.int64)), *(pa.array(x) for x in digests), lists],
-            ["doc_id", "n_shingles", "node", "check", "keys"],
+            [batch.column("doc_id"), pa.array(counts.astype(np.int64)), *(pa.array(x) for x in digests), lists, bits],
+            ["doc_id", "n_shingles", "node", "check", "keys", "bits"],
         )
 
 
@@ -95,7 +109,9 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: int = 80, ste
     Texts of one set count as one node, so copies are never compared. A node has 16 keys from 32
     minimum hashes; each pair of a left and a right key is a table's key, 64 tables in all. In each table's
     bucket members are compared with a pivot, three pivots in turn; then members of buckets that still span
-    several components are compared across components. Every candidate is confirmed on full sets.
+    several components are compared across components, those of the largest only with the others. Pairs whose
+    sizes or parity bitmaps rule the similarity out are dropped inside the join: each odd class of the two
+    bitmaps together needs a shingle that only one has. All others are confirmed on full sets.
 
     A text without words, or null, has 0 shingles and links with nothing. A null doc_id is its own
     component with ``component_id`` null and ``kept`` true. Repeated rows share a component and are all kept
@@ -103,61 +119,67 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: int = 80, ste
     """
     steps = steps or Steps(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    schema = "doc_id long, n_shingles long, node long, check long, keys array<long>"
+    schema = "doc_id long, n_shingles long, node long, check long, keys array<long>, bits array<long>"
     sketch = steps.keep(docs.mapInArrow(lambda b: _sketch_task(b, shingle), schema))
     start = len(steps.paths)
     nodes = steps.keep(
         sketch.where("n_shingles > 0 and doc_id is not null").groupBy("node").agg(
             F.min("doc_id").alias("doc_id"), F.min("check").alias("check"), F.max("check").alias("other"),
-            F.first("n_shingles").alias("n"), F.first("keys").alias("keys"),
+            F.first("n_shingles").alias("n"), F.first("keys").alias("keys"), F.first("bits").alias("bits"),
         )
     )
     if not nodes.where("check <> other").isEmpty():
         raise ValueError("two different shingle sets have one digest")
     table_key = [F.xxhash64(F.lit(i * SIDE + j), F.col("keys")[i], F.col("keys")[SIDE + j]) for i in range(SIDE) for j in range(SIDE)]
-    entries = nodes.select("node", "n", F.explode(F.array(*table_key)).alias("key"))
+    entries = nodes.select("node", F.explode(F.array(*table_key)).alias("key"))
     shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("many")).where("many > 1").select("key")
     members = steps.keep(entries.join(shared, "key"))
-    wanted = members.select("node").distinct().join(nodes.select("node", "doc_id"), "node").select("doc_id")
+    wanted = members.select("node").distinct().join(nodes, "node")
+    facts = steps.keep(wanted.select("node", "doc_id", "n", "bits"))
     sets = steps.keep(
-        docs.join(wanted, "doc_id", "left_semi").mapInArrow(lambda b: _sets_task(b, shingle), "node long, shingles array<long>")
+        docs.join(facts.select("doc_id").distinct(), "doc_id", "left_semi").mapInArrow(lambda b: _sets_task(b, shingle), "node long, shingles array<long>")
         .groupBy("node").agg(F.first("shingles").alias("shingles"))
     )
-    links = found = None
+
+    def named(name: str) -> DataFrame:
+        return facts.select(F.col("node").alias(name), F.col("n").alias(f"{name}n"), F.col("bits").alias(f"{name}bits"))
+
+    total = F.col("an") + F.col("bn")
+    odd = reduce(add, (F.bit_count(F.col("abits")[i].bitwiseXOR(F.col("bbits")[i])) for i in range(BITS // 64)))
+    possible = (100 * F.least("an", "bn") >= similarity * F.greatest("an", "bn")) & (100 * (total - odd) >= similarity * (total + odd))
+    links = steps.keep(members.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0))
+    found = links
     for turn in range(PIVOT_ROUNDS + 1):
-        if links is None:
-            placed = members.withColumn("root", F.col("node"))
-        else:
+        placed = members.withColumn("root", F.col("node"))
+        if turn:
             roots = components(links, steps)
             placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
             mixed = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y")
-            placed = placed.join(mixed.select("key"), "key", "left_semi")
-        side = lambda name: placed.select("key", *(F.col(c).alias(f"{name}{c[0]}") for c in ("node", "size", "root")))
-        placed = steps.keep(placed.withColumnRenamed("n", "size"))
+            placed = steps.keep(placed.join(mixed.select("key"), "key", "left_semi"))
         if turn < PIVOT_ROUNDS:
-            order = F.struct(F.xxhash64("node", F.lit(turn)), "node", "size", "root")
-            pivots = placed.groupBy("key").agg(F.min(order).alias("p")).select(
-                "key", F.col("p.node").alias("an"), F.col("p.size").alias("as"), F.col("p.root").alias("ar")
-            )
-            pairs = side("b").join(pivots, "key").where("ar <> br")
+            order = F.struct(F.xxhash64("node", F.lit(turn)), "node", "root")
+            pivots = placed.groupBy("key").agg(F.min(order).alias("p")).select("key", F.col("p.node").alias("pivot"), F.col("p.root").alias("proot"))
+            pairs = placed.join(pivots, "key").where("root <> proot")
+            pairs = pairs.select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct()
+            pairs = pairs.join(named("a"), "a").join(named("b"), "b").where(possible).select("a", "b")
         else:
-            pairs = side("a").join(side("b"), "key").where("ar < br")
-        pairs = pairs.where(f"100 * least(`as`, bs) >= {similarity} * greatest(`as`, bs)")
-        pairs = pairs.select(F.least("an", "bn").alias("a"), F.greatest("an", "bn").alias("b")).distinct()
-        if found is not None:
-            pairs = pairs.join(found, ["a", "b"], "left_anti")
-        pairs = steps.keep(pairs)
-        found = pairs if found is None else found.union(pairs)
+            by_root = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("many"))
+            main = by_root.groupBy("key").agg(F.max(F.struct("many", "root")).alias("m")).select("key", F.col("m.root").alias("main"))
+            a = placed.join(main, "key").where("root <> main").select("key", F.col("root").alias("ar"), F.col("node").alias("a")).join(named("a"), "a")
+            b = placed.select("key", F.col("root").alias("br"), F.col("node").alias("b")).join(named("b"), "b")
+            pairs = a.join(b, "key").where((F.col("ar") != F.col("br")) & possible)
+            pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        pairs = steps.keep(pairs.join(found, ["a", "b"], "left_anti"))
+        found = found.union(pairs)
         both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")
         both = both.join(sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb")), "b")
         common = F.size(F.array_intersect("sa", "sb"))
         fits = 100 * common >= similarity * (F.size("sa") + F.size("sb") - common)
-        confirmed = steps.keep(both.where(fits).select("a", "b"))
-        links = confirmed if links is None else links.union(confirmed)
+        links = links.union(steps.keep(both.where(fits).select("a", "b")))
     roots = components(links, steps)
-    named = nodes.select("node", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    smallest = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    owner = steps.keep(named.join(smallest, "root").select("node", "component_id"))
+    placed = nodes.select("node", "doc_id").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    smallest = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    owner = steps.keep(placed.join(smallest, "root").select("node", "component_id"))
     steps.drop_from(start, but_last=True)  # the result reads the sketch and the owners only
     linked = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
     placed = sketch.select("doc_id", "n_shingles", F.when(linked, F.col("node")).alias("node")).join(owner, "node", "left")
