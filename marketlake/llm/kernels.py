@@ -34,7 +34,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[ends[0] : ends[-1]], ends - ends[0]
 
 
-def by_size(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 22) -> Iterator[pa.RecordBatch]:
+def by_size(batches: Iterator[pa.RecordBatch], column: str | int, most: int = 1 << 22) -> Iterator[pa.RecordBatch]:
     """Cut batches so that ``column`` has about ``most`` bytes in each; a longer row stands alone."""
     for batch in batches:
         if not batch.num_rows:
@@ -49,13 +49,13 @@ def by_size(batches: Iterator[pa.RecordBatch], column: str, most: int = 1 << 22)
         yield batch.slice(start)
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and row of each run of bytes outside space, tab, LF, VT, FF and CR."""
+def words(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of each run of bytes outside ``between``: space, tab, LF, VT, FF and CR."""
     n = len(data)
     if not n:
         none = np.zeros(0, np.int64)
         return none, none, none
-    inside = ~SPACE[data]
+    inside = ~between[data]
     edge = np.ones(n, bool)
     edge[1:] = ~inside[:-1]
     edge[offsets[:-1][offsets[:-1] < n]] = True
@@ -110,3 +110,18 @@ class SliceHasher:
 def runs(rows: np.ndarray, n: int) -> np.ndarray:
     """Offsets of each of ``n`` rows in an ascending array of row numbers."""
     return np.searchsorted(rows, np.arange(n + 1))
+
+
+def per_row(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Sum of the values of each row; row i has those from ``bounds[i]`` to ``bounds[i + 1]``."""
+    sums = np.append(0, np.cumsum(values, dtype=np.int64 if values.dtype.kind in "bui" else np.float64))
+    return (sums[bounds[1:]] - sums[bounds[:-1]]).astype(np.float64)
+
+
+def fold_case(data: np.ndarray) -> np.ndarray:
+    """UTF-8 bytes with A-Z and the capitals of Latin-1 in lower case."""
+    out = LOWER[data]
+    if len(out) > 1:
+        capital = (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
+        out[1:][capital] += 0x20
+    return out
