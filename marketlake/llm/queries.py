@@ -1,6 +1,6 @@
 """All queries of this package."""
 
-from . import bpe, maxscore, neardup, packing, pages, pii, quality, syncmers, toxicity  # noqa: F401
+from . import bpe, maxent, maxscore, neardup, packing, pages, pii, quality, syncmers, toxicity  # noqa: F401
 from .base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
