@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import configure
+from ..session import with_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -20,7 +20,7 @@ def query(name: str, sql: str | None = None) -> Callable:
     def register(fn: Query) -> Query:
         @wraps(fn)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(configure(spark), sf_dir)
+            return fn(with_folder(spark), sf_dir)
 
         QUERIES[name] = run
         if sql is not None:

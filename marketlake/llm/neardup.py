@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import reduce
-from operator import add
+from operator import add, and_
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +17,7 @@ from .steps import Steps, components
 
 SIDE = 8  # collections on each side; SIDE * SIDE tables
 ROWS = 2  # minimum hashes in a collection, so 4 in a table's key
-PIVOT_ROUNDS = 3
+PIVOT_ROUNDS = 2
 BITS = 1024  # of a set's parity bitmap
 SALTS = mix(np.arange(1, 2 * SIDE * ROWS + 1, dtype=U64) * U64(BASE)) | U64(1)
 
@@ -108,10 +108,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: int = 80, ste
     Links are pairs whose sets of ``shingle``-word shingles have ``100 * intersection >= similarity * union``.
     Texts of one set count as one node, so copies are never compared. A node has 16 keys from 32
     minimum hashes; each pair of a left and a right key is a table's key, 64 tables in all. In each table's
-    bucket members are compared with a pivot, three pivots in turn; then members of buckets that still span
-    several components are compared across components, those of the largest only with the others. Pairs whose
-    sizes or parity bitmaps rule the similarity out are dropped inside the join: each odd class of the two
-    bitmaps together needs a shingle that only one has. All others are confirmed on full sets.
+    bucket members are compared with a pivot, two pivots in turn; then members of buckets that still span
+    several components are compared across components, those of the largest only with the others, and each pair
+    only in the first table that has it. Pairs whose sizes or parity bitmaps rule the similarity out are dropped
+    inside the join: each odd class of the two bitmaps together needs a shingle that only one has. All others
+    are confirmed on full sets.
 
     A text without words, or null, has 0 shingles and links with nothing. A null doc_id is its own
     component with ``component_id`` null and ``kept`` true. Repeated rows share a component and are all kept
@@ -131,22 +132,26 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: int = 80, ste
     if not nodes.where("check <> other").isEmpty():
         raise ValueError("two different shingle sets have one digest")
     table_key = [F.xxhash64(F.lit(i * SIDE + j), F.col("keys")[i], F.col("keys")[SIDE + j]) for i in range(SIDE) for j in range(SIDE)]
-    entries = nodes.select("node", F.explode(F.array(*table_key)).alias("key"))
+    entries = nodes.select("node", F.posexplode(F.array(*table_key)).alias("table", "key"))
     shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("many")).where("many > 1").select("key")
     members = steps.keep(entries.join(shared, "key"))
     wanted = members.select("node").distinct().join(nodes, "node")
-    facts = steps.keep(wanted.select("node", "doc_id", "n", "bits"))
+    facts = steps.keep(wanted.select("node", "doc_id", "n", "bits", "keys"))
     sets = steps.keep(
         docs.join(facts.select("doc_id").distinct(), "doc_id", "left_semi").mapInArrow(lambda b: _sets_task(b, shingle), "node long, shingles array<long>")
         .groupBy("node").agg(F.first("shingles").alias("shingles"))
     )
 
     def named(name: str) -> DataFrame:
-        return facts.select(F.col("node").alias(name), F.col("n").alias(f"{name}n"), F.col("bits").alias(f"{name}bits"))
+        return facts.select(F.col("node").alias(name), *(F.col(c).alias(f"{name}{c}") for c in ("n", "bits", "keys")))
 
     total = F.col("an") + F.col("bn")
     odd = reduce(add, (F.bit_count(F.col("abits")[i].bitwiseXOR(F.col("bbits")[i])) for i in range(BITS // 64)))
     possible = (100 * F.least("an", "bn") >= similarity * F.greatest("an", "bn")) & (100 * (total - odd) >= similarity * (total + odd))
+    differ = lambda i: F.col("akeys")[i] != F.col("bkeys")[i]
+    left, right = F.floor(F.col("table") / SIDE), F.col("table") % SIDE
+    first = reduce(and_, ((left <= i) | differ(i) for i in range(SIDE - 1)))
+    first &= reduce(and_, ((right <= j) | differ(SIDE + j) for j in range(SIDE - 1)))
     links = steps.keep(members.select(F.col("node").alias("a"), F.col("node").alias("b")).limit(0))
     found = links
     for turn in range(PIVOT_ROUNDS + 1):
@@ -165,10 +170,12 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: int = 80, ste
         else:
             by_root = placed.groupBy("key", "root").agg(F.count(F.lit(1)).alias("many"))
             main = by_root.groupBy("key").agg(F.max(F.struct("many", "root")).alias("m")).select("key", F.col("m.root").alias("main"))
-            a = placed.join(main, "key").where("root <> main").select("key", F.col("root").alias("ar"), F.col("node").alias("a")).join(named("a"), "a")
-            b = placed.select("key", F.col("root").alias("br"), F.col("node").alias("b")).join(named("b"), "b")
-            pairs = a.join(b, "key").where((F.col("ar") != F.col("br")) & possible)
-            pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+            placed = placed.join(main, "key").withColumn("out", F.col("root") != F.col("main"))
+            a = placed.where("out").select("key", "table", F.col("root").alias("ar"), F.col("node").alias("a")).join(named("a"), "a")
+            b = placed.select("key", "out", F.col("root").alias("br"), F.col("node").alias("b")).join(named("b"), "b")
+            once = (F.col("ar") != F.col("br")) & (~F.col("out") | (F.col("a") < F.col("b")))
+            pairs = a.join(b, "key").where(once & first & possible)
+            pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
         pairs = steps.keep(pairs.join(found, ["a", "b"], "left_anti"))
         found = found.union(pairs)
         both = pairs.join(sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a")

@@ -30,30 +30,28 @@ class Steps:
 def components(links: DataFrame, steps: Steps) -> DataFrame:
     """``node, root`` of all nodes in ``links`` (a, b); a root is the smallest node reached.
 
-    Each round hooks every root to its smallest neighbour, shortens the chains by pointer jumping and
-    contracts the links, so the rounds grow with the logarithm of the longest path.
+    Each round hooks every root to its smallest neighbour, shortens the chains to a quarter by two pointer
+    jumps and contracts the links, so the rounds grow with the logarithm of the longest path.
     """
-    nodes = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
-    roots = nodes.withColumn("root", F.col("node"))
-    edges = links.where("a <> b").select(F.greatest("a", "b").alias("high"), F.least("a", "b").alias("low")).distinct()
+    tasks = 2 * steps.spark.sparkContext.defaultParallelism
+    keep = lambda df: steps.keep(df.coalesce(tasks))  # noqa: E731  small steps: a few tasks write them
     start = len(steps.paths)
-    edges, roots = steps.keep(edges), steps.keep(roots)
+    named = links.select(F.greatest("a", "b").alias("high"), F.least("a", "b").alias("low"))
+    edges = keep(named.where("high <> low").distinct())
+    nodes = edges.select(F.explode(F.array("high", "low")).alias("node")).distinct()
+    roots = nodes.withColumn("root", F.col("node"))
     while not edges.isEmpty():
-        hooks = steps.keep(edges.groupBy("high").agg(F.min("low").alias("to")))
-        while True:
+        hooks = keep(edges.groupBy("high").agg(F.min("low").alias("to")))
+        for _ in range(2):
             on = hooks.select(F.col("high").alias("to"), F.col("to").alias("further"))
-            longer = steps.keep(hooks.join(on, "to", "left"))
-            moved = not longer.where("further is not null").isEmpty()
-            hooks = longer.select("high", F.coalesce("further", "to").alias("to"))
-            if not moved:
-                break
+            hooks = hooks.join(on, "to", "left").select("high", F.coalesce("further", "to").alias("to"))
+        hooks = keep(hooks)
         name = lambda df, column: df.join(
             hooks.select(F.col("high").alias(column), F.col("to").alias("_to")), column, "left"
         ).withColumn(column, F.coalesce("_to", column)).drop("_to")
-        roots = steps.keep(name(roots, "root"))
+        roots = keep(name(roots, "root"))
         edges = name(name(edges, "high"), "low").where("high <> low")
-        edges = steps.keep(edges.select(F.greatest("high", "low").alias("high"), F.least("high", "low").alias("low")).distinct())
-    kept = roots.select("node", "root")
-    final = steps.keep(kept)
+        edges = keep(edges.select(F.greatest("high", "low").alias("high"), F.least("high", "low").alias("low")).distinct())
+    final = keep(roots.select("node", "root"))
     steps.drop_from(start, but_last=True)
     return final
