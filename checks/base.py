@@ -8,7 +8,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketlake.session import configure
+from marketlake.session import with_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -34,7 +34,7 @@ def check(name: str, sql: str | None = None) -> Callable:
     def register(fn: Callable[[Tables], DataFrame]) -> Callable:
         @wraps(fn)
         def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(Tables(configure(spark), sf_dir))
+            return fn(Tables(with_folder(spark), sf_dir))
 
         if name in QUERIES:
             raise ValueError(f"{name} is registered twice")

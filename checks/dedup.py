@@ -62,13 +62,12 @@ def news_id_dedup(t: Tables) -> DataFrame:
 
 @check(
     "dedup_report",
-    """select source, count(*) as total_rows, count(distinct md5(split_part(text, chr(10), 1))) as kept_rows,
-              count(*) - count(distinct md5(split_part(text, chr(10), 1))) as dropped_rows
+    """select source, count(*) as total_rows, count(distinct md5(text)) as kept_rows,
+              count(*) - count(distinct md5(text)) as dropped_rows
        from documents group by source""",
 )
 def dedup_report(t: Tables) -> DataFrame:
-    title = F.md5(F.split_part("text", F.lit("\n"), F.lit(1)).cast("binary"))
-    return dedup.dedup_report(t.documents, "source", title)
+    return dedup.dedup_report(t.documents, "source", F.md5(F.col("text").cast("binary")))
 
 
 @check(

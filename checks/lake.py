@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from marketlake.operators import columns, quality
 from marketlake.operators.columns import with_source_file
+from marketlake.operators.quality import QualityError
 from marketlake.schemas import struct
 from marketlake.session import new_folder
 from marketlake.sources import lake, paths, readers
@@ -161,14 +163,15 @@ def object_keys(t: Tables) -> DataFrame:
 
 @check(
     "missing_outputs",
-    """select 'bctc/2026-01-15/batch_' || o_orderkey || '.csv' as key from orders
-       where o_orderkey not in (select l_orderkey from lineitem)""",
+    """select distinct 'bctc/2026-01-15/batch_' || (o_orderkey % 50) || '.csv' as key from orders
+       where o_orderkey % 50 not in (select l_orderkey % 50 from lineitem where l_orderkey % 50 not in (7, 33))""",
 )
 def missing_outputs(t: Tables) -> DataFrame:
-    def keys(c: str):
-        return lake.object_keys("bctc", "2026-01-15", F.col(c)).alias("key")
-
-    return lake.missing_outputs(t.orders.select(keys("o_orderkey")), t.lineitem.select(keys("l_orderkey")), "key")
+    place = new_folder(t.spark, "keys")
+    lines = t.lineitem.select("l_partkey", (F.col("l_orderkey") % 50).alias("b"))
+    lake.write_lake(lines.where("b <> 7 and b <> 33"), place, "bctc", "2026-01-15", "csv", batch="b")
+    expected = t.orders.select(lake.object_keys("bctc", "2026-01-15", F.col("o_orderkey") % 50).alias("key")).distinct()
+    return lake.missing_outputs(expected, lake.written_keys(t.spark, place, "bctc", "2026-01-15"), "key")
 
 
 @check(
@@ -183,6 +186,40 @@ def missing_batches(t: Tables) -> DataFrame:
     return lake.missing_outputs(expected, lake.written_batches(t.spark, place, "prices", "2024-01-31"), "batch")
 
 
+@check(
+    "missing_columns",
+    "select count(*) as row_count, 'missing columns in price file: [''close'']' as refused from orders",
+)
+def missing_columns(t: Tables) -> DataFrame:
+    """A gate that refuses, as a row."""
+    try:
+        refused = columns.require_columns(t.orders, ["o_orderkey"]).columns[0]
+        columns.require_columns(t.orders, ["o_orderkey", "close"], "price file")
+    except ValueError as error:
+        refused = str(error)
+    return t.orders.agg(F.count(F.lit(1)).alias("row_count")).withColumn("refused", F.lit(refused))
+
+
+@check("empty_policy", "select count(*) as row_count, 'skipped, refused' as outcome from orders")
+def empty_policy(t: Tables) -> DataFrame:
+    nothing = t.orders.where("o_orderkey < 0")
+    outcome = "kept" if quality.on_empty(nothing, "skip") is not None else "skipped"
+    try:
+        quality.on_empty(nothing, "error")
+    except QualityError:
+        outcome += ", refused"
+    kept = quality.on_empty(t.orders, "error")
+    return kept.agg(F.count(F.lit(1)).alias("row_count")).withColumn("outcome", F.lit(outcome))
+
+
+@check("csv_keeps_text", "select o_orderkey::varchar as symbol, case when o_orderkey % 2 = 0 then '1e-05' else '007' end as ratio from orders")
+def csv_keeps_text(t: Tables) -> DataFrame:
+    place = new_folder(t.spark, "text")
+    ratio = F.when(F.col("o_orderkey") % 2 == 0, "1e-05").otherwise("007")
+    t.orders.select(F.col("o_orderkey").alias("symbol"), ratio.alias("ratio")).write.option("header", True).csv(place)
+    return readers.read_csv_by_name(t.spark, place)
+
+
 @check(
     "compaction_plan",
     """select max(d) as latest, min(d) as first_ds, max(d) filter (where d < last) as last_ds,

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 import time
 import traceback
 
@@ -26,6 +27,7 @@ def local_session(cpus: str = "8", partitions: str = "8") -> SparkSession:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", partitions)
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", f"file:{tempfile.mkdtemp(prefix='marketlake-')}")
         .config("spark.driver.memory", "8g")
         # A few MB per task, so that the small tables still use all cores.
         .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", "4m")

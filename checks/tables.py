@@ -137,7 +137,7 @@ def upsert_unpartitioned(t: Tables) -> DataFrame:
 
 @check(
     "insert_if_absent",
-    """with titled as (select doc_id, lang, md5(split_part(text, chr(10), 1)) as news_id from documents),
+    """with titled as (select doc_id, lang, text, md5(split_part(text, chr(10), 1)) as news_id from documents),
        first_load as (select * from titled where lang <> 'en'
                       qualify row_number() over (partition by news_id order by doc_id) = 1),
        second_load as (select * from titled where news_id not in (select news_id from first_load)
@@ -147,7 +147,7 @@ def upsert_unpartitioned(t: Tables) -> DataFrame:
 def insert_if_absent(t: Tables) -> DataFrame:
     place = new_folder(t.spark, "absent")
     title = F.split_part("text", F.lit("\n"), F.lit(1))
-    titled = t.documents.select("doc_id", "lang", md5_id(title).alias("news_id"))
+    titled = t.documents.select("doc_id", "lang", "text", md5_id(title).alias("news_id"))
     tables.insert_if_absent(titled.where("lang <> 'en'"), place, ["news_id"], ["doc_id"])
     tables.insert_if_absent(titled, place, ["news_id"], ["doc_id"])
     tables.insert_if_absent(titled, place, ["news_id"], ["doc_id"])

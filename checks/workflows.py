@@ -82,19 +82,30 @@ def index_series(t: Tables) -> DataFrame:
 
 @check(
     "macro_series_union",
-    """select strftime(ts, '%Y-%m-%d') as date, null::varchar as open, null::varchar as high, null::varchar as low,
-              value as close, null::varchar as volume,
+    """select strftime(ts, '%Y-%m-%d') as date, null::double as open, null::double as high, null::double as low,
+              value as close, null::double as volume,
               case event_type when 'click' then 'US_BOND_10Y' when 'view' then 'USD_VND' when 'signup' then 'DXY_INDEX'
               end as indicator_type,
               case event_type when 'purchase' then 'GOLD' when 'error' then 'OIL' end as asset_type from events""",
 )
 def macro_series_union(t: Tables) -> DataFrame:
-    def raw(kind: str) -> DataFrame:
-        of_kind = t.events.where(F.col("event_type") == kind)
-        return of_kind.select(F.col("ts").alias("Date"), F.col("value").alias("Close"), F.lit(0).alias("Dividends"))
+    kinds = {"click": "us_bond_10y", "view": "usd_vnd", "signup": "dxy_index", "purchase": "xau", "error": "oil"}
+    name = F.create_map(*[F.lit(x) for pair in kinds.items() for x in pair])[F.col("event_type")]
+    raw = t.events.select(F.col("ts").alias("Date"), F.col("value").alias("Close"), F.lit(0).alias("Dividends"), name.alias("kind"))
+    return macro.macro_table(raw, F.col("kind"))
 
-    kinds = {"us_bond_10y": "click", "usd_vnd": "view", "dxy_index": "signup", "xau": "purchase", "oil": "error"}
-    return macro.macro_union({series: raw(kind) for series, kind in kinds.items()})
+
+@check(
+    "macro_mixed_types",
+    """select strftime(ts, '%Y-%m-%d') as date, null::double as open, null::double as high, null::double as low,
+              case when event_type = 'click' then value end as close, null::double as volume,
+              case event_type when 'click' then 'US_BOND_10Y' else 'USD_VND' end as indicator_type
+       from events where event_type in ('click', 'view') and ts >= timestamp '2024-01-10'""",
+)
+def macro_mixed_types(t: Tables) -> DataFrame:
+    raw = lambda kind, close: t.events.where(F.col("event_type") == kind).select(F.col("ts").alias("date"), close.alias("close"))
+    both = macro.macro_union({"us_bond_10y": raw("click", F.col("value").cast("string")), "usd_vnd": raw("view", F.lit("n/a"))})
+    return macro.macro_window(both, "2024-01-10")
 
 
 SLUG_SQL = "upper(trim(regexp_replace(ind_name, '[^A-Za-z0-9]+', '_', 'g'), '_'))"
@@ -243,8 +254,8 @@ def news_year(t: Tables) -> DataFrame:
 
 @check(
     "news_hash_dedup",
-    """select md5(title) as news_id, title, doc_id::varchar as source_link, source as source_name from
-       (select doc_id, source, split_part(text, chr(10), 1) as title from documents)
+    """select md5(title) as news_id, title, text as short_content, doc_id::varchar as source_link, source as source_name from
+       (select doc_id, source, text, split_part(text, chr(10), 1) as title from documents)
        where trim(title) <> '' qualify row_number() over (partition by title order by doc_id) = 1""",
 )
 def news_hash_dedup(t: Tables) -> DataFrame:
@@ -253,24 +264,25 @@ def news_hash_dedup(t: Tables) -> DataFrame:
         F.col("doc_id").cast("string").alias("link"),
         "source",
         F.col("doc_id").alias("_order"),
-        *[F.lit(None).cast("string").alias(c) for c in ("ticker", "description", "image", "date")],
+        F.col("text").alias("description"),
+        *[F.lit(None).cast("string").alias(c) for c in ("ticker", "image", "date")],
     )
     place = new_folder(t.spark, "news")
     table = news.news_from_csv(titled, RUN_TS)
     news.load_news(table, place, ["_order"])
     news.load_news(table, place, ["_order"])
-    return t.spark.read.parquet(place).select("news_id", "title", "source_link", "source_name")
+    return t.spark.read.parquet(place).select("news_id", "title", "short_content", "source_link", "source_name")
 
 
 @check(
     "news_load_both",
     """with json as (select conv_id::varchar as news_id, role as ticker, text as title, 'FiinGroup' as source_name,
-                            make_timestamp((1704067200000 + turn * 1000) * 1000) as public_date
+                            make_timestamp((1704067200000 + turn * 1000) * 1000) as public_date, null::varchar as short_content
                      from conversations qualify row_number() over (partition by conv_id order by turn, role, text) = 1),
        csv as (select md5(title) as news_id, null::varchar as ticker, title, source as source_name,
-                      timestamp '2024-01-05 10:00:00' as public_date
-               from (select doc_id, source, split_part(text, chr(10), 1) as title from documents)
-               where trim(title) <> '' qualify row_number() over (partition by title order by source) = 1)
+                      timestamp '2024-01-05 10:00:00' as public_date, text as short_content
+               from (select doc_id, source, text, split_part(text, chr(10), 1) as title from documents)
+               where trim(title) <> '' qualify row_number() over (partition by title order by source, text) = 1)
        select * from json union all select * from csv""",
 )
 def news_load_both(t: Tables) -> DataFrame:
@@ -288,34 +300,54 @@ def news_load_both(t: Tables) -> DataFrame:
         F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"),
         F.lit("2024-01-05 10:00:00").alias("date"),
         "source",
-        *[F.lit(None).cast("string").alias(c) for c in ("ticker", "description", "link", "image")],
+        F.col("text").alias("description"),
+        *[F.lit(None).cast("string").alias(c) for c in ("ticker", "link", "image")],
     )
     titled.select(*NEWS_CSV.names).write.option("header", True).option("escape", '"').csv(f"{root}/csv")
     from_csv = readers.read_csv_lake(t.spark, f"{root}/csv", NEWS_CSV, multiline=True)
     news.load_news(news.news_from_json(from_json, RUN_TS), f"{root}/table", ["public_date", "ticker", "title"])
-    news.load_news(news.news_from_csv(from_csv, RUN_TS), f"{root}/table", ["source_name"])
+    news.load_news(news.news_from_csv(from_csv, RUN_TS), f"{root}/table", ["source_name", "short_content"])
     return t.spark.read.parquet(f"{root}/table").select(
-        "news_id", "ticker", "title", "source_name", F.col("public_date").cast("timestamp_ntz").alias("public_date")
+        "news_id", "ticker", "title", "source_name", F.col("public_date").cast("timestamp_ntz").alias("public_date"), "short_content"
     )
 
 
 @check(
     "site_articles",
-    f"""select distinct url, case when url like 'https://%' then 'secure' else 'plain' end as source,
-              '2024-02-01' as target_date, '' as publish_time,
-              {DECODE_SQL.format("trim(regexp_extract(html, '<h1>(.*?)</h1>', 1, 's'))")} as title
-       from pages""",
+    f"""select url, case when url like 'https://%' then 'secure' else 'plain' end as source,
+              '2024-02-01' as target_date, '' as publish_time, '{RUN_TS}' as fetched_at,
+              {DECODE_SQL.format("trim(regexp_extract(html, '<h1>(.*?)</h1>', 1, 's'))")} as title,
+              {DECODE_SQL.format("trim(regexp_extract(html, '<div class=.ad.>(.*?)</div>', 1, 's'))")} as sapo
+       from (select url, min(html) as html from pages group by url)""",
 )
 def site_articles(t: Tables) -> DataFrame:
-    entries = t.pages.select(F.col("url").alias("loc"), F.lit("none").alias("published")).distinct()
+    return _site_articles(t, "time", "2024-02-01").drop("content")
+
+
+@check(
+    "site_articles_of_day",
+    f"""select url, case when url like 'https://%' then 'secure' else 'plain' end as source, '2024-02-25' as target_date,
+              '25/02' || trim(regexp_extract(html, '<style>(.*?)</style>', 1, 's')) as publish_time,
+              {DECODE_SQL.format("trim(regexp_extract(html, '<h1>(.*?)</h1>', 1, 's'))")} as title
+       from (select url, min(html) as html from pages group by url) where url like '%1%'""",
+)
+def site_articles_of_day(t: Tables) -> DataFrame:
+    """Pages whose address has a 1 print the day; the others print another."""
+    day = F.when(F.col("url").contains("1"), "25/02").otherwise("24/02")
+    style = F.trim(F.regexp_extract("html", "(?s)<style>(.*?)</style>", 1))
+    marked = t.pages.withColumn("html", F.concat(F.lit("<time>"), day, style, F.lit("</time>"), "html"))
+    return _site_articles(t, "time", "2024-02-25", marked).select("url", "source", "target_date", "publish_time", "title")
+
+
+def _site_articles(t: Tables, time: str, day: str, pages: DataFrame | None = None) -> DataFrame:
+    pages = t.pages if pages is None else pages
+    entries = t.pages.select(F.col("url").alias("loc"), F.lit("none").alias("published"))
     secure = F.col("loc").startswith("https://")
-    wanted = site_news.candidates(
-        {"secure": entries.where(secure), "plain": entries.where(~secure)}, {}, "2024-02-01"
-    )
-    fields = {"title": "h1", "content": "article", "sapo": ".ad", "publish_time": "time"}
-    rules = {"secure": fields, "plain": fields}
-    articles = site_news.day_articles(wanted, t.pages, "2024-02-01", RUN_TS, rules)
-    return articles.select("url", "source", "target_date", "publish_time", "title").distinct()
+    # Every entry twice: one article per source and address comes of it.
+    entries = entries.unionByName(entries)
+    wanted = site_news.candidates({"secure": entries.where(secure), "plain": entries.where(~secure)}, {}, day)
+    fields = {"title": "h1", "content": "article", "sapo": ".ad", "publish_time": time}
+    return site_news.day_articles(wanted, pages, day, RUN_TS, {"secure": fields, "plain": fields})
 
 
 INGEST_SQL = f"""
@@ -340,7 +372,15 @@ def price_drops(t: Tables) -> tuple[DataFrame, DataFrame]:
 
 
 def price_load(table: str):
-    return upsert_load(table, list(prices.KEY), ["_file", "_block", "_row"], prices.month_partition())
+    return upsert_load(table, list(prices.KEY), prices.month_partition())
+
+
+def with_second_rows(drop: DataFrame) -> DataFrame:
+    """Each row followed by one of its key with another close, which does not count."""
+    twice = drop.withColumn("_n", F.explode(F.array(F.lit(0), F.lit(1))))
+    key = ["ticker", "trading_date"]
+    other = twice.withColumn("close", F.when(F.col("_n") == 1, F.lit(-5.0)).otherwise(F.col("close")))
+    return other.repartition(3, *key).sortWithinPartitions(*key, "_n").drop("_n")
 
 
 @check("ingest_log_skip", INGEST_SQL)
@@ -350,30 +390,33 @@ def ingest_log_skip(t: Tables) -> DataFrame:
     steps = (("2024-01-15", early), ("2024-01-16", None), ("2024-01-30", late))
     for day, drop in steps:
         if drop is not None:
-            lake.write_lake(drop, f"{root}/lake", "daily_price", day, "csv", bom=True)
+            with_second_rows(drop).write.option("header", True).csv(f"{root}/lake/{day}")
         ingest_files(
-            t.spark, f"{root}/lake", f"{root}/log", prices.clean_prices, price_load(f"{root}/table"), RUN_TS
+            t.spark, f"{root}/lake", f"{root}/log", prices.clean_prices, price_load(f"{root}/table"), RUN_TS,
+            files_per_batch=2, check=prices.check_header,
         )
-    return t.spark.read.parquet(f"{root}/table").select("ticker", "trading_date", "close")
+    table = t.spark.read.parquet(f"{root}/table")
+    loaded = table.where((F.col("loaded_at") == F.lit(RUN_TS).cast("timestamp")) & F.col("source_file").contains("/lake/"))
+    return loaded.select("ticker", "trading_date", "close")
 
 
 @check(
     "stream_insert_absent",
-    """with titled as (select lang, doc_id, md5(split_part(text, chr(10), 1)) as news_id from documents
+    """with titled as (select lang, doc_id, text, md5(split_part(text, chr(10), 1)) as news_id from documents
                        where trim(split_part(text, chr(10), 1)) <> ''),
        first_load as (select * from titled where lang <> 'en'
                       qualify row_number() over (partition by news_id order by doc_id) = 1),
        second_load as (select * from titled where news_id not in (select news_id from first_load)
                        qualify row_number() over (partition by news_id order by doc_id) = 1)
-       select news_id, doc_id::varchar as source_link from first_load
-       union all select news_id, doc_id::varchar from second_load""",
+       select news_id, doc_id::varchar as source_link, text as short_content from first_load
+       union all select news_id, doc_id::varchar, text from second_load""",
 )
 def stream_insert_absent(t: Tables) -> DataFrame:
     root = new_folder(t.spark, "stream_news")
     titled = t.documents.select(
         F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"),
         F.col("lang").alias("ticker"),
-        F.lit(None).cast("string").alias("description"),
+        F.col("text").alias("description"),
         F.col("doc_id").cast("string").alias("link"),
         *[F.lit(None).cast("string").alias(c) for c in ("image", "source", "date")],
     )
@@ -385,7 +428,7 @@ def stream_insert_absent(t: Tables) -> DataFrame:
     for drop in (titled.where("ticker <> 'en'"), titled):
         drop.write.mode("append").option("header", True).option("escape", '"').csv(f"{root}/in")
         ingest_stream(t.spark, f"{root}/in", NEWS_CSV, f"{root}/checkpoint", shape, load, multiline=True)
-    return t.spark.read.parquet(f"{root}/table").select("news_id", "source_link")
+    return t.spark.read.parquet(f"{root}/table").select("news_id", "source_link", "short_content")
 
 
 @check("stream_ingest", INGEST_SQL)
@@ -395,11 +438,13 @@ def stream_ingest(t: Tables) -> DataFrame:
     steps = (("2024-01-15", early), ("2024-01-16", None), ("2024-01-30", late))
     for day, drop in steps:
         if drop is not None:
-            lake.write_lake(drop, f"{root}/lake", "daily_price", day, "csv")
+            with_second_rows(drop).write.option("header", True).csv(f"{root}/lake/{day}")
         ingest_stream(
-            t.spark, f"{root}/lake", PRICE_RAW, f"{root}/checkpoint", prices.clean_prices, price_load(f"{root}/table")
+            t.spark, f"{root}/lake", PRICE_RAW, f"{root}/checkpoint", prices.clean_prices, price_load(f"{root}/table"),
+            files_per_batch=2, run_ts=RUN_TS,
         )
-    return t.spark.read.parquet(f"{root}/table").select("ticker", "trading_date", "close")
+    table = t.spark.read.parquet(f"{root}/table")
+    return table.where(F.col("loaded_at").isNotNull()).select("ticker", "trading_date", "close")
 
 
 @registry.table_function("checks.big_orders")

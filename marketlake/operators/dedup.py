@@ -21,14 +21,20 @@ def _pick(df: DataFrame, keys: Sequence[str | Column], order: Sequence[Column])
     return df.withColumn("_rank", F.row_number().over(window)).where("_rank = 1").drop("_rank")
 
 
+def _orders(order_by: Sequence[str], reverse: bool) -> list[Column]:
+    """``x`` rises and ``-x`` falls, or the other way round."""
+    falls = [(name.removeprefix("-"), name.startswith("-") != reverse) for name in order_by]
+    return [F.col(name).desc() if down else F.col(name).asc() for name, down in falls]
+
+
 def keep_first(df: DataFrame, keys: Sequence[str | Column], order_by: Sequence[str]) -> DataFrame:
     """One row per key: the lowest in ``order_by``."""
-    return _pick(df, keys, [F.col(c).asc() for c in order_by])
+    return _pick(df, keys, _orders(order_by, reverse=False))
 
 
 def keep_last(df: DataFrame, keys: Sequence[str | Column], order_by: Sequence[str]) -> DataFrame:
     """One row per key: the highest in ``order_by``."""
-    return _pick(df, keys, [F.col(c).desc() for c in order_by])
+    return _pick(df, keys, _orders(order_by, reverse=True))
 
 
 def dedup_news(df: DataFrame, id_col: str, title_col: str, order_by: Sequence[str]) -> DataFrame:

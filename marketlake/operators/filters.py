@@ -13,7 +13,6 @@ from pyspark.sql import types as T
 
 from ..functions import as_int, day_tokens, half_open_day, lenient_date
 from ..session import materialize
-from .joins import broadcast_if_small
 
 
 def on_day(df: DataFrame, column: str, day: date | str) -> DataFrame:
@@ -32,18 +31,18 @@ def in_range(
     start: date | str | None = None,
     end: date | str | None = None,
     *,
-    default_start: str = "2008-01-01",
+    default_start: str | None = None,
     default_end: str | None = None,
     whole_end_day: bool = True,
 ) -> DataFrame:
-    """``start <= column <= end`` with defaults for either bound.
+    """``start <= column <= end`` with a job's defaults; a bound that nobody gives filters nothing.
 
     A timestamp later on the end day belongs to it, unless ``whole_end_day`` is False:
-    then the end is its midnight.
+    then the end is its midnight. With a bound, rows without a date fall out.
     """
     c = F.col(column)
-    low = F.lit(str(start or default_start)).cast("date")
-    df = df.where(c >= low)
+    if start or default_start:
+        df = df.where(c >= F.lit(str(start or default_start)).cast("date"))
     last = end or default_end
     if last is None:
         return df
@@ -96,7 +95,7 @@ def keep_matches_or_all(df: DataFrame, group: str, keep: Column) -> DataFrame:
     groups = materialize(
         marked.groupBy(F.col(group).alias("_group")).agg(F.bool_or("_keep").alias("_any"))
     )
-    without = broadcast_if_small(groups.where(~F.col("_any")).select("_group"))
+    without = groups.where(~F.col("_any")).select("_group")
     flagged = marked.join(
         without.withColumn("_all", F.lit(True)),
         F.col(group).eqNullSafe(F.col("_group")),

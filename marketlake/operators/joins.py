@@ -1,7 +1,7 @@
 """Lookups and enrichment.
 
-All joins are equi-joins. A side is broadcast only after its size was checked; else the
-join is left to Catalyst, and AQE splits a hot key of the large side.
+All joins are equi-joins. Which side is broadcast is left to Catalyst and AQE, which know the
+bytes of stored tables and of shuffled sides; beyond the bound AQE splits a hot key of the large side.
 """
 
 from __future__ import annotations
@@ -15,21 +15,6 @@ from ..functions import coalesce_blank, fallback_code, strip_text
 from .columns import conform, drop_suffix, normalize_symbol
 from .dedup import keep_first
 
-# Lookup sides hold a few short text columns; this many rows stay far below an
-# executor's memory.
-BROADCAST_ROWS = 50_000
-
-
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """At most ``max_rows`` rows? Takes rows partition by partition and stops after that many."""
-    return len(df.select(F.lit(1)).take(max_rows + 1)) <= max_rows
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` with a broadcast hint if it is small."""
-    return F.broadcast(df) if is_small(df, max_rows) else df
-
-
 def rename_by_lookup(
     df: DataFrame,
     mapping: DataFrame,
@@ -42,7 +27,7 @@ def rename_by_lookup(
     ``mapping.raw`` must be unique (see ``quality.assert_unique``).
     """
     side = mapping.select(F.col(raw).alias("_raw"), F.col(standard).alias("_std"))
-    joined = df.join(broadcast_if_small(side), F.col(column) == F.col("_raw"), "left")
+    joined = df.join(side, F.col(column) == F.col("_raw"), "left")
     return joined.withColumn(column, F.coalesce("_std", column)).drop("_raw", "_std")
 
 
@@ -57,7 +42,7 @@ def lookup_with_default(
         F.col("en_name").alias("_en"), F.col("vi_name").alias("_vi"), F.col("code").alias("_code")
     )
     named = df.withColumn("_name", strip_text(F.col(column).cast("string")))
-    joined = named.join(broadcast_if_small(side), F.col("_name") == F.col("_en"), "left")
+    joined = named.join(side, F.col("_name") == F.col("_en"), "left")
     return joined.withColumns(
         {
             out_name: F.coalesce("_vi", "_name"),

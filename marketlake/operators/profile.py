@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .joins import broadcast_if_small, rename_by_lookup, with_match, without_match
+from .joins import rename_by_lookup, with_match, without_match
 
 
 def name_counts(df: DataFrame, column: str = "ind_name") -> DataFrame:
@@ -30,7 +30,7 @@ def _standard(mapping: DataFrame) -> DataFrame:
 
 def profile_before(counts: DataFrame, mapping: DataFrame) -> DataFrame:
     """One row: rows, names, names the mapping knows and names it does not."""
-    known = broadcast_if_small(_raw(mapping).withColumn("_known", F.lit(True)))
+    known = _raw(mapping).withColumn("_known", F.lit(True))
     marked = counts.join(known, "ind_name", "left")
     row = marked.agg(
         F.coalesce(F.sum("record_count"), F.lit(0)).cast("bigint").alias("total_records"),

@@ -13,8 +13,14 @@ from ..functions import as_int, lenient_number
 
 
 def union_by_name(*frames: DataFrame) -> DataFrame:
-    """All rows of all frames; a column one of them lacks is null there."""
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    """All rows of all frames; a column one of them lacks is null there.
+
+    Halves are joined first, so that a thousand frames make a plan ten unions deep.
+    """
+    if len(frames) < 3:
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    middle = len(frames) // 2
+    return union_by_name(union_by_name(*frames[:middle]), union_by_name(*frames[middle:]))
 
 
 def union_roles(roles: Mapping[str, DataFrame], tag: str) -> DataFrame:

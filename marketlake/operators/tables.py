@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import date, timedelta
 from functools import reduce
-from operator import and_, or_
+from operator import or_
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,8 +20,8 @@ from ..session import count_rows, counted
 from ..sources import paths
 from .columns import order_columns, with_audit
 from .dedup import keep_first, keep_last
-from .joins import is_small, without_match
-from .quality import assert_unique
+from .joins import without_match
+from .quality import QualityError, assert_unique
 
 
 def ensure_table(
@@ -31,16 +31,20 @@ def ensure_table(
     partition_by: Sequence[str] = (),
     location: str | None = None,
 ) -> DataFrame:
-    """Create schema and table if missing; an existing one must have the same columns."""
+    """Create schema and table if missing; an existing one must have the same columns and types."""
+    quoted = lambda text: "`" + text.replace("`", "``") + "`"
+    name = ".".join(quoted(part.strip("`")) for part in name.split("."))
     if "." in name:
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {name.rsplit('.', 1)[0]}")
-    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    parts = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
-    place = f" LOCATION '{location}'" if location else ""
+    columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
+    parts = f" PARTITIONED BY ({', '.join(map(quoted, partition_by))})" if partition_by else ""
+    escaped = (location or "").replace("\\", "\\\\").replace("'", "\\'")
+    place = f" LOCATION '{escaped}'" if location else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet{parts}{place}")
     table = spark.table(name)
-    if sorted(table.columns) != sorted(schema.names):
-        raise ValueError(f"{name} exists with columns {table.columns}")
+    types = lambda s: sorted((f.name, f.dataType.simpleString()) for f in s.fields)
+    if types(table.schema) != types(schema):
+        raise ValueError(f"{name} exists with columns {types(table.schema)}")
     return table
 
 
@@ -110,7 +114,16 @@ def _partitioned(df: DataFrame, keys: Sequence[str], partition_by: Mapping[str,
     Otherwise an update could move a key to another partition and leave a copy behind.
     """
     df.select(*keys).select(*[c.alias(n) for n, c in partition_by.items()])
-    return df.withColumns({n: c.cast("string") for n, c in partition_by.items()})
+    # The empty text and null share a folder, so they must be one value.
+    return df.withColumns({n: F.nullif(c.cast("string"), F.lit("")) for n, c in partition_by.items()})
+
+
+def _with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``df``, if all its keys are there: a null equals no key, so its row would pile up."""
+    without = df.where(reduce(or_, [F.col(k).isNull() for k in keys])).count()
+    if without:
+        raise QualityError(f"{without} rows without a value in the key {list(keys)}")
+    return df
 
 
 def upsert(
@@ -124,21 +137,20 @@ def upsert(
     """Insert the source rows; rows of the target with the same key are replaced.
 
     The source is reduced to one row per key, ``keep`` the first or last in ``order_by``.
-    Order columns starting with ``_`` are not stored. Only the partitions the source
-    touches are read and rewritten; ``partition_by`` names them, each a function of the
-    key. Without partitions the whole table is rewritten aside and swapped in.
-
-    The keys of a small source are broadcast, and the target's rows are then filtered and
-    written back without any shuffle.
+    Order columns starting with ``_`` are not stored. Rows with a null in the key are refused.
+    Only the partitions the source touches are read and rewritten; ``partition_by`` names them,
+    each a function of the key. They are written aside and swapped in one by one, and without
+    partitions the whole table is; a job that dies in between loses nothing (``paths.finish_swap``).
     """
     spark = source.sparkSession
     parts = dict(partition_by or {})
+    paths.finish_swap(spark, target, len(parts))
     pick = {"first": keep_first, "last": keep_last}[keep]
     single = pick(source, keys, order_by)
     single = single.drop(*order_columns(single))
     # Read three times below, and its input may be a stream's files.
     with paths.step(_partitioned(single, keys, parts) if parts else single) as incoming:
-        small = is_small(incoming)
+        _with_keys(incoming, keys)
         merged = incoming
         if paths.has_data(spark, target):
             current = read_partitions(spark, target, list(parts))
@@ -148,17 +160,42 @@ def upsert(
                 if not touched:
                     return spark.read.parquet(target)
                 current = current.where(in_partitions(touched, list(parts)))
-            replaced = incoming.select(*keys)
-            kept = current.join(F.broadcast(replaced) if small else replaced, list(keys), "left_anti")
+            # A stored table: Catalyst knows its size, and broadcasts the keys of a small one.
+            kept = current.join(incoming.select(*keys), list(keys), "left_anti")
             merged = kept.unionByName(_as_target(incoming, current.schema))
         if parts:
-            return replace_partitions(merged, target, list(parts), rebalance=not small)
+            return swap_in(merged, target, list(parts))
         return full_refresh(merged, target)
 
 
+def swap_in(df: DataFrame, target: str, partition_by: Sequence[str], rebalance: bool = True) -> DataFrame:
+    """``replace_partitions`` for rows read from the same table: written aside before any folder goes."""
+    spark = df.sparkSession
+    staged = paths.aside(target, "staged")
+    paths.delete(spark, staged)
+    replace_partitions(df, staged, partition_by, rebalance)
+    paths.swap_partitions(spark, staged, target, len(partition_by))
+    return spark.read.parquet(target)
+
+
 def in_partitions(rows: Sequence, names: Sequence[str]) -> Column:
-    """Condition that holds in the given partitions, and so prunes the other folders."""
-    return reduce(or_, [reduce(and_, [F.col(n).eqNullSafe(r[n]) for n in names]) for r in rows])
+    """Condition that holds in the given partitions, and so prunes the other folders.
+
+    A set of values for each name in turn, halves joined first, so that thousands of partitions make
+    a condition a few levels deep.
+    """
+    name, *rest = names
+    if not rest:
+        values = [r[name] for r in rows]
+        some = [v for v in values if v is not None]
+        return reduce(or_, [F.col(name).isin(some)] * bool(some) + [F.col(name).isNull()] * (len(some) < len(values)))
+    groups: dict[Any, list] = {}
+    for r in rows:
+        groups.setdefault(r[name], []).append(r)
+    terms = [F.col(name).eqNullSafe(F.lit(v)) & in_partitions(g, rest) for v, g in groups.items()]
+    while len(terms) > 1:
+        terms = [reduce(or_, terms[i : i + 2]) for i in range(0, len(terms), 2)]
+    return terms[0]
 
 
 def insert_if_absent(
@@ -170,28 +207,28 @@ def insert_if_absent(
 ) -> int:
     """Append source rows whose key the target lacks; returns how many.
 
-    Of several source rows with one key the first in ``order_by`` is taken. Of the target
-    only the key columns are read, and only in the partitions the source touches; if the
-    source is small, its keys are broadcast to find those already there, and the target's
-    keys are not shuffled.
+    Of several source rows with one key the first in ``order_by`` is taken; rows with a null in the
+    key are refused. Of the target only the key columns are read, and only in the partitions the
+    source touches, and of these the keys that the source has too.
     """
     spark = source.sparkSession
     parts = dict(partition_by or {})
+    paths.finish_swap(spark, target, len(parts))
     single = keep_first(source, keys, order_by)
     single = single.drop(*order_columns(single))
     single = _partitioned(single, keys, parts) if parts else single
-    if not paths.has_data(spark, target):
-        return _append(single, target, parts)
-    current = read_partitions(spark, target, list(parts))
-    with paths.step(_as_target(single, current.schema)) as incoming:
+    there = paths.has_data(spark, target)
+    current = read_partitions(spark, target, list(parts)) if there else None
+    with paths.step(_as_target(single, current.schema) if there else single) as incoming:
+        _with_keys(incoming, keys)
+        if not there:
+            return _append(incoming, target, parts)
         if parts:
             touched = incoming.select(*parts).distinct().collect()
             if not touched:
                 return 0
             current = current.where(in_partitions(touched, list(parts)))
-        known = current.select(*keys)
-        if is_small(incoming):
-            known = known.join(F.broadcast(incoming.select(*keys)), list(keys), "left_semi")
+        known = current.select(*keys).join(incoming.select(*keys), list(keys), "left_semi")
         return _append(without_match(incoming, known, keys), target, parts)
 
 

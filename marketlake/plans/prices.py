@@ -20,13 +20,29 @@ from ..operators.columns import (
 )
 from ..operators.dedup import keep_first, keep_last
 from ..operators.filters import in_range
-from ..operators.quality import on_empty
+from ..operators.quality import QualityError, on_empty
 from ..schemas import PRICE, PRICE_COLUMNS
-from ..vocabulary import INDEX_START, INDEX_SYMBOLS
+from ..vocabulary import INDEX_START, INDEX_SYMBOLS, PRICE_START
 
 KEY = ("ticker", "trading_date")
 
 
+def check_header(names: Sequence[str], example: str) -> None:
+    """Refuse a price file that lacks a column, for ``read_csv_by_name``.
+
+    Else its rows would replace good prices by nulls.
+    """
+    known = {PRICE_SYNONYMS.get(n, n) for n in names}
+    missing = [c for c in PRICE_COLUMNS if c not in known]
+    if missing:
+        raise QualityError(f"{example}: columns {missing} are missing")
+
+
+def price_history(table: DataFrame, start: date | str | None = None, end: date | str | None = None) -> DataFrame:
+    """Bars of the price job's window: from 2008 on, unless told otherwise."""
+    return in_range(table, "trading_date", start, end, default_start=PRICE_START)
+
+
 def month_partition() -> dict[str, Column]:
     """Partition of the price tables: a function of the key, so an update stays in place."""
     return {"trading_month": F.date_format("trading_date", "yyyy-MM")}

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import parse_articles
+from ..operators.dedup import keep_first
 from ..operators.filters import keep_matches_or_all, matches_day, matches_or_absent
 from ..operators.reshape import union_by_name
 from ..session import materialize
@@ -45,12 +46,15 @@ def day_articles(
     rules: Mapping[str, Mapping[str, str]] | None = None,
     mode: str = "contains",
 ) -> DataFrame:
-    """Articles printed with the day; if there is none at all, every article.
+    """Articles printed with the day; if there is none at all, every article. One per source and URL.
 
-    ``pages`` holds ``url`` and ``html`` of the fetched pages; pages nobody asked for are
-    left out before any HTML is parsed.
+    ``pages`` holds ``url`` and ``html`` of the fetched pages; of several of one URL the first text counts.
+    Pages nobody asked for are left out, by the addresses alone, before any body is moved or parsed. A URL
+    with many copies is reduced to one row in the map tasks, so it is never gathered.
     """
-    fetched = wanted.join(pages.select("url", "html"), "url").select("source", "url", "html")
+    asked = wanted.select("source", "url").distinct()
+    bodies = pages.select("url", "html").join(asked.select("url").distinct(), "url", "left_semi")
+    fetched = asked.join(keep_first(bodies, ["url"], ["html"]), "url").select("source", "url", "html")
     articles = materialize(parse_articles(fetched, rules=rules))
     of_day = articles.where(matches_day(F.col("publish_time"), day, mode))
     chosen = of_day if not of_day.isEmpty() else articles

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import profile
-from ..operators.joins import is_small, rename_by_lookup, with_match
+from ..operators.joins import rename_by_lookup, with_match
 from ..operators.quality import (
     QualityError,
     assert_min_rows,
@@ -27,8 +27,8 @@ from ..operators.tables import (
     full_refresh,
     in_partitions,
     read_partitions,
-    replace_partitions,
     snapshot,
+    swap_in,
 )
 from ..session import materialize
 from ..sources import paths
@@ -78,9 +78,8 @@ def standardize_table(
         touched = with_match(per_part, profile.moving_names(rules), ["ind_name"])
         folders = touched.select(*partition_by).distinct().collect()
         stale = current.where(in_partitions(folders, partition_by))
-        # A map over the rows as long as the mapping is broadcast: no shuffle.
         renamed = standardize_names(stale, rules)
-        replace_partitions(renamed, table, partition_by, rebalance=not is_small(rules))
+        swap_in(renamed, table, partition_by)
     elif changed:
         full_refresh(standardize_names(current, rules), table)
 

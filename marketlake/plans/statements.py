@@ -14,17 +14,18 @@ from ..operators.filters import for_year
 from ..operators.joins import lookup_with_default
 from ..operators.reshape import melt_wide, union_by_name
 from ..schemas import INDICATOR_MAPPING, LOADER_MAPPING, STATEMENT, STATEMENT_TABLE
+from ..session import fixed_table
 from ..vocabulary import LOADER_INDICATORS, STANDARD_INDICATORS, STATEMENTS, rows
 
 
 def loader_mapping(spark: SparkSession) -> DataFrame:
     """English indicator name to Vietnamese name and code."""
-    return spark.createDataFrame(rows(LOADER_INDICATORS), LOADER_MAPPING)
+    return fixed_table(spark, rows(LOADER_INDICATORS), LOADER_MAPPING.names)
 
 
 def standard_mapping(spark: SparkSession) -> DataFrame:
     """Indicator name to standard name."""
-    return spark.createDataFrame(rows(STANDARD_INDICATORS), INDICATOR_MAPPING)
+    return fixed_table(spark, rows(STANDARD_INDICATORS), INDICATOR_MAPPING.names)
 
 
 def statement_long(

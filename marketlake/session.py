@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
+import pyarrow as pa
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -29,23 +31,27 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """Folder all executors can read and write, as named by ``spark.checkpoint.dir``.
-
-    Only a local session may go without the setting: it gets a new temporary folder.
-    """
+    """Folder all executors can read and write, as named by ``spark.checkpoint.dir``."""
     context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or context.getConf().get(
         "spark.checkpoint.dir"
     )
-    if root:
-        if not context.getCheckpointDir():
-            context.setCheckpointDir(root)
-        return root.rstrip("/")
-    if not context.master.startswith("local"):
+    if not root:
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     if not context.getCheckpointDir():
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="marketlake-"))
-    return context.getCheckpointDir().rstrip("/")
+        context.setCheckpointDir(root)
+    return root.rstrip("/")
+
+
+def with_folder(spark: SparkSession) -> SparkSession:
+    """``configure``, and for trials on one machine a folder where none is named.
+
+    For registered queries and tests; jobs call ``configure`` and name a shared folder.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not named and spark.sparkContext.master.startswith("local["):
+        spark.conf.set("spark.checkpoint.dir", f"file:{tempfile.mkdtemp(prefix='marketlake-')}")
+    return configure(spark)
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -86,3 +92,9 @@ def stored(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` to a new folder and read it from there."""
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def fixed_table(spark: SparkSession, rows: Sequence[tuple], names: Sequence[str]) -> DataFrame:
+    """Fixed text values as a table of known size, by which Catalyst picks the join."""
+    columns = dict(zip(names, (pa.array(c, pa.string()) for c in zip(*rows))))
+    return spark.createDataFrame(pa.table(columns))

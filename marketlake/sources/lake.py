@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from datetime import date
 
@@ -12,7 +13,7 @@ from pyspark.sql import types as T
 
 from ..operators.joins import without_match
 from ..operators.quality import QualityError
-from ..session import count_rows, counted
+from ..session import count_rows, counted, new_folder
 from ..vocabulary import LAYOUTS
 from . import paths
 from .readers import read_csv_by_name, read_csv_lake
@@ -100,6 +101,12 @@ def written_batches(spark: SparkSession, root: str, dataset: str, ds: date | str
     return paths.lake_files(spark, folder).select(plain.alias("batch")).distinct()
 
 
+def written_keys(spark: SparkSession, root: str, dataset: str, ds: date | str) -> DataFrame:
+    """``key``, by the dataset's layout, of every batch that ``write_lake`` left for the day."""
+    found = written_batches(spark, root, dataset, ds)
+    return found.select(object_keys(dataset, str(ds), F.col("batch")).alias("key"))
+
+
 def missing_outputs(expected: DataFrame, present: DataFrame, key: str) -> DataFrame:
     """Expected keys that were not written."""
     return without_match(expected, present, [key])
@@ -137,8 +144,9 @@ def compact_partitions(
     """Merge all CSV dates but the newest into one Parquet archive, then drop the inputs.
 
     Needs at least ``min_history`` older dates. Columns are matched by name, unless
-    ``schema`` gives the one header that all files must have. The archive's
-    row count is checked against the rows read before anything is deleted. Small files are
+    ``schema`` gives the one header that all files must have. Before anything is deleted, the
+    archive's row count is checked against the rows read and, where rows are lines, against those of
+    every listed file. Small files are
     packed into tasks of ``spark.sql.files.maxPartitionBytes``, so there is no shuffle and
     the archive gets files of about that size.
     """
@@ -159,10 +167,21 @@ def compact_partitions(
         rows = read_csv_lake(spark, older, schema, multiline)
     rows, read = count_rows(rows)
     archive = f"{root}/{ARCHIVE}/{plan['first_ds']}_{plan['last_ds']}"
-    rows.write.mode("overwrite").parquet(archive)
-    kept = spark.read.parquet(archive).count()
-    if kept != counted(read):
-        raise QualityError(f"archive has {kept} rows, {counted(read)} were read")
-    for path in older:
-        paths.delete(spark, path)
+    staged = new_folder(spark, "archive")
+    rows.write.parquet(staged)
+    kept = spark.read.parquet(staged).count()
+    listed = counted(read) if multiline else csv_row_count(spark, older)
+    if not kept == counted(read) == listed:
+        paths.delete(spark, staged)
+        raise QualityError(f"the archive has {kept} rows, {counted(read)} were read, the files hold {listed}")
+    # A folder of its own for each run: one over late files of the same dates adds to the archive.
+    paths.move(spark, staged, f"{archive}/part={uuid.uuid4().hex}")
+    for folder in sorted({path.rsplit("/", 1)[0] for path in older}):
+        paths.delete_files(spark, folder, older)
     return {"status": "archived", "files": len(older), "rows": kept, "archive": archive}
+
+
+def csv_row_count(spark: SparkSession, files: list[str]) -> int:
+    """Rows of CSV files whatever their columns: one column for each line, headers left out."""
+    reader = spark.read.schema("line string").option("header", True).option("sep", "\1").option("quote", "")
+    return reader.csv(files).count()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -70,6 +70,71 @@ def step(df: DataFrame) -> Iterator[DataFrame]:
         delete(spark, path)
 
 
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a folder; the parent of ``target`` is made, and ``target`` must not be there."""
+    fs, old = _path(spark, source)
+    _, new = _path(spark, target)
+    fs.mkdirs(new.getParent())
+    if fs.exists(new) or not fs.rename(old, new):
+        raise OSError(f"cannot move {source} to {target}")
+
+
+def delete_files(spark: SparkSession, folder: str, files: Sequence[str]) -> None:
+    """Delete those of ``files`` that lie directly in ``folder``; all at once if it holds nothing else."""
+    fs, p = _path(spark, folder)
+    if not fs.exists(p):
+        return
+    named = {f.rsplit("/", 1)[1] for f in files if f.rsplit("/", 1)[0] == folder}
+    there = {s.getPath().getName() for s in fs.listStatus(p)}
+    if all(name in named or name.startswith((".", "_")) for name in there):
+        fs.delete(p, True)
+        return
+    for name in sorted(there & named):
+        delete(spark, f"{folder}/{name}")
+
+
+def folder_bytes(spark: SparkSession, path: str) -> int:
+    fs, p = _path(spark, path)
+    return fs.getContentSummary(p).getLength() if fs.exists(p) else 0
+
+
+def _partition_folders(spark: SparkSession, path: str, depth: int) -> list[str]:
+    names = [""]
+    for _ in range(depth):
+        names = [f"{n}/{c}" for n in names for c in child_folders(spark, path + n) if "=" in c]
+    return names
+
+
+def swap_partitions(spark: SparkSession, staged: str, target: str, depth: int) -> None:
+    """Put the partition folders of a completely written table in the place of those of ``target``.
+
+    One rename says that the new folders are complete; from then on they only have to be moved, and
+    ``finish_swap`` does what a dead job left, so no row is lost at any moment.
+    """
+    fs, ready = _path(spark, aside(target, "ready"))
+    _, new = _path(spark, staged)
+    fs.mkdirs(ready.getParent())
+    if not fs.rename(new, ready):
+        raise OSError(f"cannot move {staged}")
+    finish_swap(spark, target, depth)
+
+
+def finish_swap(spark: SparkSession, target: str, depth: int) -> None:
+    """Move the folders of an interrupted ``swap_partitions``; nothing to do in most cases."""
+    ready = aside(target, "ready")
+    fs, root = _path(spark, ready)
+    if not fs.exists(root):
+        return
+    for name in _partition_folders(spark, ready, depth):
+        _, new = _path(spark, ready + name)
+        _, place = _path(spark, target + name)
+        fs.delete(place, True)
+        fs.mkdirs(place.getParent())
+        if not fs.rename(new, place):
+            raise OSError(f"cannot move {ready}{name}")
+    fs.delete(root, True)
+
+
 def replace_folder(spark: SparkSession, staged: str, target: str) -> None:
     """Put a completely written folder in the place of ``target``.
 

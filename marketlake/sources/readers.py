@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import csv
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,12 +16,9 @@ from ..operators.columns import conform
 from ..operators.quality import QualityError
 from ..operators.reshape import union_by_name
 from ..schemas import RSS, SITEMAP
+from ..session import new_folder, stored
 from . import paths
 
-# Two versions of a writer differ in a handful of headers; more means a wrong folder.
-MAX_HEADERS = 100
-
-
 def read_csv_lake(
     spark: SparkSession, path: str | Sequence[str], schema: T.StructType, multiline: bool = False
 ) -> DataFrame:
@@ -49,19 +48,40 @@ def with_file_columns(df: DataFrame) -> DataFrame:
     )
 
 
-def csv_headers(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """``header`` line of each file.
+def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first line that is not blank; nothing of the file is asked for after it."""
+    for batch in batches:
+        for path, line in zip(batch.column("path").to_pylist(), batch.column("value").to_pylist()):
+            if line.strip("\ufeff \t\r"):
+                yield pa.RecordBatch.from_pydict({"path": [path], "header": [line]})
+                return
+
+
+@contextmanager
+def _whole_files(spark: SparkSession) -> Iterator[None]:
+    """Each file a task of its own while this holds."""
+    settings = {"spark.sql.files.maxPartitionBytes": "1t", "spark.sql.files.openCostInBytes": "1t"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
-    Reads the text once; what moves is one line per task and file.
+
+def csv_headers(spark: SparkSession, path: str | Sequence[str], place: str) -> DataFrame:
+    """``path`` and ``header`` line of each file that is not blank, stored in the folder ``place``.
+
+    The header is the first line that is not blank, as for the CSV reader itself. A task per file stops
+    reading after that line, so a file of any size costs its first block.
     """
-    lines = with_file_columns(spark.read.option("recursiveFileLookup", True).text(path))
-    starts = lines.where("_block = 0").groupBy("_file")
-    first = starts.agg(F.min_by("value", "_row").alias("header"))
-    # The metadata path is percent-encoded; a reader wants the plain one.
-    return first.select(
-        F.url_decode(F.replace("_file", F.lit("+"), F.lit("%2B"))).alias("path"),
-        F.ltrim("header", F.lit("\ufeff")).alias("header"),
-    )
+    lines = spark.read.option("recursiveFileLookup", True).text(path)
+    plain = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))  # it is percent-encoded
+    found = lines.select(plain.alias("path"), "value").mapInArrow(_first_lines, "path string, header string")
+    with _whole_files(spark):
+        return stored(found.withColumn("header", F.ltrim("header", F.lit("\ufeff"))), place)
 
 
 def unique_names(header: Sequence[str]) -> list[str]:
@@ -80,27 +100,32 @@ def read_csv_by_name(
     schema: T.StructType | None = None,
     multiline: bool = False,
     file_columns: bool = False,
+    check: Callable[[Sequence[str], str], None] | None = None,
 ) -> DataFrame:
     """CSV files whose headers may differ: columns are matched by name, absent ones null.
 
     Spark binds CSV columns by position, so the files are read in one group per distinct
     header. Names are stripped and in lower case; a repeated one gets a number. All columns
     are text; with ``schema`` they are then conformed to it. ``file_columns`` adds those of
-    ``with_file_columns``. Where all files are known to have one header, ``read_csv_lake``
-    saves the look for headers, which reads the text once more.
+    ``with_file_columns``. ``check`` gets the names of each header and one of its files, and may
+    refuse them. Blank files have no rows. If headers differ, the driver lists the files of each,
+    as it does for any scan.
     """
-    groups = {}
-    with paths.step(csv_headers(spark, path)) as headers:
-        found = headers.select("header").distinct().limit(MAX_HEADERS + 1).collect()
-        if len(found) > MAX_HEADERS:
-            raise QualityError(f"more than {MAX_HEADERS} different CSV headers under {path}")
-        for header in sorted(r["header"] for r in found if r["header"]):
-            # As many paths as the driver lists for any scan; none if all files agree.
-            of_group = headers.where(F.col("header") == header).select("path")
-            groups[header] = path if len(found) == 1 else [r["path"] for r in of_group.collect()]
+    place = new_folder(spark, "headers")
+    try:
+        headers = csv_headers(spark, path, place)
+        per_header = headers.groupBy("header").agg(F.min("path").alias("example")).orderBy("header").collect()
+        groups = {}
+        for row in per_header:
+            names = unique_names(next(csv.reader([row["header"]])))
+            if check is not None:
+                check(names, row["example"])
+            of_group = headers.where(F.col("header") == row["header"]).select("path")
+            groups[tuple(names), row["header"]] = path if len(per_header) == 1 else [r["path"] for r in of_group.collect()]
+    finally:
+        paths.delete(spark, place)
     frames = []
-    for header, files in groups.items():
-        names = unique_names(next(csv.reader([header])))
+    for (names, _), files in groups.items():
         text = T.StructType([T.StructField(n, T.StringType()) for n in names])
         reader = spark.read.schema(text).option("header", True).option("recursiveFileLookup", True)
         frame = reader.option("multiLine", multiline).option("escape", '"').csv(files)

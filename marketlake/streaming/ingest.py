@@ -8,6 +8,7 @@ Both end in an idempotent load, so a batch that is run again changes nothing.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from itertools import islice
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,22 +22,26 @@ from ..sources.readers import read_csv_by_name, read_csv_lake, with_file_columns
 
 Load = Callable[[DataFrame], Any]
 
+# Among the rows of a key the latest file wins, and in a file its first row. Batches come in the order of
+# their files, so the result is the same for any number of files in a batch.
+ARRIVAL = ("-_modified", "-_file", "_block", "_row")
+
 
 def upsert_load(
     target: str,
     keys: Sequence[str],
-    order_by: Sequence[str],
     partition_by: Mapping[str, Column] | None = None,
-    keep: str = "last",
+    order_by: Sequence[str] = ARRIVAL,
+    keep: str = "first",
 ) -> Load:
-    """Load step: the last row of a key wins."""
+    """Load step: the first row of a key in its file counts, and later files replace earlier ones."""
     return lambda df: upsert(df, target, keys, order_by, partition_by, keep)
 
 
 def absent_load(
     target: str,
     keys: Sequence[str],
-    order_by: Sequence[str],
+    order_by: Sequence[str] = ("_modified", "_file", "_block", "_row"),
     partition_by: Mapping[str, Column] | None = None,
 ) -> Load:
     """Load step: the first row of a key stays."""
@@ -52,11 +57,13 @@ def ingest_stream(
     load: Load,
     multiline: bool = False,
     files_per_batch: int = 10_000,
+    run_ts: Any = None,
 ) -> int:
     """Load the CSV files new since the last call with this checkpoint; returns the batches run.
 
     ``transform`` gets the rows with ``source_file``, ``_modified`` and the file-order
-    columns. Within a batch later files come after earlier ones by ``_modified``, then path.
+    columns (see ``ARRIVAL``). A file counts as new however old its date is. With ``run_ts`` the loaded rows
+    bear it as ``loaded_at``.
     """
     rows = (
         spark.readStream.schema(schema)
@@ -66,6 +73,7 @@ def ingest_stream(
         .option("escape", '"')
         .option("recursiveFileLookup", True)
         .option("maxFilesPerTrigger", files_per_batch)
+        .option("maxFileAge", "36500d")  # Spark leaves out files a week older than the newest
         .csv(folder)
         .select(
             "*",
@@ -78,7 +86,7 @@ def ingest_stream(
     batches = []
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        load(transform(batch.withColumn("_row", F.monotonically_increasing_id())))
+        load(_stamped(transform(batch.withColumn("_row", F.monotonically_increasing_id())), run_ts))
         batches.append(batch_id)
 
     query = (
@@ -91,6 +99,10 @@ def ingest_stream(
     return len(batches)
 
 
+def _stamped(rows: DataFrame, run_ts: Any) -> DataFrame:
+    return rows if run_ts is None else with_audit(rows, run_ts, "loaded_at")
+
+
 def new_files(files: DataFrame, log: DataFrame) -> DataFrame:
     """Files whose key is not in the log."""
     return files.join(log.select("object_key"), files["path"] == log["object_key"], "left_anti")
@@ -105,25 +117,33 @@ def ingest_files(
     run_ts: Any,
     schema: T.StructType | None = None,
     multiline: bool = False,
+    files_per_batch: int = 10_000,
+    check: Callable[[Sequence[str], str], None] | None = None,
 ) -> dict:
     """Load the CSV files not yet in the log table, then log them.
 
-    Headers may differ, unless ``schema`` gives the one header that all files must have.
+    Headers may differ, unless ``schema`` gives the one header that all files must have; ``check`` may
+    refuse a header (see ``read_csv_by_name``). Files come in the order of their paths, ``files_per_batch``
+    at a time, which bounds what the driver holds; a later one counts as newer. Loaded rows bear ``run_ts``
+    as ``loaded_at``.
 
-    The log is written after the load: if the job dies in between, the files are loaded
+    The log is written after each batch's load: if the job dies in between, the files are loaded
     again, which the idempotent load allows.
     """
     files = paths.lake_files(spark, folder).select("path")
     if paths.has_data(spark, log):
         files = new_files(files, spark.read.parquet(log))
-    found = [r["path"] for r in files.orderBy("path").collect()]
-    if not found:
-        return {"status": "skip", "files": 0}
-    if schema is None:
-        rows = read_csv_by_name(spark, found, multiline=multiline, file_columns=True)
-    else:
-        rows = with_file_columns(read_csv_lake(spark, found, schema, multiline))
-    load(transform(rows))
-    keys = spark.createDataFrame([(p,) for p in found], "object_key string")
-    insert_if_absent(with_audit(keys, run_ts, "processed_at"), log, ["object_key"], ["object_key"])
-    return {"status": "loaded", "files": len(found)}
+    loaded = 0
+    with paths.step(files) as waiting:
+        paths_left = (r["path"] for r in waiting.orderBy("path").toLocalIterator())
+        while found := list(islice(paths_left, files_per_batch)):
+            if schema is None:
+                rows = read_csv_by_name(spark, found, multiline=multiline, file_columns=True, check=check)
+            else:
+                rows = with_file_columns(read_csv_lake(spark, found, schema, multiline))
+            rows = rows.withColumn("_modified", F.lit(None).cast("timestamp"))
+            load(_stamped(transform(rows), run_ts))
+            keys = spark.createDataFrame([(p,) for p in found], "object_key string")
+            insert_if_absent(with_audit(keys, run_ts, "processed_at"), log, ["object_key"], ["object_key"])
+            loaded += len(found)
+    return {"status": "loaded" if loaded else "skip", "files": loaded}

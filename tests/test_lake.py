@@ -1,13 +1,15 @@
 import json
 import os
+import time
 
+import pyarrow as pa
 import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from marketlake.operators.quality import QualityError
-from marketlake.plans import news, prices, site_news
+from marketlake.plans import news, prices, ratios, site_news
 from marketlake.schemas import NEWS_CSV, NEWS_JSON, PRICE_RAW, struct
 from marketlake.sources import lake, readers
 from marketlake.streaming.ingest import ingest_files, ingest_stream, upsert_load
@@ -175,24 +177,98 @@ def closes(spark, table):
 
 def test_files_are_loaded_once(spark, tmp_path, place):
     lake_dir = tmp_path / "lake" / "2026-01-01"
-    load = upsert_load(f"{place}/t", list(prices.KEY), ["_file", "_block", "_row"], prices.month_partition())
+    load = upsert_load(f"{place}/t", list(prices.KEY), prices.month_partition())
 
     def run():
-        return ingest_files(spark, f"{place}/lake", f"{place}/log", prices.clean_prices, load, "2026-01-01 00:00:00")
+        args = (spark, f"{place}/lake", f"{place}/log", prices.clean_prices, load, "2026-01-01 00:00:00")
+        return ingest_files(*args, check=prices.check_header)
 
     price_file(lake_dir, "batch_0.csv", "a,2026-01-01,,,,1,", "A,2026-01-01,,,,2,", ",2026-01-01,,,,3,", "B,bad,,,,4,")
     assert run() == {"status": "loaded", "files": 1}
-    assert closes(spark, f"{place}/t") == [("A", "2026-01-01", 2.0)]
+    assert closes(spark, f"{place}/t") == [("A", "2026-01-01", 1.0)]  # the first row of a key in its file
     assert run() == {"status": "skip", "files": 0}
-    put(lake_dir, "batch_1.csv", "index_code,time,close\nA,2026-01-01,9\nC,2026-01-02,5\n")
+    put(lake_dir, "batch_1.csv", "\n\nindex_code,time,close,Volume,low,high,open\nA,2026-01-01,9,,,,\nC,2026-01-02,5,,,,\n")
     assert run() == {"status": "loaded", "files": 1}
     assert closes(spark, f"{place}/t") == [("A", "2026-01-01", 9.0), ("C", "2026-01-02", 5.0)]
     assert spark.read.parquet(f"{place}/log").count() == 2
+    table = spark.read.parquet(f"{place}/t")
+    assert table.where("loaded_at is null or source_file not like '%batch_%'").count() == 0
+    put(lake_dir, "batch_2.csv", "ticker,time,open\nA,2026-01-01,9\n")  # would replace closes by nulls
+    with pytest.raises(QualityError, match="batch_2.csv.*close"):
+        run()
+
+
+@pytest.mark.parametrize("files_per_batch", [1, 2, 100])
+def test_batches_do_not_change_the_result(spark, tmp_path, place, files_per_batch):
+    for i, close in enumerate((4, 3, 9, 1)):
+        price_file(tmp_path / "lake", f"batch_{i}.csv", f"A,2026-01-01,,,,{close},", "A,2026-01-01,,,,77,", f"B{i},2026-01-01,,,,{i},")
+    load = upsert_load(f"{place}/t", list(prices.KEY), prices.month_partition())
+    args = (spark, f"{place}/lake", f"{place}/log", prices.clean_prices, load, "2026-01-01 00:00:00")
+    assert ingest_files(*args, files_per_batch=files_per_batch) == {"status": "loaded", "files": 4}
+    assert closes(spark, f"{place}/t")[0] == ("A", "2026-01-01", 1.0)
+    stream = upsert_load(f"{place}/s", list(prices.KEY), prices.month_partition())
+    for i in range(4):
+        os.utime(tmp_path / "lake" / f"batch_{i}.csv", (1.7e9 + i, 1.7e9 + i))
+    ingest_stream(spark, f"{place}/lake", PRICE_RAW, f"{place}/ckpt", prices.clean_prices, stream, files_per_batch=files_per_batch)
+    assert closes(spark, f"{place}/s") == closes(spark, f"{place}/t")
+
+
+def test_late_files_are_not_too_old(spark, tmp_path, place):
+    load = upsert_load(f"{place}/t", list(prices.KEY), prices.month_partition())
+    run = lambda: ingest_stream(spark, f"{place}/lake", PRICE_RAW, f"{place}/ckpt", prices.clean_prices, load)
+    price_file(tmp_path / "lake", "a.csv", "A,2026-01-01,,,,1,")
+    assert run() == 1
+    price_file(tmp_path / "lake", "b.csv", "B,2026-01-01,,,,2,")
+    ten_days_ago = time.time() - 10 * 86_400
+    os.utime(tmp_path / "lake" / "b.csv", (ten_days_ago, ten_days_ago))
+    price_file(tmp_path / "lake", "c.csv", "C,2026-01-01,,,,3,")
+    assert run() == 1
+    assert [r[0] for r in closes(spark, f"{place}/t")] == ["A", "B", "C"]
+
+
+def test_compaction_loses_nothing(spark, tmp_path, place):
+    for d in range(1, 12):
+        blank = "\n  \n" if d == 3 else ""
+        put(tmp_path / "p" / f"ds=2026-01-{d:02d}", "x.csv", f"{blank}ticker,close\nT{d},{d}\nU{d},{d}\n")
+    put(tmp_path / "p" / "ds=2026-01-04", "y.csv", "\n\n")
+    first = lake.compact_partitions(spark, f"{place}/p")
+    assert (first["rows"], first["files"]) == (20, 11)
+    for d in range(1, 11):  # late files of the same dates
+        put(tmp_path / "p" / f"ds=2026-01-{d:02d}", "late.csv", f"close,ticker\n{d},L{d}\n")
+    second = lake.compact_partitions(spark, f"{place}/p")
+    assert second["archive"] == first["archive"] and second["rows"] == 10
+    archive = spark.read.parquet(second["archive"])
+    assert archive.count() == 30 and archive.where("ticker like 'L%'").count() == 10
+
+
+def test_many_headers(spark, tmp_path, place):
+    for i in range(130):
+        put(tmp_path / "r", f"C{i}.csv", f"x{i},roe\n{i},0.5\n")
+    found = ratios.ratios_folder(spark, f"{place}/r", "year", "2026-01-01 00:00:00")
+    assert found.count() == 130 and len(found.columns) == 130 + 4
+    assert rows(found.where("x7 is not null"), "ticker", "x7", "roe", "period_type") == [("C7", "7", "0.5", "year")]
+
+
+def test_headers_cost_the_first_lines(spark, tmp_path, place):
+    put(tmp_path / "big", "a.csv", "k,v\n" + "1,some words that fill the line\n" * 300_000)
+    headers = readers.csv_headers(spark, f"{place}/big", f"{place}/headers")
+    assert rows(headers, "header") == [("k,v",)]
+    taken = [r for r in readers._first_lines(iter([_batch(["", " \t"]), _batch(["k,v", "1,2"]), None]))]
+    assert taken[0].column("header").to_pylist() == ["k,v"]  # the third batch is never touched
+
+
+def _batch(lines):
+    return pa.RecordBatch.from_pydict({"path": ["f"] * len(lines), "value": lines})
+
+
+def test_numbers_stay_text(spark, tmp_path, place):
+    put(tmp_path / "n", "a.csv", "symbol,ratio\n007,1e-05\n")
+    assert rows(readers.read_csv_by_name(spark, f"{place}/n")) == [("007", "1e-05")]
 
 
 def test_files_with_a_declared_header(spark, tmp_path, place):
     lake_dir = tmp_path / "lake" / "2026-01-01"
-    load = upsert_load(f"{place}/t", list(prices.KEY), ["_file", "_block", "_row"], prices.month_partition())
+    load = upsert_load(f"{place}/t", list(prices.KEY), prices.month_partition())
     price_file(lake_dir, "batch_0.csv", "A,2026-01-01,,,,1,")
     price_file(lake_dir, "batch_1.csv", "A,2026-01-01,,,,2,")
     args = (spark, f"{place}/lake", f"{place}/log", prices.clean_prices, load, "2026-01-01 00:00:00")
@@ -210,7 +286,7 @@ def test_compaction_with_a_declared_header(spark, place):
 
 def test_stream_takes_only_new_files(spark, tmp_path, place):
     lake_dir = tmp_path / "lake" / "2026-01-01"
-    load = upsert_load(f"{place}/t", list(prices.KEY), ["_modified", "_file", "_block", "_row"], prices.month_partition())
+    load = upsert_load(f"{place}/t", list(prices.KEY), prices.month_partition())
 
     def run():
         return ingest_stream(spark, f"{place}/lake", PRICE_RAW, f"{place}/ckpt", prices.clean_prices, load)

@@ -151,12 +151,6 @@ def test_lookup_default(spark):
     )
 
 
-def test_broadcast_only_when_small(spark):
-    small, large = spark.range(10), spark.range(11)
-    assert joins.broadcast_if_small(small, 10)._jdf.queryExecution().logical().toString().startswith("ResolvedHint") or "broadcast" in joins.broadcast_if_small(small, 10)._jdf.queryExecution().toString()
-    assert "broadcast" not in joins.broadcast_if_small(large, 10)._jdf.queryExecution().toString()
-
-
 def test_prices_edge_rows(spark):
     data = [
         (" hpg ", "2024-01-05", "10", "1"),
