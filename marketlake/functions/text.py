@@ -31,7 +31,7 @@ def slugify(c: Column) -> Column:
     """Indicator code: runs of other than ASCII letters and digits become ``_``.
 
     Letters with accents count as other. Nothing left gives ``UNKNOWN``. The class is
-    ``[^A-Za-z0-9]`` in a spelling that Java matches twenty times faster.
+    ``[^A-Za-z0-9]`` in a spelling that Java matches several times faster.
     """
     slug = F.upper(F.btrim(F.regexp_replace(c, r"[\W_]+", "_"), F.lit("_")))
     return F.coalesce(F.nullif(slug, F.lit("")), F.lit("UNKNOWN"))

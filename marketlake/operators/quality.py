@@ -34,9 +34,11 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def assert_unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Pass ``df`` on, or fail naming keys that occur more than once."""
-    offenders = duplicate_keys(df, keys).orderBy(F.desc("cnt"), *keys).limit(SHOWN).collect()
+    found = duplicate_keys(df, keys)
+    offenders = found.orderBy(F.desc("cnt"), *keys).limit(SHOWN).collect()
     if offenders:
-        raise QualityError(f"duplicate keys, for example {[tuple(r) for r in offenders]}")
+        total = found.count()
+        raise QualityError(f"{total} duplicate keys, for example {[tuple(r) for r in offenders]}")
     return df
 
 

@@ -21,6 +21,7 @@ def struct(columns: str) -> T.StructType:
     return T.StructType([T.StructField(name, TYPES[kind]) for name, kind in pairs])
 
 
+# Names and order of the columns of lake files and warehouse tables.
 PRICE_COLUMNS = ("ticker", "trading_date", "open", "high", "low", "close", "volume")
 
 # Lake files are read as text and typed afterwards, so that one bad cell does not

@@ -59,6 +59,9 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/marketlake/{name}-{uuid.uuid4().hex}"
 
 
+EMPTY_METRIC = ("NoSuchElementException", "NullPointerException", "UnsupportedOperationException")
+
+
 def count_rows(df: DataFrame) -> tuple[DataFrame, Observation]:
     """``df`` with a row count taken on the way, for a write that must not run twice.
 
@@ -73,8 +76,10 @@ def counted(seen: Observation) -> int:
     """Rows that went through ``count_rows``, once the write is done."""
     try:
         return seen.get["rows"]
-    except Py4JJavaError:
-        # AQE found the input empty and removed the metric along with the plan.
+    except Py4JJavaError as error:
+        # AQE found the input empty and removed the metric along with the plan: a row without fields.
+        if error.java_exception.getClass().getSimpleName() not in EMPTY_METRIC:
+            raise
         return 0
 
 

@@ -291,7 +291,8 @@ MACRO_SERIES = {
 # Statement kind -> report code.
 STATEMENTS = {"income_statement": "IS", "balance_sheet": "BL", "cash_flow": "CF"}
 
-# Object keys of the lake. Writers and checks use the same template.
+# Object keys of the lake, as jobs and reports name outputs. ``lake.written_keys`` gives them for
+# the batches that ``write_lake`` left.
 LAYOUTS = {
     "history_price": "history_price/{ds}/batch_{batch}.csv",
     "daily_price": "daily_price/{ds}/batch_{batch}.csv",
