@@ -196,6 +196,35 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: int = 80, ste
     )
 
 
-@query("op9_minhash_tensored")
+SQL = """
+with recursive documents_of as (
+    select doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') as w
+    from documents
+), sets as (
+    select doc_id, list_distinct(case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')]
+        else list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) end) as s
+    from documents_of
+), rows_ as (
+    select doc_id, unnest(s) as g from sets
+), common as (
+    select a.doc_id as u, b.doc_id as v, count(*) as c from rows_ a join rows_ b on a.g = b.g and a.doc_id < b.doc_id group by all
+), links as (
+    select u, v from common join sets a on a.doc_id = u join sets b on b.doc_id = v
+    where 100 * c >= 85 * (len(a.s) + len(b.s) - c)
+), both_ways as (
+    select u, v from links union select v, u from links
+), reached as (
+    select doc_id, doc_id as other from sets
+    union
+    select r.doc_id, b.v from reached r join both_ways b on r.other = b.u
+), smallest as (
+    select doc_id, min(other) as component_id from reached group by doc_id
+)
+select doc_id, len(s) as n_shingles, component_id, component_id = doc_id as kept from sets join smallest using (doc_id)
+"""
+
+
+@query("op9_minhash_tensored", SQL)
 def op9(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, similarity=85)
