@@ -156,6 +156,12 @@ def filter_half_open(t: Tables) -> DataFrame:
     return t.events.where(half_open_day(F.col("ts"), "2024-01-12")).select("event_id", "value")
 
 
+@check("filter_range_open", "select o_orderkey, o_orderdate from orders where o_orderdate <= date '1998-06-30'")
+def filter_range_open(t: Tables) -> DataFrame:
+    """A bound that nobody gives filters nothing."""
+    return filters.in_range(t.orders, "o_orderdate", None, "1998-06-30").select("o_orderkey", "o_orderdate")
+
+
 @check(
     "filter_range",
     """select event_id, 'whole day' as bound from events
