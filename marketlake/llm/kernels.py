@@ -92,7 +92,11 @@ class SliceHasher:
 
     def __call__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Slices must be in ascending order of their starts and must not overlap."""
-        out = np.empty(len(starts), U64)
+        return self.beginnings(data, starts, ends)[0]
+
+    def beginnings(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray, *sizes: int) -> list[np.ndarray]:
+        """Hashes of the slices, and of their first bytes for each of ``sizes`` (all of a shorter slice)."""
+        out = [np.empty(len(starts), U64) for _ in (None, *sizes)]
         i = 0
         while i < len(starts):
             j = max(i + 1, int(np.searchsorted(ends, starts[i] + SEGMENT, "right")))
@@ -101,8 +105,10 @@ class SliceHasher:
                 self.up, self.down = _powers(BASE, high - low + 1), _powers(BASE_INVERSE, high - low + 1)
             sums = np.zeros(high - low + 1, U64)
             np.cumsum((data[low:high].astype(U64) + U64(1)) * self.up[: high - low], dtype=U64, out=sums[1:])
-            s, e = starts[i:j] - low, ends[i:j] - low
-            out[i:j] = mix((sums[e] - sums[s]) * self.down[s] + (e - s).astype(U64) * U64(0xD6E8FEB86659FD93))
+            s = starts[i:j] - low
+            for found, size in zip(out, (None, *sizes)):
+                e = ends[i:j] - low if size is None else np.minimum(ends[i:j] - low, s + size)
+                found[i:j] = mix((sums[e] - sums[s]) * self.down[s] + (e - s).astype(U64) * U64(0xD6E8FEB86659FD93))
             i = j
         return out
 

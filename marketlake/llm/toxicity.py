@@ -17,7 +17,7 @@ from .trees import BoostedTrees, Isotonic, bounded_sample, out_of_fold, part
 SAMPLE = 20_000  # labelled rows that the model is fitted on
 LEXICON = 5_000  # entries
 THRESHOLD = 0.7
-STEMS = (4, 5, 6)  # bytes of word beginnings that count as entries besides whole words
+STEMS = (4, 5, 6, 7, 8)  # bytes of word beginnings that count as entries besides whole words
 NEAR = 6  # words between an insult and the person addressed
 
 # The second person in English, German, French and Spanish.
@@ -62,11 +62,8 @@ class Words:
 
     def keys(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
         """Hashes of whole words and of their beginnings; a shorter word has none of the latter (0)."""
-        out = [self.hash(data, starts, ends)]
-        for n in STEMS:
-            key = mix(self.hash(data, starts, np.minimum(ends, starts + n)) + np.uint64(n))
-            out.append(np.where(ends - starts >= n, key, np.uint64(0)))
-        return out
+        whole, *parts = self.hash.beginnings(data, starts, ends, *STEMS)
+        return [whole, *(np.where(ends - starts >= n, mix(key + np.uint64(n)), np.uint64(0)) for n, key in zip(STEMS, parts))]
 
 
 def _found(keys: np.ndarray, entries: np.ndarray) -> np.ndarray:
