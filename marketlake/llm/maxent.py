@@ -31,7 +31,9 @@ SHARES = (0.25, 0.25, 0.125, 0.125)  # of the training texts in the batches of t
 RATES = (0.5, 0.5, 0.5)
 PRIOR = 4.0  # tokens' worth of the unigram model in each row
 BLOCK = 1 << 14  # weights sent as one row
-CHUNK = 1 << 15  # tokens scored at once
+CHUNK = 1 << 11  # tokens scored at once, so that their logits stay in a core's cache
+SUM_CHUNK = 1 << 13  # tokens whose expectations are summed at once
+REPEATS = 16  # rows found more often in a chunk are summed one by one
 ADD = 0.1
 END = np.uint64(0x656E64)  # key of the end token
 
@@ -182,14 +184,34 @@ class Model:
 
 
 def _log_sum(x: np.ndarray) -> np.ndarray:
-    most = x.max(1)
-    return most + np.log(np.exp(x - most[:, None]).sum(1))
+    """Logarithm of each row's sum of exponentials; ``x`` is used up."""
+    most = x.max(1, keepdims=True) if len(x) and x.max() > 80 else np.float32(0)  # else nothing overflows
+    x -= most
+    np.exp(x, out=x)
+    return np.log(x @ np.ones(x.shape[1], np.float32)) + np.ravel(most)
+
+
+def _softmax(x: np.ndarray) -> np.ndarray:
+    if len(x) and x.max() > 80:
+        x -= x.max(1, keepdims=True)
+    np.exp(x, out=x)
+    x /= (x @ np.ones(x.shape[1], np.float32))[:, None]
+    return x
 
 
 def _add_rows(out: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
+    """``out[rows] += values`` with repeated rows: frequent ones are summed each, the others in a few passes."""
     order = np.argsort(rows, kind="stable")
-    found, first = np.unique(rows[order], return_index=True)
-    out[found] += np.add.reduceat(values[order], first)
+    ranked = rows[order]
+    first = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
+    count = np.diff(np.append(first, len(rows)))
+    frequent = count > REPEATS
+    for at, n in zip(first[frequent].tolist(), count[frequent].tolist()):
+        out[ranked[at]] += values[order[at : at + n]].sum(0)
+    first, count = first[~frequent], count[~frequent]
+    for k in range(count.max(initial=0)):
+        at = order[first[count > k] + k]
+        out[rows[at]] += values[at]
 
 
 def _gradient_task(batches: Iterator[pa.RecordBatch], model: Model, first: bool) -> Iterator[pa.RecordBatch]:
@@ -204,23 +226,16 @@ def _gradient_task(batches: Iterator[pa.RecordBatch], model: Model, first: bool)
         keys, tails, bounds = tokens(batch.column("text"))
         _, klass, slot, features, slot_row = model.events(keys, tails, bounds)
         main = slot >= 0
-        for f in range(features.shape[1]):
-            seen_c += np.bincount(features[:, f] * OUTPUTS + klass, minlength=seen_c.size)
+        for f, (low, high) in enumerate(zip(STARTS, (*STARTS[1:], ROWS))):
+            seen_c[low * OUTPUTS : high * OUTPUTS] += np.bincount((features[:, f] - low) * OUTPUTS + klass, minlength=(high - low) * OUTPUTS)
         seen_s += np.bincount(slot_row[main] * SLOTS + slot[main], minlength=seen_s.size)
-        for a in range(0, 0 if first else len(keys), CHUNK):
-            x = model.class_logits(features[a : a + CHUNK])
-            x -= x.max(1, keepdims=True)
-            np.exp(x, out=x)
-            x /= x.sum(1, keepdims=True)
+        for a in range(0, 0 if first else len(keys), SUM_CHUNK):
+            x = _softmax(model.class_logits(features[a : a + SUM_CHUNK]))
             for f in range(features.shape[1]):
-                _add_rows(hope_c, features[a : a + CHUNK, f], x)
-            some = np.flatnonzero(main[a : a + CHUNK]) + a
+                _add_rows(hope_c, features[a : a + SUM_CHUNK, f], x)
+            some = np.flatnonzero(main[a : a + SUM_CHUNK]) + a
             if len(some):
-                x = model.slot_base[klass[some]] + model.slot_weights[slot_row[some]]
-                x -= x.max(1, keepdims=True)
-                np.exp(x, out=x)
-                x /= x.sum(1, keepdims=True)
-                _add_rows(hope_s, slot_row[some], x)
+                _add_rows(hope_s, slot_row[some], _softmax(model.slot_base[klass[some]] + model.slot_weights[slot_row[some]]))
     flat = np.concatenate([x.ravel().astype(np.float32) for x in (seen_c, seen_s, *(() if first else (hope_c, hope_s)))])
     salt = TaskContext.get().partitionId() % 4
     starts = range(0, len(flat), BLOCK)
@@ -251,7 +266,7 @@ def _sums(model: Model, texts: DataFrame, first: bool) -> np.ndarray:
     parts = parts.repartition("block", "salt").mapInArrow(_sum_task, schema).repartition("block").mapInArrow(_sum_task, schema)
     c, s = ROWS * OUTPUTS, SLOT_ROWS * SLOTS
     flat = np.zeros((c + s) * (1 if first else 2), np.float32)
-    for row in parts.toLocalIterator():
+    for row in parts.collect():  # as large as the weights
         data = np.frombuffer(row.data, np.float32)
         flat[row.block * BLOCK : row.block * BLOCK + len(data)] = data
     return flat
@@ -325,11 +340,13 @@ def _score_task(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.
         for a in range(0, len(keys), CHUNK):
             x = model.class_logits(features[a : a + CHUNK])
             k = klass[a : a + CHUNK]
-            score[a : a + CHUNK] = x[np.arange(len(x)), k] - _log_sum(x)
+            own = x[np.arange(len(x)), k]
+            score[a : a + CHUNK] = own - _log_sum(x)
             some = np.flatnonzero(slot[a : a + CHUNK] >= 0)
             if len(some):
                 x = model.slot_base[k[some]] + model.slot_weights[slot_row[a + some]]
-                score[a + some] += x[np.arange(len(x)), slot[a + some]] - _log_sum(x)
+                own = x[np.arange(len(x)), slot[a + some]]
+                score[a + some] += own - _log_sum(x)
         own = logs[at]  # the rare ones' counts are not known yet: 0
         score = score / np.log(10) + np.where(slot < 0, own - tail_bottom[np.maximum(klass - CLASSES, 0)], 0.0)
         rows = np.repeat(np.arange(n), np.diff(bounds))
