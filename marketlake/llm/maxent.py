@@ -81,10 +81,10 @@ def _count_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, first, counts = np.unique(keys, return_index=True, return_counts=True)
         held.append((found, tails[first], counts))
         size += len(found)
-        if size > 1 << 21:
+        if size > 1 << 20:
             held = [merged()]
             size = len(held[0][0])
-            if size > 1 << 20:
+            if size > 1 << 19:
                 yield from out()
                 held, size = [], 0
     if held:
