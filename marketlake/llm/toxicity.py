@@ -54,11 +54,8 @@ class Words:
         self.second = self._of(SECOND_PERSON)
 
     def _of(self, texts: list[str]) -> np.ndarray:
-        return np.sort(self.keys(*self._split(pa.array(texts, pa.string()))[:3])[0])
-
-    def _split(self, column: pa.Array):
-        data, offsets = utf8(column)
-        return fold_case(data), *words(data, offsets, BETWEEN)[:2], *words(data, offsets, BETWEEN)[2:], offsets
+        data, offsets = utf8(pa.array(texts, pa.string()))
+        return np.sort(self.keys(fold_case(data), *words(data, offsets, BETWEEN)[:2])[0])
 
     def keys(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[np.ndarray]:
         """Hashes of whole words and of their beginnings; a shorter word has none of the latter (0)."""
