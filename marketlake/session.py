@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Sequence
@@ -49,7 +50,7 @@ def with_folder(spark: SparkSession) -> SparkSession:
     For registered queries and tests; jobs call ``configure`` and name a shared folder.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not named and spark.sparkContext.master.startswith("local["):
+    if not named and re.match(r"local(\[|$)", spark.sparkContext.master):
         spark.conf.set("spark.checkpoint.dir", f"file:{tempfile.mkdtemp(prefix='marketlake-')}")
     return configure(spark)
 
