@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 from .base import query, table
 from .kernels import LOWER, SliceHasher, by_size, runs, utf8, words
 from .steps import Steps
-from .trees import UNITS, part
 
 HEAD = 1 << 17  # words whose counts travel with the query; rarer ones are joined
 CLASSES, SLOTS = 64, 64  # the most frequent words: class and place in it
@@ -27,8 +26,7 @@ SKIPS = 2048  # rows for the hashed word before last
 STARTS = (0, CONTEXTS, CONTEXTS + SKIPS, CONTEXTS + SKIPS + OUTPUTS**2)  # first rows of the kinds of features
 ROWS = STARTS[-1] + OUTPUTS**2
 SLOT_ROWS = OUTPUTS * CLASSES  # by the class of the word before, and the class
-SHARES = (0.25, 0.25, 0.125, 0.125)  # of the training texts in the batches of the classes and of each update
-RATES = (0.5, 0.5, 0.5)
+RATES = (0.5, 0.5, 0.5)  # of the updates, each over all training texts
 PRIOR = 4.0  # tokens' worth of the unigram model in each row
 BLOCK = 1 << 14  # weights sent as one row
 CHUNK = 1 << 11  # tokens scored at once, so that their logits stay in a core's cache
@@ -182,6 +180,11 @@ class Model:
             out += self.class_weights[features[:, f]]
         return out
 
+    def slot_logs(self) -> np.ndarray:
+        """Log-probability of each slot by slot row, which holds the class."""
+        x = np.tile(self.slot_base, (OUTPUTS, 1)) + self.slot_weights
+        return x - _log_sum(x.copy())[:, None]
+
 
 def _log_sum(x: np.ndarray) -> np.ndarray:
     """Logarithm of each row's sum of exponentials; ``x`` is used up."""
@@ -214,29 +217,28 @@ def _add_rows(out: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
         out[rows[at]] += values[at]
 
 
-def _gradient_task(batches: Iterator[pa.RecordBatch], model: Model, first: bool) -> Iterator[pa.RecordBatch]:
-    """Observed and expected counts of every feature and output over the task's texts, in blocks.
+def _gradient_task(batches: Iterator[pa.RecordBatch], model: Model, expected: bool) -> Iterator[pa.RecordBatch]:
+    """Observed, or expected, counts of the features and outputs over the task's texts, in blocks.
 
-    In the first update the weights are 0, so the expectation follows from the rows' counts (on the driver).
+    Only classes are expected here: a slot's distribution depends on its row alone, so the driver has it from
+    the rows' counts.
     """
     tokens = Tokens()
-    seen_c, seen_s = np.zeros(ROWS * OUTPUTS), np.zeros(SLOT_ROWS * SLOTS)
-    hope_c, hope_s = np.zeros((ROWS, OUTPUTS), np.float32), np.zeros((SLOT_ROWS, SLOTS), np.float32)
+    sum_c, sum_s = np.zeros((ROWS, OUTPUTS)), np.zeros(0 if expected else SLOT_ROWS * SLOTS)
     for batch in by_size(batches, "text", 1 << 20):
         keys, tails, bounds = tokens(batch.column("text"))
         _, klass, slot, features, slot_row = model.events(keys, tails, bounds)
+        if expected:
+            for a in range(0, len(keys), SUM_CHUNK):
+                x = _softmax(model.class_logits(features[a : a + SUM_CHUNK]))
+                for f in range(features.shape[1]):
+                    _add_rows(sum_c, features[a : a + SUM_CHUNK, f], x)
+            continue
         main = slot >= 0
         for f, (low, high) in enumerate(zip(STARTS, (*STARTS[1:], ROWS))):
-            seen_c[low * OUTPUTS : high * OUTPUTS] += np.bincount((features[:, f] - low) * OUTPUTS + klass, minlength=(high - low) * OUTPUTS)
-        seen_s += np.bincount(slot_row[main] * SLOTS + slot[main], minlength=seen_s.size)
-        for a in range(0, 0 if first else len(keys), SUM_CHUNK):
-            x = _softmax(model.class_logits(features[a : a + SUM_CHUNK]))
-            for f in range(features.shape[1]):
-                _add_rows(hope_c, features[a : a + SUM_CHUNK, f], x)
-            some = np.flatnonzero(main[a : a + SUM_CHUNK]) + a
-            if len(some):
-                _add_rows(hope_s, slot_row[some], _softmax(model.slot_base[klass[some]] + model.slot_weights[slot_row[some]]))
-    flat = np.concatenate([x.ravel().astype(np.float32) for x in (seen_c, seen_s, *(() if first else (hope_c, hope_s)))])
+            sum_c[low:high] += np.bincount((features[:, f] - low) * OUTPUTS + klass, minlength=(high - low) * OUTPUTS).reshape(-1, OUTPUTS)
+        sum_s += np.bincount(slot_row[main] * SLOTS + slot[main], minlength=sum_s.size)
+    flat = np.concatenate([sum_c.ravel(), sum_s]).astype(np.float32)
     salt = TaskContext.get().partitionId() % 4
     starts = range(0, len(flat), BLOCK)
     some = [a for a in starts if flat[a : a + BLOCK].any()]
@@ -258,36 +260,34 @@ def _sum_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
-def _sums(model: Model, texts: DataFrame, first: bool) -> np.ndarray:
-    """What ``_gradient_task`` counts, summed in two steps; its size is that of the weights."""
+def _sums(model: Model, texts: DataFrame, expected: bool) -> tuple[np.ndarray, np.ndarray]:
+    """What ``_gradient_task`` counts over all of ``texts``, summed in two steps; its size is that of the weights."""
     spark = texts.sparkSession
     schema = "block long, salt long, data binary"
-    parts = texts.select("text").coalesce(2 * spark.sparkContext.defaultParallelism).mapInArrow(lambda b: _gradient_task(b, model, first), schema)
+    parts = texts.select("text").coalesce(2 * spark.sparkContext.defaultParallelism).mapInArrow(lambda b: _gradient_task(b, model, expected), schema)
     parts = parts.repartition("block", "salt").mapInArrow(_sum_task, schema).repartition("block").mapInArrow(_sum_task, schema)
-    c, s = ROWS * OUTPUTS, SLOT_ROWS * SLOTS
-    flat = np.zeros((c + s) * (1 if first else 2), np.float32)
+    c, s = ROWS * OUTPUTS, 0 if expected else SLOT_ROWS * SLOTS
+    flat = np.zeros(c + s, np.float32)
     for row in parts.collect():  # as large as the weights
         data = np.frombuffer(row.data, np.float32)
         flat[row.block * BLOCK : row.block * BLOCK + len(data)] = data
-    return flat
+    return flat[:c].reshape(ROWS, OUTPUTS), flat[c:].reshape(-1, SLOTS)
 
 
-def _update(model: Model, texts: DataFrame, rate: float, first: bool) -> None:
-    """One gradient update: sums over the batch's texts, made in the tasks, move the weights.
+def _update(model: Model, texts: DataFrame, seen: tuple[np.ndarray, np.ndarray], rate: float, first: bool) -> None:
+    """One gradient update: sums over all texts, made in the tasks, move the weights.
 
     The step is the gradient, observed less expected, on the scale of iterative scaling: the logarithm of
-    their ratio, with a prior of a few tokens in each row.
+    their ratio, with a prior of a few tokens in each row. ``seen`` are the observed counts, the same in every
+    update; in the first one the weights are 0, so the expectation follows from them too.
     """
-    c, s = ROWS * OUTPUTS, SLOT_ROWS * SLOTS
-    flat = _sums(model, texts, first)
-    seen_c, seen_s = flat[:c].reshape(ROWS, OUTPUTS), flat[c : c + s].reshape(SLOT_ROWS, SLOTS)
+    seen_c, seen_s = seen
     p = np.exp(model.class_base)
-    slot_p = np.tile(np.exp(model.slot_base), (OUTPUTS, 1))
-    hope_c = seen_c.sum(1, keepdims=True) * p if first else flat[c + s : 2 * c + s].reshape(ROWS, OUTPUTS)
-    hope_s = seen_s.sum(1, keepdims=True) * slot_p if first else flat[2 * c + s :].reshape(SLOT_ROWS, SLOTS)
+    hope_c = seen_c.sum(1, keepdims=True) * p if first else _sums(model, texts, True)[0]
+    hope_s = seen_s.sum(1, keepdims=True) * np.exp(model.slot_logs())
     prior = PRIOR * p
     model.class_weights += (rate * np.log((seen_c + prior) / (hope_c + prior))).astype(np.float32)
-    prior = PRIOR * np.maximum(slot_p, 1e-9)
+    prior = PRIOR * np.maximum(np.tile(np.exp(model.slot_base), (OUTPUTS, 1)), 1e-9)
     model.slot_weights += (rate * np.log((seen_s + prior) / (hope_s + prior))).astype(np.float32)
 
 
@@ -298,7 +298,7 @@ def count_words(texts: DataFrame) -> DataFrame:
 
 
 def fit(counts: DataFrame, docs: DataFrame) -> Model:
-    """A model from the token counts of ``docs`` (doc_id, text) and gradient updates on batches of its texts."""
+    """A model from the token counts of ``docs`` (text); classes and every gradient update read all its texts."""
     head = counts.orderBy(F.desc("c"), "key").limit(HEAD).toPandas()
     main = counts.sparkSession.createDataFrame([(int(k),) for k in head.key[:MODELLED]], "key long")
     tail = counts.join(F.broadcast(main), "key", "left_anti").groupBy("tail").agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect()
@@ -311,14 +311,11 @@ def fit(counts: DataFrame, docs: DataFrame) -> Model:
     model = Model(keys[order], head.c.to_numpy(np.int64)[order], order, all_.n, all_.v, code_tokens, code_types)
     if not all_.n:
         return model
-    spot, share, batches = part(F.col("doc_id"), "batch"), 0.0, []
-    for size in SHARES:
-        batches.append(docs.where((spot >= int(UNITS * share)) & (spot < int(UNITS * (share + size)))))
-        share += size
-    seen = _sums(model, batches[0], True)[: CONTEXTS * OUTPUTS].reshape(CONTEXTS, OUTPUTS)
+    seen = _sums(model, docs, False)[0][:CONTEXTS]
     model = model.regrouped(seen.astype(np.float64))
-    for turn, (texts, rate) in enumerate(zip(batches[1:], RATES)):
-        _update(model, texts, rate, turn == 0)
+    seen = _sums(model, docs, False)
+    for turn, rate in enumerate(RATES):
+        _update(model, docs, seen, rate, turn == 0)
     return model
 
 
@@ -332,6 +329,7 @@ def _score_task(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.
     bottom = np.log10(model.tokens + ADD * (model.types + 1))
     tail_bottom = np.log10(model.tail_tokens + ADD * (model.tail_types + 1))
     logs = np.append(np.log10(model.counts + ADD), 0.0)
+    slot_logs = model.slot_logs()
     for batch in by_size(batches, "text", 1 << 20):
         n = batch.num_rows
         keys, tails, bounds = tokens(batch.column("text"))
@@ -342,11 +340,8 @@ def _score_task(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.
             k = klass[a : a + CHUNK]
             own = x[np.arange(len(x)), k]
             score[a : a + CHUNK] = own - _log_sum(x)
-            some = np.flatnonzero(slot[a : a + CHUNK] >= 0)
-            if len(some):
-                x = model.slot_base[k[some]] + model.slot_weights[slot_row[a + some]]
-                own = x[np.arange(len(x)), slot[a + some]]
-                score[a + some] += own - _log_sum(x)
+        main = slot >= 0
+        score[main] += slot_logs[slot_row[main], slot[main]]
         own = logs[at]  # the rare ones' counts are not known yet: 0
         score = score / np.log(10) + np.where(slot < 0, own - tail_bottom[np.maximum(klass - CLASSES, 0)], 0.0)
         rows = np.repeat(np.arange(n), np.diff(bounds))

@@ -94,3 +94,25 @@ def test_odd_rows(documents, odd):
     nothing = score(frame, frame.limit(0)).collect()
     assert rows(nothing) == base(odd, []) and all(math.isfinite(r.score) for r in nothing)
     assert score(documents([]), frame).count() == 0
+
+
+def test_every_text_reaches_the_weights(documents):
+    texts = [(d, f"left{d} right{d} " * 40) for d in range(24)]  # each text has word pairs of its own
+    training = documents(texts)
+    model = fit(count_words(training), training)
+    tokens = Tokens()
+    for _, text in texts:
+        _, klass, slot, features, slot_row = model.events(*tokens(pa.array([text])))
+        assert (model.class_weights[features[1:-1, 0], klass[1:-1]] != 0).all()
+        assert (model.slot_weights[slot_row[1:-1], slot[1:-1]] != 0).all()
+        assert (model.class_weights[features[:, 0], klass] > 0).any()
+    assert fit_counts(training, model) == 24 * 81
+
+
+def fit_counts(training, model):
+    """Tokens that the gradients of all texts are taken over, observed and expected."""
+    seen, hope = (maxent._sums(model, training, expected)[0] for expected in (False, True))
+    ends = [*maxent.STARTS, maxent.ROWS]
+    sums = [x[a:b].sum() for x in (seen, hope) for a, b in zip(ends, ends[1:])]
+    assert np.allclose(sums, sums[0], rtol=1e-4)
+    return round(float(sums[0]))
