@@ -80,3 +80,15 @@ def test_groups_lose_nothing():
                 assert start == at and size > 0
                 at += size
             assert at == length
+
+
+def test_added_tokens_as_the_library_reads_them(documents):
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))  # with its default setting
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "x<|endoftext|><|endoftext|>\n\n y", "<|endoftext| > <|ENDOFTEXT|>", "plain  text", "  <|endoftext|>  é中"]
+    texts += [f"one {c} two{c}" for c in (t.content for t in library.get_added_tokens_decoder().values())]
+    rows = sorted(pack(documents(list(enumerate(texts)))).collect(), key=lambda r: r.start)
+    for doc, text in enumerate(texts):
+        wanted = [*library.encode(text, add_special_tokens=False).ids, 1]
+        pieces = [r for r in rows if r.doc_id == doc]
+        assert np.frombuffer(b"".join(bytes(r.ids) for r in pieces), "<u4").tolist() == wanted
+        assert {r.doc_tokens for r in pieces} == {len(wanted)}
