@@ -174,19 +174,19 @@ def common(a: list[str], b: list[str]) -> list[bool]:
 def main_text(page: list[tuple[str, bool]], neighbours: list[list[tuple[str, bool]]], protect: bool) -> str:
     """The page's lines without those shared with the first neighbour that is not a copy.
 
-    With ``protect``, lines inside an article or main element stay, and if the page has such lines the others
-    go; the shared ones are deleted where the page has no such element.
+    With ``protect``, lines inside an article or main element stay, shared or not, for articles share passages
+    that are theirs. Without a neighbour to tell, the lines beside such an element go.
     """
     texts = [x for x, _ in page]
-    shared = [False] * len(texts)
+    shared, compared = [False] * len(texts), False
     for other in neighbours:
         found = common(texts, [x for x, _ in other])
         size = sum(len(x) for x, s in zip(texts, found) if s)
         if size < COPY * sum(map(len, texts)) and size < COPY * max(1, sum(len(x) for x, _ in other)):
-            shared = found
+            shared, compared = found, True
             break
     if protect and any(p for _, p in page):
-        return "\n".join(x for x, p in page if p)
+        return "\n".join(x for (x, p), s in zip(page, shared) if p or compared and not s)
     return "\n".join(x for x, s in zip(texts, shared) if not s)
 
 

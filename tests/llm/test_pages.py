@@ -84,3 +84,12 @@ def test_odd_rows(spark):
     assert found[0] == (1, "alone", 5) and found[1] == (2, "", 0) and found[2] == (3, "", 0) and found[-1] == (None, "a\nb", 3)
     assert found[3] == found[4] == (4, "long long", 999_999)
     assert extract(df.limit(0)).count() == 0
+
+
+def test_text_beside_an_article_goes_only_if_shared(spark):
+    html = "<div>Menu of the site</div><div>Story number {0}, told beside the card</div><article>Card number {0} with a text</article><div>Imprint</div>"
+    rows = [(i, f"https://h.org/a/{i}", html.format(i)) for i in range(3)] + [(3, "https://alone.org/a", html.format(3))]
+    found = {r.page_id: r.text for r in extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(3):
+        assert found[i] == f"Story number {i}, told beside the card\nCard number {i} with a text"
+    assert found[3] == "Card number 3 with a text"  # no neighbour to tell
