@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .base import query, table
 from .kernels import SliceHasher, by_size, fold_case, per_row, runs, utf8, words
-from .trees import BoostedTrees, Isotonic, bounded_sample, out_of_fold, part, sigmoid
+from .trees import BoostedTrees, Isotonic, bounded_sample, out_of_fold, part, sampled_rows, sigmoid
 
 SAMPLE = 20_000  # labelled rows that the model is fitted on, and as many without a label for pseudo-labels
 ROUNDS = 3
@@ -181,16 +181,16 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> CoTrained:
     """A model from ``docs`` (doc_id, text, and source and lang where there are) and ``labels`` (doc_id, quality).
 
     Fitted on about ``sample`` labelled rows and as many unlabelled ones, chosen by a hash of doc_id. Of several
-    labels of a doc_id the smallest counts. Without labels of both kinds every text has their share.
+    labels of a doc_id the smallest counts, of several rows the least. Without labels of both kinds every text has their share.
     """
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").cast("int").alias("y"))
     chosen = bounded_sample(known, "doc_id", sample, "quality").withColumn("role", part(F.col("doc_id"), "fold"))
     columns = [c for c in ("doc_id", "text", "source", "lang") if c in docs.columns]
-    xs, y, fold = _rows(docs.select(*columns).join(F.broadcast(chosen), "doc_id"))
+    xs, y, fold = _rows(sampled_rows(docs.select(*columns), chosen, "doc_id"))
     ids = docs.select("doc_id").where("doc_id is not null")
     spare = bounded_sample(ids.join(known.select("doc_id"), "doc_id", "left_anti").distinct(), "doc_id", sample, "pool")
     spare = spare.select("doc_id", F.lit(0).alias("y"), F.lit(0).cast("long").alias("role"))
-    pool, _, _ = _rows(docs.select(*columns).join(F.broadcast(spare), "doc_id"))
+    pool, _, _ = _rows(sampled_rows(docs.select(*columns), spare, "doc_id"))
     return co_train(xs, y, fold, pool)
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from .base import query, table
 from .kernels import LOWER, SliceHasher, by_size, fold_case, mix, per_row, runs, utf8, words
-from .trees import BoostedTrees, Isotonic, bounded_sample, out_of_fold, part
+from .trees import BoostedTrees, Isotonic, bounded_sample, out_of_fold, part, sampled_rows
 
 SAMPLE = 20_000  # labelled rows that the model is fitted on
 LEXICON = 5_000  # entries
@@ -206,12 +206,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> ToxicityMod
     """A model from ``docs`` (doc_id, text) and ``labels`` (doc_id, toxic).
 
     Fitted on about ``sample`` labelled rows, chosen by a hash of doc_id: a half gives the lexicon, the other half the
-    trees, whose out-of-fold margins give the calibration. Of several labels of a doc_id the largest counts;
+    trees, whose out-of-fold margins give the calibration. Of several labels of a doc_id the largest counts, of several
+    texts the least;
     without labels of both kinds every score is the share of toxic ones.
     """
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("y"))
     chosen = bounded_sample(known.withColumn("role", part(F.col("doc_id"), "role")), "doc_id", sample, "toxic")
-    rows = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    rows = sampled_rows(docs.select("doc_id", "text"), chosen, "doc_id")
     lexicon = learn_lexicon(rows.where("role % 2 = 0").select("text", "y"))
     others = rows.where("role % 2 = 1").select("text", "y", "role")
     found = others.mapInArrow(lambda b: _features_task(b, lexicon, ["y", "role"]), "y int, role long, x array<double>").collect()

@@ -124,3 +124,13 @@ def bounded_sample(rows: DataFrame, key: str, limit: int, salt: str) -> DataFram
     """About ``limit`` rows by a hash of ``key``, or all if they are fewer; small enough to broadcast."""
     n = rows.count()
     return rows if n <= limit else rows.where(part(F.col(key), salt) < int(UNITS * limit / n))
+
+
+def sampled_rows(docs: DataFrame, chosen: DataFrame, key: str) -> DataFrame:
+    """One row of ``docs`` for each ``key`` of ``chosen``, the least, with the columns of both.
+
+    Repeated rows meet on the map side first, so a key with many of them costs and weighs no more than another.
+    """
+    others = [c for c in docs.columns if c != key]
+    rows = docs.join(F.broadcast(chosen), key)
+    return rows.groupBy(*chosen.columns).agg(F.min(F.struct(*others)).alias("_row")).select(*chosen.columns, "_row.*")

@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from marketlake.llm import quality, toxicity
 from marketlake.llm.trees import BoostedTrees, Isotonic
@@ -79,3 +80,13 @@ def test_no_labels(spark, documents, odd, frames):
     for known in (labels.limit(0), spark.createDataFrame([(1, 0, 0), (None, 1, 1), (4, None, None)], "doc_id long, quality int, toxic int")):
         assert {r.predicted for r in toxicity.score(rows, toxicity.fit(rows, known)).collect()} == {0}
         assert quality.score(rows, quality.fit(rows, known)).count() == len(odd)
+
+
+def test_a_repeated_document_weighs_once(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    one = labels.where("toxic = 0 and quality is not null").orderBy("doc_id").first().doc_id
+    more = docs.unionByName(docs.where(F.col("doc_id") == one).withColumn("n", F.explode(F.sequence(F.lit(1), F.lit(500)))).drop("n"))
+    for module, column in ((toxicity, "score"), (quality, "quality")):
+        single, repeated = ({r.doc_id: r[column] for r in module.score(docs, module.fit(d, labels)).collect()} for d in (docs, more))
+        assert max(abs(single[d] - repeated[d]) for d in single) < 0.02
