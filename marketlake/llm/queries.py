@@ -1,6 +1,18 @@
 """All queries of this package."""
 
-from . import bpe, maxent, maxscore, neardup, packing, pages, pii, quality, syncmers, toxicity  # noqa: F401
+from . import (  # noqa: F401
+    bpe,
+    maxent,
+    maxscore,
+    neardup,
+    packing,
+    pages,
+    pii,
+    quality,
+    sharding,
+    syncmers,
+    toxicity,
+)
 from .base import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -18,8 +18,9 @@ COLUMNS = {
     "op8_maxscore_topk": "query_id rank vec_id score",
     "op9_minhash_tensored": "doc_id n_shingles component_id kept",
     "op10_bpe_round_trip": "doc_id n_tokens ids_sha256 decoded_sha256",
+    "op13_bounded_ring": "doc_id size text_crc32 law shard slot grown_shard",
 }
-LONGS = "page_id n_chars start length ids_crc32 doc_tokens sequence_id offset n_tokens n_known train_tokens query_id vec_id n_shingles component_id".split()
+LONGS = "page_id n_chars start length ids_crc32 doc_tokens sequence_id offset n_tokens n_known train_tokens query_id vec_id n_shingles component_id size text_crc32 slot".split()
 
 
 @pytest.mark.parametrize("name", sorted(COLUMNS))
