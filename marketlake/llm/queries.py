@@ -12,6 +12,7 @@ from . import (  # noqa: F401
     sharding,
     syncmers,
     toxicity,
+    whitening,
 )
 from .base import ORACLES, QUERIES
 

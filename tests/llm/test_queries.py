@@ -18,9 +18,10 @@ COLUMNS = {
     "op8_maxscore_topk": "query_id rank vec_id score",
     "op9_minhash_tensored": "doc_id n_shingles component_id kept",
     "op10_bpe_round_trip": "doc_id n_tokens ids_sha256 decoded_sha256",
+    "op12_qdwh_whitening": "vec_id component n deviation whitened explained identity_error",
     "op13_bounded_ring": "doc_id size text_crc32 law shard slot grown_shard",
 }
-LONGS = "page_id n_chars start length ids_crc32 doc_tokens sequence_id offset n_tokens n_known train_tokens query_id vec_id n_shingles component_id size text_crc32 slot".split()
+LONGS = "page_id n_chars start length ids_crc32 doc_tokens sequence_id offset n_tokens n_known train_tokens query_id vec_id n_shingles component_id size text_crc32 slot deviation n".split()
 
 
 @pytest.mark.parametrize("name", sorted(COLUMNS))
@@ -33,8 +34,9 @@ def test_query(spark, name):
     if name in ORACLES:
         assert difference(df.columns, found, oracle_connection(SF), ORACLES[name]) is None
     elif name != "op4_pack_best_fit":
-        table = "pages" if "page_id" in df.columns else "documents"
-        assert len(found) == spark.read.parquet(f"{SF}/{table}.parquet").count()
+        table = {"page_id": "pages", "vec_id": "embeddings"}.get(df.columns[0], "documents")
+        per_row = 16 if table == "embeddings" else 1
+        assert len(found) == per_row * spark.read.parquet(f"{SF}/{table}.parquet").count()
 
 
 def test_registered():
