@@ -2,6 +2,7 @@
 
 from . import (  # noqa: F401
     bpe,
+    lexical,
     maxent,
     maxscore,
     neardup,

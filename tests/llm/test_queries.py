@@ -18,10 +18,11 @@ COLUMNS = {
     "op8_maxscore_topk": "query_id rank vec_id score",
     "op9_minhash_tensored": "doc_id n_shingles component_id kept",
     "op10_bpe_round_trip": "doc_id n_tokens ids_sha256 decoded_sha256",
+    "op11_pair_bound_search": "item_id rank doc_id score",
     "op12_qdwh_whitening": "vec_id component n deviation whitened explained identity_error",
     "op13_bounded_ring": "doc_id size text_crc32 law shard slot grown_shard",
 }
-LONGS = "page_id n_chars start length ids_crc32 doc_tokens sequence_id offset n_tokens n_known train_tokens query_id vec_id n_shingles component_id size text_crc32 slot deviation n".split()
+LONGS = "page_id n_chars start length ids_crc32 doc_tokens sequence_id offset n_tokens n_known train_tokens query_id vec_id n_shingles component_id size text_crc32 slot deviation n item_id doc_id".split()
 
 
 @pytest.mark.parametrize("name", sorted(COLUMNS))
