@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from marketlake.operators import profile, quality
-from marketlake.session import materialize
+from marketlake.operators.partials import partition_counts
+from marketlake.operators.tables import replace_partitions
+from marketlake.session import materialize, new_folder
 
 from marketlake.vocabulary import SPECIAL_CHARACTERS
 
@@ -165,3 +167,23 @@ def rows_per_batch(t: Tables) -> DataFrame:
 @check("distinct_list", "select distinct l_partkey from lineitem")
 def distinct_list(t: Tables) -> DataFrame:
     return profile.distinct_values(t.lineitem, "l_partkey")
+
+
+@check(
+    "profile_by_change",
+    f"""{WITH} select sum(record_count)::bigint as total_records, count(*) as unique_indicators,
+              count(raw_ind_name) as mappable_indicators,
+              count(*) - count(raw_ind_name) as unmapped_indicators, 1 as partitions_scanned
+        from names left join m on ind_name = raw_ind_name""",
+)
+def profile_by_change(t: Tables) -> DataFrame:
+    """The profile of a table by status, of which one partition came since the last profile."""
+    target, store = new_folder(t.spark, "items"), new_folder(t.spark, "profile")
+    names = t.part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_name").alias("ind_name"))
+    items = t.lineitem.join(names, "l_partkey").select("ind_name", "l_quantity", F.col("l_returnflag").alias("flag"))
+    replace_partitions(items.where("flag <> 'R'"), target, ["flag"])
+    partition_counts(t.spark, target, store)
+    replace_partitions(items.where("flag = 'R'"), target, ["flag"])
+    counts, scanned = partition_counts(t.spark, target, store)
+    found = profile.profile_before(profile.sum_counts(counts), part_mapping(t))
+    return found.withColumn("partitions_scanned", F.lit(scanned))

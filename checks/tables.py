@@ -12,6 +12,7 @@ from marketlake.operators import tables
 from marketlake.operators.dedup import keep_last
 from marketlake.schemas import struct
 from marketlake.session import new_folder
+from marketlake.sources import manifest
 
 from .base import RUN_TS, Tables, check, part_mapping
 
@@ -173,15 +174,40 @@ def replace_partitions(t: Tables) -> DataFrame:
     """select 20240115 as snapshot_ds, count(*) as row_count, count(distinct o_orderkey) as orders from orders""",
 )
 def snapshot_count(t: Tables) -> DataFrame:
-    root = new_folder(t.spark, "snapshots")
-    tables.snapshot(t.orders.where("o_orderstatus = 'F'"), root, "2024-01-15")
-    tables.snapshot(t.orders, root, "2024-01-15")
-    copies = t.spark.read.parquet(root)
+    """Two snapshots of one day, of which the second counts, read through its manifest after the table has changed."""
+    target, root = new_folder(t.spark, "orders"), new_folder(t.spark, "snapshots")
+    tables.replace_partitions(t.orders.where("o_orderstatus = 'F'"), target, ["o_orderstatus"])
+    manifest.take_snapshot(t.spark, target, root, "2024-01-15")
+    tables.replace_partitions(t.orders, target, ["o_orderstatus"])
+    manifest.take_snapshot(t.spark, target, root, "2024-01-15")
+    tables.replace_partitions(t.orders.where("o_orderstatus = 'O' and o_totalprice < 0.5 * o_orderkey"), target, ["o_orderstatus"])
+    copies = manifest.read_snapshot(t.spark, root, "2024-01-15").withColumn("snapshot_ds", F.lit(20240115))
     return copies.groupBy("snapshot_ds").agg(
         F.count(F.lit(1)).alias("row_count"), F.countDistinct("o_orderkey").alias("orders")
     )
 
 
+@check(
+    "snapshot_rows",
+    """select 'before' as taken, o_orderkey, o_custkey, o_totalprice, o_orderstatus from orders
+       union all select 'after', o_orderkey, o_custkey, o_totalprice + 1, o_orderstatus from orders where o_orderstatus = 'F'
+       union all select 'after', o_orderkey, o_custkey, o_totalprice, o_orderstatus from orders where o_orderstatus <> 'F'""",
+)
+def snapshot_rows(t: Tables) -> DataFrame:
+    """Snapshots before and after an upsert, both read after the whole table was replaced."""
+    target, root = new_folder(t.spark, "orders"), new_folder(t.spark, "snapshots")
+    rows = t.orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", F.lit(0).alias("_order"))
+    key, status = ["o_orderkey", "o_orderstatus"], {"o_orderstatus": F.col("o_orderstatus")}
+    tables.upsert(rows, target, key, ["_order"], status)
+    manifest.take_snapshot(t.spark, target, root, "2024-01-15")
+    finished = rows.where("o_orderstatus = 'F'").withColumn("o_totalprice", F.col("o_totalprice") + 1)
+    tables.upsert(finished, target, key, ["_order"], status)
+    manifest.take_snapshot(t.spark, target, root, "2024-01-16")
+    tables.full_refresh(rows.drop("_order").limit(1), target)
+    before, after = (manifest.read_snapshot(t.spark, root, day) for day in ("2024-01-15", "2024-01-16"))
+    return before.withColumn("taken", F.lit("before")).unionByName(after.withColumn("taken", F.lit("after")))
+
+
 @check(
     "snapshot_retention",
     """select distinct strftime(ts, '%Y%m%d') as snapshot_ds from events

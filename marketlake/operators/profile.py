@@ -20,6 +20,11 @@ def name_counts(df: DataFrame, column: str = "ind_name") -> DataFrame:
     return df.groupBy(F.col(column).alias("ind_name")).agg(F.count(F.lit(1)).alias("record_count"))
 
 
+def sum_counts(counts: DataFrame, *by: str) -> DataFrame:
+    """Rows per name, and per ``by``, from counts by more columns than that."""
+    return counts.groupBy(*by, "ind_name").agg(F.sum("record_count").cast("bigint").alias("record_count"))
+
+
 def _raw(mapping: DataFrame) -> DataFrame:
     return mapping.select(F.col("raw_ind_name").alias("ind_name")).distinct()
 

@@ -6,7 +6,7 @@ source under an explicit order and joining it against the target.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import date, timedelta
 from functools import reduce
 from operator import or_
@@ -58,11 +58,16 @@ def append_by_name(df: DataFrame, table: str) -> None:
     df.write.mode("append").saveAsTable(table)
 
 
-def full_refresh(df: DataFrame, path: str) -> DataFrame:
-    """Replace all rows of a dimension; written aside first, so ``df`` may read ``path``."""
+def full_refresh(df: DataFrame, path: str, written: Callable[[str], None] | None = None) -> DataFrame:
+    """Replace all rows of a dimension; written aside first, so ``df`` may read ``path``.
+
+    ``written`` is called with the folder that holds them before it is moved.
+    """
     spark = df.sparkSession
     staged = paths.aside(path, "staged")
     df.write.mode("overwrite").parquet(staged)
+    if written is not None:
+        written(staged)
     paths.replace_folder(spark, staged, path)
     return spark.read.parquet(path)
 
@@ -74,8 +79,11 @@ def replace_partitions(
 
     ``rebalance`` brings the rows of a partition together and splits large ones, for few
     files of good size. Rows that were just read from the same partitions need no such
-    shuffle: each task writes back what it read.
+    shuffle: each task writes back what it read. If the table has snapshots, the rows are written aside, and the
+    folders they replace are kept for these.
     """
+    if paths.snapshot_root(df.sparkSession, path) is not None:
+        return swap_in(df, path, partition_by, rebalance)
     rows = df.hint("rebalance", *partition_by) if rebalance else df
     writer = rows.write.mode("overwrite")
     writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
@@ -168,12 +176,23 @@ def upsert(
         return full_refresh(merged, target)
 
 
-def swap_in(df: DataFrame, target: str, partition_by: Sequence[str], rebalance: bool = True) -> DataFrame:
-    """``replace_partitions`` for rows read from the same table: written aside before any folder goes."""
+def swap_in(
+    df: DataFrame,
+    target: str,
+    partition_by: Sequence[str],
+    rebalance: bool = True,
+    written: Callable[[str], None] | None = None,
+) -> DataFrame:
+    """``replace_partitions`` for rows read from the same table: written aside before any folder goes.
+
+    ``written`` is called with the folder that holds them before they are moved.
+    """
     spark = df.sparkSession
     staged = paths.aside(target, "staged")
     paths.delete(spark, staged)
     replace_partitions(df, staged, partition_by, rebalance)
+    if written is not None:
+        written(staged)
     paths.swap_partitions(spark, staged, target, len(partition_by))
     return spark.read.parquet(target)
 

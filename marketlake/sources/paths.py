@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
+import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import path_date
@@ -17,6 +19,23 @@ def _path(spark: SparkSession, path: str):
     return jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm_path
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path as listings and file metadata spell it."""
+    fs, p = _path(spark, path)
+    return fs.makeQualified(p).toString().rstrip("/")
+
+
+def plain_path(c: Column) -> Column:
+    """A path of file metadata without its percent codes."""
+    return F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+
+
+def folder_value(folder: Column, name: str) -> Column:
+    """Text value of the partition column ``name`` in a folder such as ``year=2024/quarter=1``."""
+    found = plain_path(F.regexp_extract(folder, f"(?:^|/){re.escape(name)}=([^/]*)", 1))
+    return F.nullif(found, F.lit("__HIVE_DEFAULT_PARTITION__")).alias(name)
+
+
 def aside(path: str, word: str) -> str:
     """Sibling of ``path`` that folder listings skip."""
     parent, _, name = path.rstrip("/").rpartition("/")
@@ -54,6 +73,11 @@ def child_folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory())
 
 
+def unused(spark: SparkSession, folder: str, name: str) -> str:
+    """A partition folder ``name=<id>`` that no other run has used."""
+    return f"{folder.rstrip('/')}/{name}={uuid.uuid4().hex}"
+
+
 def delete(spark: SparkSession, path: str) -> bool:
     fs, p = _path(spark, path)
     return fs.delete(p, True)
@@ -98,6 +122,64 @@ def folder_bytes(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(p).getLength() if fs.exists(p) else 0
 
 
+def _marker(spark: SparkSession, table: str):
+    return _path(spark, f"{aside(table, 'snapshots')}/root")
+
+
+def keep_replaced(spark: SparkSession, table: str, root: str, newest: int | None = None) -> None:
+    """From now on loads keep the folders they replace in ``root``, for snapshots to refer to.
+
+    ``newest`` is the time of the newest file that a snapshot refers to; a folder with newer files alone need not be
+    kept. While it is None all are.
+    """
+    known = snapshot_root(spark, table)
+    if known is not None and known[0] != root:
+        raise ValueError(f"the snapshots of {table} are under {known[0]}")
+    fs, place = _marker(spark, table)
+    fs.mkdirs(place.getParent())
+    out = fs.create(place, True)
+    try:
+        out.write(bytearray(f"{'' if newest is None else newest}\n{root}", "utf-8"))
+    finally:
+        out.close()
+
+
+def snapshot_root(spark: SparkSession, table: str) -> tuple[str, int | None] | None:
+    """Where the folders go that loads replace, and the newest time referred to; None without snapshots."""
+    fs, place = _marker(spark, table)
+    if not fs.exists(place):
+        return None
+    length = fs.getFileStatus(place).getLen()
+    stream = fs.open(place)
+    try:
+        text = spark.sparkContext._jvm.org.apache.hadoop.io.IOUtils.readFullyToByteArray(stream)
+    finally:
+        stream.close()
+    newest, root = bytes(b & 0xFF for b in text[:length]).decode().split("\n", 1)
+    return root, int(newest) if newest else None
+
+
+def discard(spark: SparkSession, folder: str, table: str, below: str = "", version: str = "") -> None:
+    """Delete a folder that a load has replaced, or keep it where a snapshot of ``table`` may refer to it.
+
+    ``below`` is the folder's place in the table, ``version`` names the load.
+    """
+    fs, old = _path(spark, folder)
+    if not fs.exists(old):
+        return
+    kept = snapshot_root(spark, table)
+    if kept is not None:
+        root, newest = kept
+        files = [s for s in fs.listStatus(old) if not s.getPath().getName().startswith(("_", "."))]
+        if newest is None or any(s.isDirectory() or s.getModificationTime() <= newest for s in files):
+            _, place = _path(spark, f"{root}/kept/version={version or uuid.uuid4().hex}/{below.strip('/')}".rstrip("/"))
+            fs.mkdirs(place.getParent())
+            if not fs.rename(old, place):
+                raise OSError(f"cannot keep {folder}")
+            return
+    fs.delete(old, True)
+
+
 def _partition_folders(spark: SparkSession, path: str, depth: int) -> list[str]:
     names = [""]
     for _ in range(depth):
@@ -125,10 +207,11 @@ def finish_swap(spark: SparkSession, target: str, depth: int) -> None:
     fs, root = _path(spark, ready)
     if not fs.exists(root):
         return
+    version = uuid.uuid4().hex
     for name in _partition_folders(spark, ready, depth):
         _, new = _path(spark, ready + name)
         _, place = _path(spark, target + name)
-        fs.delete(place, True)
+        discard(spark, target + name, target, name, version)
         fs.mkdirs(place.getParent())
         if not fs.rename(new, place):
             raise OSError(f"cannot move {ready}{name}")
@@ -145,14 +228,14 @@ def replace_folder(spark: SparkSession, staged: str, target: str) -> None:
     _, new = _path(spark, staged)
     _, place = _path(spark, target)
     if exists(spark, target):
-        fs.delete(old, True)
+        discard(spark, aside(target, "old"), target)
         if not fs.rename(place, old):
             raise OSError(f"cannot move {target} aside")
     else:
         fs.mkdirs(place.getParent())
     if not fs.rename(new, place):
         raise OSError(f"cannot move {staged} to {target}")
-    fs.delete(old, True)
+    discard(spark, aside(target, "old"), target)
 
 
 def lake_files(spark: SparkSession, root: str) -> DataFrame:
