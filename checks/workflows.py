@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketlake import registry
@@ -184,6 +184,34 @@ def ratios_union(t: Tables) -> DataFrame:
     return ratios.ratios_union({"HPG": first, "VNM": second}, "quarter", RUN_TS).drop("extracted_at")
 
 
+KINDS = 120
+RATIO_SQL = ", ".join(f"case when c_custkey % {KINDS} = {k} then c_nationkey::varchar end as ratio_{k}" for k in range(KINDS))
+
+
+@check(
+    "ratios_folder",
+    f"""select c_name as ticker, case when c_custkey % {KINDS} % 3 > 0 then c_custkey::varchar end as period, {RATIO_SQL},
+               'quarter' as period_type from customer""",
+)
+def ratios_folder(t: Tables) -> DataFrame:
+    """A file for each of 120 groups of customers, with a ratio of its own, in three orders of columns, one without period."""
+    place = new_folder(t.spark, "ratios")
+    kind = (F.col("c_custkey") % KINDS).cast("int")
+
+    def line(period: Column, ticker: Column, ratio: Column) -> Column:
+        by_order = (F.concat_ws(",", *cells) for cells in ((ratio, ticker), (ticker, period, ratio), (period, ratio, ticker)))
+        return F.element_at(F.array(*by_order), kind % 3 + 1)
+
+    header = line(F.lit("period"), F.lit("Ticker "), F.concat(F.lit("ratio_"), kind.cast("string")))
+    cells = line(F.col("c_custkey").cast("string"), F.col("c_name"), F.col("c_nationkey").cast("string"))
+    rows = t.customer.select(kind.alias("kind"), header.alias("header"), cells.alias("line"))
+    tops = rows.select("kind", F.lit(0).alias("_order"), F.col("header").alias("line")).distinct()
+    lines = tops.unionByName(rows.select("kind", F.lit(1).alias("_order"), "line"))
+    lines = lines.repartition("kind").sortWithinPartitions("kind", "_order").select("kind", "line")
+    lines.write.partitionBy("kind").text(place)
+    return ratios.ratios_folder(t.spark, place, "quarter", RUN_TS).drop("extracted_at")
+
+
 @check(
     "load_overview",
     """select c_name as ticker, c_mktsegment as overview, rtrim(rtrim(format('{:.10f}', c_acctbal), '0'), '.') as icb_name1,

@@ -23,7 +23,7 @@ def normalize_ratios(df: DataFrame, symbol: str, period: str, run_ts: Any) -> Da
 def ratios_folder(spark: SparkSession, folder: str, period: str, run_ts: Any) -> DataFrame:
     """Ratios of all companies from CSV files below ``folder``, whatever columns they have.
 
-    A scan for each different header, not for each company. The symbol is that of the row, or else the
+    One scan, however many different headers there are. The symbol is that of the row, or else the
     file's name.
     """
     rows = read_csv_by_name(spark, folder, file_columns=True)

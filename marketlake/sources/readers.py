@@ -5,7 +5,7 @@ from __future__ import annotations
 import csv
 import sys
 from collections.abc import Callable, Iterator, Sequence
-from contextlib import contextmanager
+from itertools import islice
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -16,25 +16,51 @@ from pyspark.sql import types as T
 from ..functions import clean_symbol, non_blank
 from ..operators.columns import conform
 from ..operators.quality import QualityError
-from ..operators.reshape import union_by_name
 from ..schemas import RSS, SITEMAP
 from ..session import new_folder, stored
-from . import paths
+from . import blocks, paths
 
 # Ship the code below with the query: executors need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def read_csv_lake(
-    spark: SparkSession, path: str | Sequence[str], schema: T.StructType, multiline: bool = False
+    spark: SparkSession, path: str | Sequence[str], schema: T.StructType, multiline: bool = False, file_columns: bool = False
 ) -> DataFrame:
     """CSV files with one header line each, which must agree with ``schema``.
 
-    A byte-order mark is skipped. ``multiline`` allows line breaks inside quotes; such a
-    file cannot be split, so its parallelism is the number of files.
+    ``file_columns`` adds those of ``with_file_columns``. A byte-order mark is skipped. ``multiline`` allows line breaks inside quotes; files larger than a task's
+    share are then cut by ``blocks.records``, unless the path has partition folders. A header that does not agree
+    is an error, in these files at once, in others when they are read.
     """
+    if multiline and blocks.has_large_files(spark, path):
+        found = blocks.records(spark, path, blocks.CSV)
+        headers = found.where("number = -1").groupBy("text").agg(F.min("file").alias("file"))
+        for row in headers.collect():
+            names = next(csv.reader([row["text"]]))
+            if [n.lower() for n in names] != [n.lower() for n in schema.names]:
+                raise QualityError(f"{row['file']}: header {names} instead of {schema.names}")
+        rows = _parsed(found, schema).withColumn("source_file", F.col("_file"))
+        return rows.select(*map(quoted, schema.names), "source_file", *FILE_ORDER) if file_columns else rows.select(*map(quoted, schema.names))
     reader = spark.read.schema(schema).option("header", True).option("enforceSchema", False)
-    return reader.option("multiLine", multiline).option("escape", '"').csv(path)
+    rows = reader.option("multiLine", multiline).option("escape", '"').csv(path)
+    return with_file_columns(rows) if file_columns else rows
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _parsed(records: DataFrame, schema: T.StructType) -> DataFrame:
+    """Fields of all records but the headers, by position, with the columns of ``FILE_ORDER``."""
+    ddl = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
+    rows = records.where("number >= 0").select(
+        F.from_csv("text", F.lit(ddl), {"escape": '"'}).alias("_fields"),
+        F.col("file").alias("_file"),
+        F.col("start").alias("_block"),
+        F.col("number").alias("_row"),
+    )
+    return rows.select("_fields.*", *FILE_ORDER)
 
 
 FILE_ORDER = ("_file", "_block", "_row")
@@ -55,39 +81,46 @@ def with_file_columns(df: DataFrame) -> DataFrame:
 
 
 def _first_lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The first line that is not blank; nothing of the file is asked for after it."""
+    """The first line of one file that is not blank; nothing of the file is asked for after it."""
+    yield from islice(_each_first_line(batches), 1)
+
+
+def _each_first_line(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first line that is not blank of each of the files that follow one another."""
+    done = None
     for batch in batches:
-        for path, line in zip(batch.column("path").to_pylist(), batch.column("value").to_pylist()):
-            if line.strip("\ufeff \t\r"):
-                yield pa.RecordBatch.from_pydict({"path": [path], "header": [line]})
-                return
-
-
-@contextmanager
-def _whole_files(spark: SparkSession) -> Iterator[None]:
-    """Each file a task of its own while this holds."""
-    settings = {"spark.sql.files.maxPartitionBytes": "1t", "spark.sql.files.openCostInBytes": "1t"}
-    before = {k: spark.conf.get(k) for k in settings}
-    try:
-        for k, v in settings.items():
-            spark.conf.set(k, v)
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)
+        files = batch.column("file").to_pylist()
+        for i, file in enumerate(files):
+            if file != done and (line := batch.column("value")[i].as_py()).strip("\ufeff \t\r"):
+                yield pa.RecordBatch.from_pydict({"file": [file], "header": [line]})
+                done = file
+
+
+SMALL = 1 << 20  # files up to this size are looked at whole, many to a task
 
 
 def csv_headers(spark: SparkSession, path: str | Sequence[str], place: str) -> DataFrame:
-    """``path`` and ``header`` line of each file that is not blank, stored in the folder ``place``.
+    """``file, path`` and ``header`` line of each file that is not blank, stored in the folder ``place``.
 
-    The header is the first line that is not blank, as for the CSV reader itself. A task per file stops
-    reading after that line, so a file of any size costs its first block.
+    The header is the first line that is not blank, as for the CSV reader itself; ``file`` is the path as the
+    file's rows have it in their metadata. Small files are read many to a task. Of a large one a task of
+    its own reads up to that line, so a file of any size costs its first block. The sizes are set in
+    sessions made for the two scans; the caller's is left alone.
     """
-    lines = spark.read.option("recursiveFileLookup", True).text(path)
-    plain = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))  # it is percent-encoded
-    found = lines.select(plain.alias("path"), "value").mapInArrow(_first_lines, "path string, header string")
-    with _whole_files(spark):
-        return stored(found.withColumn("header", F.ltrim("header", F.lit("\ufeff"))), place)
+
+    def lines(partition_bytes: str, small: bool) -> DataFrame:
+        own = spark.newSession()
+        for name in ("maxPartitionBytes", "openCostInBytes"):
+            own.conf.set(f"spark.sql.files.{name}", partition_bytes if not small or name == "maxPartitionBytes" else str(SMALL))
+        text = own.read.option("recursiveFileLookup", True).text(path)
+        size = F.col("_metadata.file_size")
+        return text.where(size <= SMALL if small else size > SMALL).select(F.col("_metadata.file_path").alias("file"), "value")
+
+    schema = "file string, header string"
+    many = lines(str(64 * SMALL), True).mapInArrow(_each_first_line, schema)
+    found = spark.createDataFrame([], schema).unionAll(many).unionAll(lines("1t", False).mapInArrow(_first_lines, schema))
+    header = F.ltrim("header", F.lit("\ufeff"))
+    return stored(found.select("file", paths.plain_path(F.col("file")).alias("path"), header.alias("header")), place)
 
 
 def unique_names(header: Sequence[str]) -> list[str]:
@@ -110,38 +143,64 @@ def read_csv_by_name(
 ) -> DataFrame:
     """CSV files whose headers may differ: columns are matched by name, absent ones null.
 
-    Spark binds CSV columns by position, so the files are read in one group per distinct
-    header. Names are stripped and in lower case; a repeated one gets a number. All columns
-    are text; with ``schema`` they are then conformed to it. ``file_columns`` adds those of
-    ``with_file_columns``. ``check`` gets the names of each header and one of its files, and may
-    refuse them. Blank files have no rows. If headers differ, the driver lists the files of each,
-    as it does for any scan.
+    One look for headers and one scan, however many headers there are: Spark binds CSV columns by position,
+    and where headers differ the names follow from the header of the row's file. Names are stripped and in lower
+    case; a repeated one gets a number. All columns are text; with ``schema`` they are then conformed to it.
+    ``file_columns`` adds those of ``with_file_columns``. ``check`` gets the names of each header and one of its
+    files, and may refuse them. Blank files have no rows. The driver holds the different headers.
     """
     place = new_folder(spark, "headers")
-    try:
-        headers = csv_headers(spark, path, place)
-        per_header = headers.groupBy("header").agg(F.min("path").alias("example")).orderBy("header").collect()
-        groups = {}
-        for row in per_header:
-            names = unique_names(next(csv.reader([row["header"]])))
-            if check is not None:
-                check(names, row["example"])
-            of_group = headers.where(F.col("header") == row["header"]).select("path")
-            groups[tuple(names), row["header"]] = path if len(per_header) == 1 else [r["path"] for r in of_group.collect()]
-    finally:
+    headers = csv_headers(spark, path, place)
+    examples = headers.groupBy("header").agg(F.min("path").alias("path")).orderBy("header").collect()
+    if not examples:
         paths.delete(spark, place)
-    frames = []
-    for (names, _), files in groups.items():
-        text = T.StructType([T.StructField(n, T.StringType()) for n in names])
-        reader = spark.read.schema(text).option("header", True).option("recursiveFileLookup", True)
-        frame = reader.option("multiLine", multiline).option("escape", '"').csv(files)
-        frames.append(with_file_columns(frame) if file_columns else frame)
-    if not frames:
         raise QualityError(f"no CSV header found under {path}")
-    rows = union_by_name(*frames)
+    known = {}
+    for row in examples:
+        known[row["header"]] = unique_names(next(csv.reader([row["header"]])))
+        if check is not None:
+            check(known[row["header"]], row["path"])
+    several = len({tuple(names) for names in known.values()}) > 1
+    names = list(dict.fromkeys(n for own in known.values() for n in own))
+    columns = [f"_field{i}" for i in range(max(map(len, known.values())))] if several else names
+    rows = _by_position(spark, path, T.StructType([T.StructField(c, T.StringType()) for c in columns]), multiline)
+    if several:
+        rows = _bound(rows, headers, known, names, columns)
+    else:
+        paths.delete(spark, place)
+    rows = rows.select(*[quoted(n) for n in names], F.col("_file").alias("source_file"), *FILE_ORDER) if file_columns else rows.drop(*FILE_ORDER)
     return rows if schema is None else conform(rows, schema)
 
 
+def _by_position(spark: SparkSession, path: str | Sequence[str], schema: T.StructType, multiline: bool) -> DataFrame:
+    """Rows of CSV files whatever their headers, in one scan, with the columns of ``FILE_ORDER``."""
+    if multiline and blocks.has_large_files(spark, path, recursive=True):
+        return _parsed(blocks.records(spark, path, blocks.CSV, recursive=True), schema)
+    reader = spark.read.schema(schema).option("header", True).option("recursiveFileLookup", True)
+    return with_file_columns(reader.option("multiLine", multiline).option("escape", '"').csv(path)).drop("source_file")
+
+
+def _bound(rows: DataFrame, headers: DataFrame, known: dict[str, list[str]], names: list[str], columns: list[str]) -> DataFrame:
+    """Fields by position bound to ``names`` by each file's header, with the columns of ``FILE_ORDER``.
+
+    What is broadcast has a hash of each file's path and the number of its header, less than the listing of the files
+    that a scan holds. Two paths of one hash would be seen here, and then the paths themselves are used.
+    """
+    spark = rows.sparkSession
+    numbers = {header: i for i, header in enumerate(known)}
+    number = spark.createDataFrame([(h, i) for h, i in numbers.items()], "header string, _header int")
+    at = [[own.index(n) if n in own else None for n in names] for own in known.values()]
+    places = spark.createDataFrame(pa.table({"_header": pa.array(range(len(at)), pa.int32()), "_at": pa.array(at, pa.list_(pa.int32()))}))
+    seen = headers.agg(F.count_distinct("file").alias("files"), F.count_distinct(F.xxhash64("file")).alias("hashes")).first()
+    key = F.xxhash64 if seen.files == seen.hashes else F.col
+    files = headers.join(number, "header").select(key("file").alias("_key"), "_header").distinct()
+    fields = rows.select(F.array(*columns).alias("_fields"), *FILE_ORDER).withColumn("_key", key("_file"))
+    unknown = F.raise_error(F.concat(F.lit("no header is known of "), F.col("_file")))
+    found = fields.join(F.broadcast(files), "_key", "left").withColumn("_header", F.coalesce("_header", unknown.cast("int")))
+    found = found.join(F.broadcast(places), "_header")
+    return found.selectExpr(*[f"get(_fields, get(_at, {i})) as {quoted(n)}" for i, n in enumerate(names)], *FILE_ORDER)
+
+
 def read_json_array(
     spark: SparkSession,
     path: str,
@@ -152,9 +211,14 @@ def read_json_array(
     """Files holding one JSON array each, or with ``lines`` one object per line.
 
     An absent key is null, or its value in ``defaults``; JSON null takes the default too.
-    An array cannot be split, so its parallelism is the number of files; lines can.
+    Lines are read in parts. So are arrays larger than a task's share (see ``blocks.records``), of which elements that
+    are no objects are left out, unless the path has partition folders.
     """
-    rows = spark.read.schema(schema).option("multiLine", not lines).json(path)
+    if not lines and blocks.has_large_files(spark, path):
+        found = blocks.records(spark, path, blocks.JSON)
+        rows = found.select(F.from_json("text", schema).alias("_item")).select("_item.*")
+    else:
+        rows = spark.read.schema(schema).option("multiLine", not lines).json(path)
     return rows.withColumns({k: F.coalesce(F.col(k), F.lit(v)) for k, v in (defaults or {}).items()})
 
 

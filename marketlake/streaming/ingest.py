@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 from ..operators.columns import with_audit
 from ..operators.tables import insert_if_absent, upsert
 from ..sources import paths
-from ..sources.readers import read_csv_by_name, read_csv_lake, with_file_columns
+from ..sources.readers import read_csv_by_name, read_csv_lake
 
 Load = Callable[[DataFrame], Any]
 
@@ -140,7 +140,7 @@ def ingest_files(
             if schema is None:
                 rows = read_csv_by_name(spark, found, multiline=multiline, file_columns=True, check=check)
             else:
-                rows = with_file_columns(read_csv_lake(spark, found, schema, multiline))
+                rows = read_csv_lake(spark, found, schema, multiline, file_columns=True)
             rows = rows.withColumn("_modified", F.lit(None).cast("timestamp"))
             load(_stamped(transform(rows), run_ts))
             keys = spark.createDataFrame([(p,) for p in found], "object_key string")

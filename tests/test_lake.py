@@ -258,7 +258,7 @@ def test_headers_cost_the_first_lines(spark, tmp_path, place):
 
 
 def _batch(lines):
-    return pa.RecordBatch.from_pydict({"path": ["f"] * len(lines), "value": lines})
+    return pa.RecordBatch.from_pydict({"file": ["f"] * len(lines), "value": lines})
 
 
 def test_numbers_stay_text(spark, tmp_path, place):
