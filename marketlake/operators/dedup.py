@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import non_blank
-from ..session import materialize
 
 
 def _pick(df: DataFrame, keys: Sequence[str | Column], order: Sequence[Column]) -> DataFrame:
@@ -56,30 +55,64 @@ def dedup_report(df: DataFrame, group: str, key: Column) -> DataFrame:
     return counts.withColumn("dropped_rows", F.col("total_rows") - F.col("kept_rows"))
 
 
+BUCKET_ROWS = 1 << 18  # rows ranked together, until there are MOST_BUCKETS
+MOST_BUCKETS = 1024
+STEP = 32  # bounds looked at in each of two steps
+SAMPLE = 64  # sampled rows for each bucket
+
+
+def _precedes(bound: Column, names: Sequence[str], falls: Sequence[bool]) -> Column:
+    """Does the bound, a struct, come before the row in the order of ``names``? Nulls are lowest."""
+    before = F.lit(False)
+    for name, down in reversed(list(zip(names, falls))):
+        b, r = bound[name], F.col(name)
+        lower = F.coalesce(b > r, r.isNull() & b.isNotNull()) if down else F.coalesce(b < r, b.isNull() & r.isNotNull())
+        before = lower | (b.eqNullSafe(r) & before)
+    return before
+
+
+def _bounds(rows: DataFrame, names: Sequence[str], order: Sequence[Column], buckets: int, total: int) -> list[Column]:
+    """Values between buckets of about equal size, from a sample whose size goes by the number of buckets."""
+    sample = rows.select(*names).sample(min(1.0, SAMPLE * buckets / total), seed=0)
+    place = F.row_number().over(Window.orderBy(*order))
+    chosen = sample.withColumn("_place", place).where(F.col("_place") % SAMPLE == 0).orderBy("_place").limit(MOST_BUCKETS)
+    types = {f.name: f.dataType for f in sample.schema.fields}
+    return [F.struct(*[F.lit(r[n]).cast(types[n]).alias(n) for n in names]) for r in chosen.collect()]
+
+
 def with_position(df: DataFrame, order_by: Sequence[str]) -> DataFrame:
     """0-based ``position`` of each row in the given order.
 
-    A range sort spreads the rows; each task numbers its own slice and the slices' sizes,
-    one row per task, give the offsets. A hash of the row breaks ties, so that a value with
-    a third of all rows still spreads over several slices. The sorted slices are
-    materialised first: sampling for the range bounds may differ between two runs.
+    The keys alone are read to find how many rows lie between the bounds of about equal buckets; that gives each
+    bucket its exact first position, and the rows of a bucket are ranked by themselves. So rows are shuffled once,
+    with the columns that are asked for, and nothing is stored. A hash of the row breaks ties, and then the
+    task that reads it, so that a value, or a row, that makes up a third of all spreads over several buckets.
+
+    ``df`` must have the same rows in the same tasks each time it is read, as files do.
     """
-    local = F.monotonically_increasing_id()
-    slices = materialize(
-        df.orderBy(*order_by, F.xxhash64(*df.columns))
-        .withColumn("_slice", F.shiftright(local, 33))
-        .withColumn("_local", local.bitwiseAND(F.lit((1 << 33) - 1)))
-    )
-    sizes = slices.groupBy("_slice").agg(F.count(F.lit(1)).alias("_size"))
-    before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        "_slice", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")
-    )
-    return (
-        slices.join(F.broadcast(offsets), "_slice")
-        .withColumn("position", F.col("_offset") + F.col("_local"))
-        .drop("_slice", "_local", "_offset")
-    )
+    names = [name.removeprefix("-") for name in order_by] + ["_tie", "_task"]
+    falls = [name.startswith("-") for name in order_by] + [False, False]
+    order = [F.col(n).desc() if down else F.col(n).asc() for n, down in zip(names, falls)]
+    rows = df.withColumns({"_tie": F.xxhash64(*df.columns), "_task": F.spark_partition_id()})
+    total = df.count()
+    buckets = min(MOST_BUCKETS, -(-total // BUCKET_ROWS))
+    if buckets < 2:
+        rank = F.row_number().over(Window.orderBy(*order))
+        return rows.withColumn("position", rank.cast("bigint") - 1).drop("_tie", "_task")
+    bounds = _bounds(rows, names, order, buckets, total)
+    passed = lambda some: F.size(F.filter(some, lambda b: _precedes(b, names, falls)))
+    coarse = passed(F.array(*bounds[STEP - 1 :: STEP])) if len(bounds) >= STEP else F.lit(0)
+    rows = rows.withColumn("_coarse", coarse)
+    fine = passed(F.slice(F.array(*bounds), F.col("_coarse") * STEP + 1, STEP)) if bounds else F.lit(0)
+    rows = rows.withColumn("_bucket", F.col("_coarse") * STEP + fine)
+    sizes = dict(rows.groupBy("_bucket").count().collect())
+    firsts, first = [], 0
+    for bucket in range(len(bounds) + 1):
+        firsts.append(first)
+        first += sizes.get(bucket, 0)
+    rank = F.row_number().over(Window.partitionBy("_bucket").orderBy(*order))
+    position = F.lit(firsts).cast("array<bigint>")[F.col("_bucket")] + rank - 1
+    return rows.withColumn("position", position).drop("_tie", "_task", "_coarse", "_bucket")
 
 
 def assign_batches(df: DataFrame, size: int, order_by: Sequence[str]) -> DataFrame:
