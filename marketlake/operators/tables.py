@@ -24,6 +24,9 @@ from .joins import without_match
 from .quality import QualityError, assert_unique
 
 
+Log = tuple[str, DataFrame]  # path of a table of log entries, and the entries of a load
+
+
 def ensure_table(
     spark: SparkSession,
     name: str,
@@ -141,6 +144,7 @@ def upsert(
     order_by: Sequence[str],
     partition_by: Mapping[str, Column] | None = None,
     keep: str = "last",
+    log: Log | None = None,
 ) -> DataFrame:
     """Insert the source rows; rows of the target with the same key are replaced.
 
@@ -148,7 +152,8 @@ def upsert(
     Order columns starting with ``_`` are not stored. Rows with a null in the key are refused.
     Only the partitions the source touches are read and rewritten; ``partition_by`` names them,
     each a function of the key. They are written aside and swapped in one by one, and without
-    partitions the whole table is; a job that dies in between loses nothing (``paths.finish_swap``).
+    partitions the whole table is; a job that dies in between loses nothing (``paths.finish_swap``). The rows of
+    ``log`` are published with them (see ``swap_in``).
     """
     spark = source.sparkSession
     parts = dict(partition_by or {})
@@ -166,33 +171,51 @@ def upsert(
                 # One value per partition folder, so no more than the file listing itself.
                 touched = incoming.select(*parts).distinct().collect()
                 if not touched:
+                    _publish_log(spark, target, len(parts), log)
                     return spark.read.parquet(target)
                 current = current.where(in_partitions(touched, list(parts)))
             # A stored table: Catalyst knows its size, and broadcasts the keys of a small one.
             kept = current.join(incoming.select(*keys), list(keys), "left_anti")
             merged = kept.unionByName(_as_target(incoming, current.schema))
-        if parts:
-            return swap_in(merged, target, list(parts))
+        if parts or log is not None:
+            return swap_in(merged, target, list(parts), log=log)
         return full_refresh(merged, target)
 
 
+def _publish_log(spark: SparkSession, target: str, depth: int, log: Log | None) -> None:
+    """The entries of a load that changes no row."""
+    if log is not None:
+        staged = paths.aside(target, "staged")
+        paths.delete(spark, staged)
+        paths.add_log(spark, staged, log[1], log[0])
+        paths.swap_partitions(spark, staged, target, depth)
+
+
 def swap_in(
     df: DataFrame,
     target: str,
     partition_by: Sequence[str],
     rebalance: bool = True,
     written: Callable[[str], None] | None = None,
+    log: Log | None = None,
 ) -> DataFrame:
     """``replace_partitions`` for rows read from the same table: written aside before any folder goes.
 
-    ``written`` is called with the folder that holds them before they are moved.
+    ``written`` is called with the folder that holds them before they are moved. One rename then publishes the rows
+    and the entries of ``log``; a job that dies before it leaves neither, one that dies after it leaves both to the
+    next load.
     """
     spark = df.sparkSession
     staged = paths.aside(target, "staged")
     paths.delete(spark, staged)
-    replace_partitions(df, staged, partition_by, rebalance)
+    if partition_by:
+        replace_partitions(df, staged, partition_by, rebalance)
+    else:
+        df.write.parquet(f"{staged}/{paths.COMMIT}/whole")
     if written is not None:
         written(staged)
+    if log is not None:
+        paths.add_log(spark, staged, log[1], log[0])
     paths.swap_partitions(spark, staged, target, len(partition_by))
     return spark.read.parquet(target)
 
@@ -223,9 +246,12 @@ def insert_if_absent(
     keys: Sequence[str],
     order_by: Sequence[str],
     partition_by: Mapping[str, Column] | None = None,
+    log: Log | None = None,
 ) -> int:
     """Append source rows whose key the target lacks; returns how many.
 
+    With ``log`` the rows are written aside and published with its entries (see ``swap_in``).
+
     Of several source rows with one key the first in ``order_by`` is taken; rows with a null in the
     key are refused. Of the target only the key columns are read, and only in the partitions the
     source touches, and of these the keys that the source has too.
@@ -241,19 +267,28 @@ def insert_if_absent(
     with paths.step(_as_target(single, current.schema) if there else single) as incoming:
         _with_keys(incoming, keys)
         if not there:
-            return _append(incoming, target, parts)
+            return _append(incoming, target, parts, log)
         if parts:
             touched = incoming.select(*parts).distinct().collect()
             if not touched:
+                _publish_log(spark, target, len(parts), log)
                 return 0
             current = current.where(in_partitions(touched, list(parts)))
         known = current.select(*keys).join(incoming.select(*keys), list(keys), "left_semi")
-        return _append(without_match(incoming, known, keys), target, parts)
+        return _append(without_match(incoming, known, keys), target, parts, log)
 
 
-def _append(df: DataFrame, target: str, parts: Mapping[str, Column]) -> int:
+def _append(df: DataFrame, target: str, parts: Mapping[str, Column], log: Log | None = None) -> int:
+    spark = df.sparkSession
     rows, added = count_rows(df.hint("rebalance", *parts) if parts else df)
-    rows.write.mode("append").partitionBy(*parts).parquet(target)
+    if log is None:
+        rows.write.mode("append").partitionBy(*parts).parquet(target)
+        return counted(added)
+    staged = paths.aside(target, "staged")
+    paths.delete(spark, staged)
+    rows.write.partitionBy(*parts).parquet(f"{staged}/{paths.COMMIT}/append")
+    paths.add_log(spark, staged, log[1], log[0])
+    paths.swap_partitions(spark, staged, target, len(parts))
     return counted(added)
 
 

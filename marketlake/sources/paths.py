@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import re
+import threading
+import time
 import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -122,8 +125,8 @@ def folder_bytes(spark: SparkSession, path: str) -> int:
     return fs.getContentSummary(p).getLength() if fs.exists(p) else 0
 
 
-def _marker(spark: SparkSession, table: str):
-    return _path(spark, f"{aside(table, 'snapshots')}/root")
+def _marker(table: str) -> str:
+    return f"{aside(table, 'snapshots')}/root"
 
 
 def keep_replaced(spark: SparkSession, table: str, root: str, newest: int | None = None) -> None:
@@ -135,27 +138,15 @@ def keep_replaced(spark: SparkSession, table: str, root: str, newest: int | None
     known = snapshot_root(spark, table)
     if known is not None and known[0] != root:
         raise ValueError(f"the snapshots of {table} are under {known[0]}")
-    fs, place = _marker(spark, table)
-    fs.mkdirs(place.getParent())
-    out = fs.create(place, True)
-    try:
-        out.write(bytearray(f"{'' if newest is None else newest}\n{root}", "utf-8"))
-    finally:
-        out.close()
+    write_text(spark, _marker(table), f"{'' if newest is None else newest}\n{root}")
 
 
 def snapshot_root(spark: SparkSession, table: str) -> tuple[str, int | None] | None:
     """Where the folders go that loads replace, and the newest time referred to; None without snapshots."""
-    fs, place = _marker(spark, table)
-    if not fs.exists(place):
+    text = read_text(spark, _marker(table))
+    if text is None:
         return None
-    length = fs.getFileStatus(place).getLen()
-    stream = fs.open(place)
-    try:
-        text = spark.sparkContext._jvm.org.apache.hadoop.io.IOUtils.readFullyToByteArray(stream)
-    finally:
-        stream.close()
-    newest, root = bytes(b & 0xFF for b in text[:length]).decode().split("\n", 1)
+    newest, root = text.split("\n", 1)
     return root, int(newest) if newest else None
 
 
@@ -201,23 +192,159 @@ def swap_partitions(spark: SparkSession, staged: str, target: str, depth: int) -
     finish_swap(spark, target, depth)
 
 
+COMMIT = "_commit"  # in a written folder: what is published with the partitions it replaces
+
+
+def add_log(spark: SparkSession, staged: str, rows: DataFrame, log: str) -> None:
+    """Have ``rows`` added to the table ``log`` when the folder ``staged`` is published."""
+    rows.write.parquet(f"{staged}/{COMMIT}/log")
+    write_text(spark, f"{staged}/{COMMIT}/log_path", log)
+
+
+def _move_files(spark: SparkSession, source: str, target: str) -> None:
+    """Move all data files to the same places below ``target``; those that are there already were moved before."""
+    fs, root = _path(spark, source)
+    if not fs.exists(root):
+        return
+    prefix = len(qualified(spark, source)) + 1
+    found, files = fs.listFiles(root, True), []
+    while found.hasNext():
+        files.append(found.next().getPath())
+    for file in files:
+        below = file.toString()[prefix:]
+        if any(part.startswith(("_", ".")) for part in below.split("/")):
+            continue
+        _, place = _path(spark, f"{target}/{below}")
+        fs.mkdirs(place.getParent())
+        if not fs.exists(place) and not fs.rename(file, place):
+            raise OSError(f"cannot move {file.toString()}")
+
+
 def finish_swap(spark: SparkSession, target: str, depth: int) -> None:
-    """Move the folders of an interrupted ``swap_partitions``; nothing to do in most cases."""
+    """Publish what an interrupted ``swap_partitions`` left; nothing to do in most cases.
+
+    Partition folders take the place of the old ones, rows to be appended and entries of a log go to their tables.
+    Every step can be done twice, so whoever comes next brings the whole load to its end.
+    """
     ready = aside(target, "ready")
     fs, root = _path(spark, ready)
     if not fs.exists(root):
         return
     version = uuid.uuid4().hex
-    for name in _partition_folders(spark, ready, depth):
+    for name in _partition_folders(spark, ready, depth) if depth else []:
         _, new = _path(spark, ready + name)
         _, place = _path(spark, target + name)
         discard(spark, target + name, target, name, version)
         fs.mkdirs(place.getParent())
         if not fs.rename(new, place):
             raise OSError(f"cannot move {ready}{name}")
+    commit = f"{ready}/{COMMIT}"
+    _, whole = _path(spark, f"{commit}/whole")
+    if fs.exists(whole):
+        replace_folder(spark, f"{commit}/whole", target)
+    _move_files(spark, f"{commit}/append", target)
+    log = read_text(spark, f"{commit}/log_path")
+    if log is not None:
+        _move_files(spark, f"{commit}/log", log)
     fs.delete(root, True)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file, over one that is there."""
+    fs, place = _path(spark, path)
+    fs.mkdirs(place.getParent())
+    out = fs.create(place, True)
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """Text of a small file; None if it is not there."""
+    fs, place = _path(spark, path)
+    if not fs.exists(place):
+        return None
+    stream = fs.open(place)
+    try:
+        text = spark.sparkContext._jvm.org.apache.hadoop.io.IOUtils.readFullyToByteArray(stream)
+    finally:
+        stream.close()
+    return bytes(b & 0xFF for b in text).decode()
+
+
+class Busy(RuntimeError):
+    """Another job holds the lock."""
+
+
+def _take(spark: SparkSession, path: str, owner: str) -> bool:
+    """Put up the lock, unless there is one: a folder that holds a file is not replaced by a rename."""
+    mine = f"{path}-{owner}"
+    write_text(spark, f"{mine}/owner", owner)
+    fs, source = _path(spark, mine)
+    _, place = _path(spark, path)
+    if not fs.exists(place):
+        fs.rename(source, place)
+    if read_text(spark, f"{path}/owner") == owner:
+        return True
+    fs.delete(source, True)
+    delete(spark, f"{path}/{mine.rsplit('/', 1)[1]}")  # storage may have moved it into the other's
+    return False
+
+
+def _release_dead(spark: SparkSession, path: str, lease: float) -> bool:
+    """Remove a lock that was not renewed for ``lease`` seconds."""
+    fs, file = _path(spark, f"{path}/owner")
+    try:
+        owner = read_text(spark, f"{path}/owner")
+        age = time.time() - fs.getFileStatus(file).getModificationTime() / 1000
+    except Py4JJavaError:  # released since
+        return True
+    if age <= lease:
+        return False
+    gone = f"{path}-{uuid.uuid4().hex}"
+    _, place = _path(spark, path)
+    _, away = _path(spark, gone)
+    if fs.rename(place, away):
+        if read_text(spark, f"{gone}/owner") != owner:  # another job was faster, and this is its lock
+            fs.rename(away, place)
+            return False
+        fs.delete(away, True)
+    return True
+
+
+@contextmanager
+def lock(spark: SparkSession, path: str, wait: float = 0, lease: float = 600) -> Iterator[None]:
+    """Hold the lock ``path`` while the block runs; ``Busy`` if another job keeps it for ``wait`` seconds.
+
+    The holder renews it. One that was not renewed for ``lease`` seconds is that of a dead job and is taken over.
+    Needs storage that renames a folder in one step, as HDFS and local disks do.
+    """
+    owner, until = uuid.uuid4().hex, time.monotonic() + wait
+    while not _take(spark, path, owner):
+        if _release_dead(spark, path, lease):
+            continue
+        if time.monotonic() >= until:
+            raise Busy(f"another job holds {path}")
+        time.sleep(min(0.5, max(0.0, until - time.monotonic())))
+    fs, file = _path(spark, f"{path}/owner")
+    done = threading.Event()
+
+    def renew() -> None:
+        while not done.wait(lease / 4):
+            fs.setTimes(file, int(time.time() * 1000), -1)
+
+    renewing = threading.Thread(target=renew, daemon=True)
+    renewing.start()
+    try:
+        yield
+    finally:
+        done.set()
+        renewing.join()
+        if read_text(spark, f"{path}/owner") == owner:
+            delete(spark, path)
+
+
 def replace_folder(spark: SparkSession, staged: str, target: str) -> None:
     """Put a completely written folder in the place of ``target``.
 

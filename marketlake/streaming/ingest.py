@@ -1,13 +1,15 @@
 """Load each lake file once.
 
 ``ingest_stream`` leaves the record of processed files to a stream's checkpoint.
-``ingest_files`` keeps it in a log table, for folders that other loaders share.
+``ingest_files`` keeps it in a log table, for folders that other loaders share, and publishes rows and log together.
 Both end in an idempotent load, so a batch that is run again changes nothing.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
+from functools import partial
 from itertools import islice
 from typing import Any
 
@@ -16,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.columns import with_audit
-from ..operators.tables import insert_if_absent, upsert
+from ..operators.tables import Log, insert_if_absent, upsert
 from ..sources import paths
 from ..sources.readers import read_csv_by_name, read_csv_lake
 
@@ -27,15 +29,32 @@ Load = Callable[[DataFrame], Any]
 ARRIVAL = ("-_modified", "-_file", "_block", "_row")
 
 
+@dataclass(frozen=True)
+class TableLoad:
+    """Load step into a table. With a log it publishes rows and log entries by one rename."""
+
+    target: str
+    load: Callable[..., Any]
+    depth: int
+
+    def __call__(self, df: DataFrame, log: Log | None = None) -> Any:
+        return self.load(df, self.target, log=log)
+
+    def recover(self, spark: SparkSession) -> None:
+        """Bring a load to its end that another job had published but not moved."""
+        paths.finish_swap(spark, self.target, self.depth)
+
+
 def upsert_load(
     target: str,
     keys: Sequence[str],
     partition_by: Mapping[str, Column] | None = None,
     order_by: Sequence[str] = ARRIVAL,
     keep: str = "first",
-) -> Load:
+) -> TableLoad:
     """Load step: the first row of a key in its file counts, and later files replace earlier ones."""
-    return lambda df: upsert(df, target, keys, order_by, partition_by, keep)
+    load = partial(upsert, keys=keys, order_by=order_by, partition_by=partition_by, keep=keep)
+    return TableLoad(target, load, len(partition_by or {}))
 
 
 def absent_load(
@@ -43,9 +62,10 @@ def absent_load(
     keys: Sequence[str],
     order_by: Sequence[str] = ("_modified", "_file", "_block", "_row"),
     partition_by: Mapping[str, Column] | None = None,
-) -> Load:
+) -> TableLoad:
     """Load step: the first row of a key stays."""
-    return lambda df: insert_if_absent(df, target, keys, order_by, partition_by)
+    load = partial(insert_if_absent, keys=keys, order_by=order_by, partition_by=partition_by)
+    return TableLoad(target, load, len(partition_by or {}))
 
 
 def ingest_stream(
@@ -119,17 +139,38 @@ def ingest_files(
     multiline: bool = False,
     files_per_batch: int = 10_000,
     check: Callable[[Sequence[str], str], None] | None = None,
+    wait: float = 0,
 ) -> dict:
-    """Load the CSV files not yet in the log table, then log them.
+    """Load the CSV files not yet in the log table, and log them.
 
     Headers may differ, unless ``schema`` gives the one header that all files must have; ``check`` may
     refuse a header (see ``read_csv_by_name``). Files come in the order of their paths, ``files_per_batch``
     at a time, which bounds what the driver holds; a later one counts as newer. Loaded rows bear ``run_ts``
     as ``loaded_at``.
 
-    The log is written after each batch's load: if the job dies in between, the files are loaded
-    again, which the idempotent load allows.
+    A ``TableLoad`` publishes a batch's rows and its log entries by one rename: a job that dies leaves both or neither,
+    and the next one finishes what was published. After any other load the log is written by itself; if the job dies in
+    between, the files are loaded again, which an idempotent load allows. One job at a time loads by a log: another
+    waits for ``wait`` seconds and is then refused (``paths.Busy``).
     """
+    with paths.lock(spark, paths.aside(log, "lock"), wait):
+        if isinstance(load, TableLoad):
+            load.recover(spark)
+        return _ingest(spark, folder, log, transform, load, run_ts, schema, multiline, files_per_batch, check)
+
+
+def _ingest(
+    spark: SparkSession,
+    folder: str,
+    log: str,
+    transform: Callable[[DataFrame], DataFrame],
+    load: Load,
+    run_ts: Any,
+    schema: T.StructType | None,
+    multiline: bool,
+    files_per_batch: int,
+    check: Callable[[Sequence[str], str], None] | None,
+) -> dict:
     files = paths.lake_files(spark, folder).select("path")
     if paths.has_data(spark, log):
         files = new_files(files, spark.read.parquet(log))
@@ -141,9 +182,12 @@ def ingest_files(
                 rows = read_csv_by_name(spark, found, multiline=multiline, file_columns=True, check=check)
             else:
                 rows = read_csv_lake(spark, found, schema, multiline, file_columns=True)
-            rows = rows.withColumn("_modified", F.lit(None).cast("timestamp"))
-            load(_stamped(transform(rows), run_ts))
-            keys = spark.createDataFrame([(p,) for p in found], "object_key string")
-            insert_if_absent(with_audit(keys, run_ts, "processed_at"), log, ["object_key"], ["object_key"])
+            rows = _stamped(transform(rows.withColumn("_modified", F.lit(None).cast("timestamp"))), run_ts)
+            keys = with_audit(spark.createDataFrame([(p,) for p in found], "object_key string"), run_ts, "processed_at")
+            if isinstance(load, TableLoad):
+                load(rows, log=(log, keys))
+            else:
+                load(rows)
+                insert_if_absent(keys, log, ["object_key"], ["object_key"])
             loaded += len(found)
     return {"status": "loaded" if loaded else "skip", "files": loaded}
