@@ -21,6 +21,7 @@ from marketlake.plans import (
 from marketlake.schemas import NEWS_CSV, NEWS_JSON, PRICE_RAW
 from marketlake.session import new_folder
 from marketlake.sources import lake, readers
+from marketlake.streaming.once import ingest_once
 from marketlake.streaming.ingest import absent_load, ingest_files, ingest_stream, upsert_load
 from marketlake.vocabulary import LOADER_INDICATORS, STANDARD_INDICATORS, rows
 
@@ -428,34 +429,48 @@ def ingest_log_skip(t: Tables) -> DataFrame:
     return loaded.select("ticker", "trading_date", "close")
 
 
-@check(
-    "stream_insert_absent",
-    """with titled as (select lang, doc_id, text, md5(split_part(text, chr(10), 1)) as news_id from documents
+ABSENT_SQL = """with titled as (select lang, doc_id, text, md5(split_part(text, chr(10), 1)) as news_id from documents
                        where trim(split_part(text, chr(10), 1)) <> ''),
        first_load as (select * from titled where lang <> 'en'
                       qualify row_number() over (partition by news_id order by doc_id) = 1),
        second_load as (select * from titled where news_id not in (select news_id from first_load)
                        qualify row_number() over (partition by news_id order by doc_id) = 1)
        select news_id, doc_id::varchar as source_link, text as short_content from first_load
-       union all select news_id, doc_id::varchar, text from second_load""",
-)
-def stream_insert_absent(t: Tables) -> DataFrame:
-    root = new_folder(t.spark, "stream_news")
-    titled = t.documents.select(
+       union all select news_id, doc_id::varchar, text from second_load"""
+
+
+def titled_documents(t: Tables) -> DataFrame:
+    """Documents as news files: the first line is the title."""
+    return t.documents.select(
         F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"),
         F.col("lang").alias("ticker"),
         F.col("text").alias("description"),
         F.col("doc_id").cast("string").alias("link"),
         *[F.lit(None).cast("string").alias(c) for c in ("image", "source", "date")],
     )
+
+
+def shape_news(rows: DataFrame) -> DataFrame:
+    return news.news_from_csv(rows.withColumn("_doc", F.col("link").cast("bigint")), RUN_TS)
+
+
+@check("stream_insert_absent", ABSENT_SQL)
+def stream_insert_absent(t: Tables) -> DataFrame:
+    root, titled = new_folder(t.spark, "stream_news"), titled_documents(t)
     load = absent_load(f"{root}/table", ["news_id"], ["_doc"])
+    for drop in (titled.where("ticker <> 'en'"), titled):
+        drop.write.mode("append").option("header", True).option("escape", '"').csv(f"{root}/in")
+        ingest_stream(t.spark, f"{root}/in", NEWS_CSV, f"{root}/checkpoint", shape_news, load, multiline=True)
+    return t.spark.read.parquet(f"{root}/table").select("news_id", "source_link", "short_content")
 
-    def shape(rows: DataFrame) -> DataFrame:
-        return news.news_from_csv(rows.withColumn("_doc", F.col("link").cast("bigint")), RUN_TS)
 
+@check("stream_dedup_state", ABSENT_SQL)
+def stream_dedup_state(t: Tables) -> DataFrame:
+    """The same by the stream's own memory; the target is not read."""
+    root, titled = new_folder(t.spark, "stream_once"), titled_documents(t)
     for drop in (titled.where("ticker <> 'en'"), titled):
         drop.write.mode("append").option("header", True).option("escape", '"').csv(f"{root}/in")
-        ingest_stream(t.spark, f"{root}/in", NEWS_CSV, f"{root}/checkpoint", shape, load, multiline=True)
+        ingest_once(t.spark, f"{root}/in", NEWS_CSV, f"{root}/checkpoint", shape_news, f"{root}/table", ["news_id"], ["_doc"], multiline=True)
     return t.spark.read.parquet(f"{root}/table").select("news_id", "source_link", "short_content")
 
 

@@ -68,24 +68,11 @@ def absent_load(
     return TableLoad(target, load, len(partition_by or {}))
 
 
-def ingest_stream(
-    spark: SparkSession,
-    folder: str,
-    schema: T.StructType,
-    checkpoint: str,
-    transform: Callable[[DataFrame], DataFrame],
-    load: Load,
-    multiline: bool = False,
-    files_per_batch: int = 10_000,
-    run_ts: Any = None,
-) -> int:
-    """Load the CSV files new since the last call with this checkpoint; returns the batches run.
-
-    ``transform`` gets the rows with ``source_file``, ``_modified`` and the file-order
-    columns (see ``ARRIVAL``). A file counts as new however old its date is. With ``run_ts`` the loaded rows
-    bear it as ``loaded_at``.
-    """
-    rows = (
+def read_csv_stream(
+    spark: SparkSession, folder: str, schema: T.StructType, multiline: bool = False, files_per_batch: int = 10_000
+) -> DataFrame:
+    """CSV files below a folder as a stream, with ``source_file``, ``_modified``, ``_file`` and ``_block``."""
+    return (
         spark.readStream.schema(schema)
         .option("header", True)
         .option("enforceSchema", False)
@@ -103,6 +90,26 @@ def ingest_stream(
             F.col("_metadata.file_block_start").alias("_block"),
         )
     )
+
+
+def ingest_stream(
+    spark: SparkSession,
+    folder: str,
+    schema: T.StructType,
+    checkpoint: str,
+    transform: Callable[[DataFrame], DataFrame],
+    load: Load,
+    multiline: bool = False,
+    files_per_batch: int = 10_000,
+    run_ts: Any = None,
+) -> int:
+    """Load the CSV files new since the last call with this checkpoint; returns the batches run.
+
+    ``transform`` gets the rows with ``source_file``, ``_modified`` and the file-order
+    columns (see ``ARRIVAL``). A file counts as new however old its date is. With ``run_ts`` the loaded rows
+    bear it as ``loaded_at``.
+    """
+    rows = read_csv_stream(spark, folder, schema, multiline, files_per_batch)
     batches = []
 
     def run(batch: DataFrame, batch_id: int) -> None:
