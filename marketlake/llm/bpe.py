@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .base import query, table
-from .kernels import SliceHasher, by_size, utf8
+from .kernels import PrimeHasher, by_size, utf8
 from .packing import byte_ranks, read_file
 
 # Classes of code points, with what the next one says already taken in.
@@ -199,7 +199,7 @@ class BatchEncoder:
 
     def __init__(self, path: str) -> None:
         ranks = byte_ranks(read_file(path))
-        self.merge, self.hash, self.classes = Merger(ranks), SliceHasher(), code_point_classes()
+        self.merge, self.hash, self.classes = Merger(ranks), PrimeHasher(), code_point_classes()
         self.forget()
 
     def forget(self) -> None:

@@ -113,6 +113,50 @@ class SliceHasher:
         return out
 
 
+PRIMES = (2147483647, 2147483629)
+BASES = (1640531513, 805459861)
+
+
+class PrimeHasher:
+    """62-bit hashes of byte slices, from prefix sums of polynomials modulo two primes.
+
+    Modulo a power of two the two halves of certain regular texts would have one hash whatever the base; modulo a
+    prime they have not.
+    """
+
+    def __init__(self) -> None:
+        one = np.ones(1, U64)
+        self.up, self.down = [one, one], [one, one]
+
+    def _grow(self, n: int) -> None:
+        for i, (prime, base) in enumerate(zip(PRIMES, BASES)):
+            for table, root in ((self.up, base), (self.down, pow(base, -1, prime))):
+                while len(table[i]) < n:
+                    more = table[i][: n - len(table[i])] * U64(pow(root, len(table[i]), prime)) % U64(prime)
+                    table[i] = np.append(table[i], more)
+
+    def __call__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Slices must be in ascending order of their starts and must not overlap."""
+        out = np.empty(len(starts), U64)
+        i = 0
+        while i < len(starts):
+            j = max(i + 1, int(np.searchsorted(ends, starts[i] + SEGMENT, "right")))
+            low, high = int(starts[i]), int(ends[j - 1])
+            self._grow(high - low + 1)
+            s, e = starts[i:j] - low, ends[i:j] - low
+            letters = data[low:high].astype(U64) + U64(1)
+            halves = []
+            for prime, up, down in zip(PRIMES, self.up, self.down):
+                terms = letters * up[: high - low]
+                if high - low > SEGMENT:  # one long slice: keep the sum below 2^64
+                    terms %= U64(prime)
+                sums = np.append(U64(0), np.cumsum(terms, dtype=U64))
+                halves.append((sums[e] - sums[s]) % U64(prime) * down[s] % U64(prime))
+            out[i:j] = mix(halves[0] | halves[1] << U64(31)) ^ (mix((e - s).astype(U64)) >> U64(1))
+            i = j
+        return out
+
+
 def runs(rows: np.ndarray, n: int) -> np.ndarray:
     """Offsets of each of ``n`` rows in an ascending array of row numbers."""
     return np.searchsorted(rows, np.arange(n + 1))

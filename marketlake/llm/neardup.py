@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .base import query, table
-from .kernels import BASE, LOWER, U64, SliceHasher, by_size, mix, runs, utf8, words
+from .kernels import BASE, LOWER, U64, PrimeHasher, by_size, mix, runs, utf8, words
 from .steps import Steps, components
 
 SIDE = 8  # collections on each side; SIDE * SIDE tables
@@ -26,7 +26,7 @@ class Shingler:
     """Distinct shingle hashes of each text of a batch, ascending."""
 
     def __init__(self, size: int) -> None:
-        self.size, self.hash = size, SliceHasher()
+        self.size, self.hash = size, PrimeHasher()
 
     def __call__(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Hashes of all texts in a row, and the texts' offsets in them."""
