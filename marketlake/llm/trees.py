@@ -123,7 +123,8 @@ def part(column: Column, salt: str) -> Column:
 def bounded_sample(rows: DataFrame, key: str, limit: int, salt: str) -> DataFrame:
     """About ``limit`` rows by a hash of ``key``, or all if they are fewer; small enough to broadcast."""
     n = rows.count()
-    return rows if n <= limit else rows.where(part(F.col(key), salt) < int(UNITS * limit / n))
+    place = F.shiftrightunsigned(F.xxhash64(F.col(key), F.lit(salt)), 11)  # of 2^53, so that no share rounds to nothing
+    return rows if n <= limit else rows.where(place < int((1 << 53) * limit / n))
 
 
 def sampled_rows(docs: DataFrame, chosen: DataFrame, key: str) -> DataFrame:

@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marketlake.llm import quality, toxicity
-from marketlake.llm.trees import BoostedTrees, Isotonic
+from marketlake.llm.trees import BoostedTrees, Isotonic, bounded_sample
 
 SF = "/root/testdata/sf0.01"
 
@@ -90,3 +90,15 @@ def test_a_repeated_document_weighs_once(spark):
     for module, column in ((toxicity, "score"), (quality, "quality")):
         single, repeated = ({r.doc_id: r[column] for r in module.score(docs, module.fit(d, labels)).collect()} for d in (docs, more))
         assert max(abs(single[d] - repeated[d]) for d in single) < 0.02
+
+
+def test_small_shares_are_no_empty_samples(spark, monkeypatch):
+    from pyspark.sql import DataFrame
+
+    rows = spark.range(200_000).withColumnRenamed("id", "doc_id")
+    assert 150 < bounded_sample(rows, "doc_id", 200, "s").count() < 250
+    monkeypatch.setattr(DataFrame, "count", lambda self: 40_000_000_000_000)  # as of a table of that size
+    sample = bounded_sample(rows, "doc_id", 20_000, "s")
+    monkeypatch.undo()
+    bound = int((1 << 53) * 20_000 / 40_000_000_000_000)
+    assert bound > 4_000_000 and str(bound) in sample._jdf.queryExecution().analyzed().toString()
