@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -495,6 +497,28 @@ def big_orders(spark, sf_dir: str, least: float) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/orders.parquet").where(F.col("o_totalprice") >= least)
 
 
+@check(
+    "sql_table_function",
+    """select 'big' as kind, o_orderkey, o_totalprice from orders where o_totalprice >= 250000
+       union all select 'of ' || c_name, o_orderkey, o_totalprice from customer join orders on c_custkey = o_custkey
+       where o_totalprice >= c_acctbal * 30 and c_acctbal > 0""",
+)
+def sql_table_function(t: Tables) -> DataFrame:
+    """Called from SQL with a value, and with each customer's columns in a lateral join."""
+    name = f"orders_{uuid.uuid4().hex}"
+    t.orders.createOrReplaceTempView(name)
+    t.customer.createOrReplaceTempView(f"{name}_customer")
+    columns = {"o_orderkey": "bigint", "o_totalprice": "double"}
+    large = f"select o_orderkey, o_totalprice from {name} where o_totalprice >= least"
+    registry.sql_function(t.spark, f"{name}_big", {"least": "double default 250000"}, columns, large)
+    registry.sql_function(t.spark, f"{name}_of", {"buyer": "bigint", "least": "double"}, columns, f"{large} and o_custkey = buyer")
+    return t.spark.sql(f"""
+        select 'big' as kind, o_orderkey, o_totalprice from {name}_big()
+        union all
+        select concat('of ', c_name), o_orderkey, o_totalprice
+        from {name}_customer, lateral {name}_of(least => c_acctbal * 30, buyer => c_custkey) where c_acctbal > 0""")
+
+
 @check(
     "table_function",
     "select o_orderkey, o_totalprice, timestamp '2026-01-15 08:00:00' as import_time from orders where o_totalprice >= 250000",

@@ -22,6 +22,11 @@ def _path(spark: SparkSession, path: str):
     return jvm_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jvm_path
 
 
+def quoted(name: str) -> str:
+    """A name as SQL takes it, whatever it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """The path as listings and file metadata spell it."""
     fs, p = _path(spark, path)

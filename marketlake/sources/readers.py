@@ -19,6 +19,7 @@ from ..operators.quality import QualityError
 from ..schemas import RSS, SITEMAP
 from ..session import new_folder, stored
 from . import blocks, paths
+from .paths import quoted
 
 # Ship the code below with the query: executors need not have this package installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -47,10 +48,6 @@ def read_csv_lake(
     return with_file_columns(rows) if file_columns else rows
 
 
-def quoted(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
 def _parsed(records: DataFrame, schema: T.StructType) -> DataFrame:
     """Fields of all records but the headers, by position, with the columns of ``FILE_ORDER``."""
     ddl = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in schema.fields)
