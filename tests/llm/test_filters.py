@@ -93,11 +93,9 @@ def test_a_repeated_document_weighs_once(spark):
 
 
 def test_small_shares_are_no_empty_samples(spark, monkeypatch):
-    from pyspark.sql import DataFrame
-
     rows = spark.range(200_000).withColumnRenamed("id", "doc_id")
     assert 150 < bounded_sample(rows, "doc_id", 200, "s").count() < 250
-    monkeypatch.setattr(DataFrame, "count", lambda self: 40_000_000_000_000)  # as of a table of that size
+    monkeypatch.setattr(type(rows), "count", lambda self: 40_000_000_000_000)  # as of a table of that size
     sample = bounded_sample(rows, "doc_id", 20_000, "s")
     monkeypatch.undo()
     bound = int((1 << 53) * 20_000 / 40_000_000_000_000)
