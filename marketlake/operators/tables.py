@@ -90,7 +90,8 @@ def replace_partitions(
     rows = df.hint("rebalance", *partition_by) if rebalance else df
     writer = rows.write.mode("overwrite")
     writer.option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path)
-    return df.sparkSession.read.parquet(path)
+    spark = df.sparkSession
+    return spark.read.parquet(path) if paths.has_data(spark, path) else df.limit(0)
 
 
 def read_partitions(spark: SparkSession, path: str, partition_by: Sequence[str]) -> DataFrame:

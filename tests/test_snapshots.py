@@ -85,6 +85,14 @@ def test_a_folder_replaced_between_snapshots_is_not_kept(spark, place, tmp_path)
     assert files_under(tmp_path / "backup" / "kept") == kept
 
 
+def test_nothing_replaces_nothing(spark, place):
+    target, root = f"{place}/t", f"{place}/backup"
+    assert tables.replace_partitions(frame(spark).limit(0), f"{place}/none", ["p"]).count() == 0
+    tables.replace_partitions(frame(spark), target, ["p"])
+    manifest.take_snapshot(spark, target, root, "2026-01-01")
+    assert tables.replace_partitions(frame(spark).limit(0), target, ["p"]).count() == 4
+
+
 def test_lost_files_are_named(spark, place):
     target, root = f"{place}/t", f"{place}/backup"
     tables.replace_partitions(frame(spark), target, ["p"])
