@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .base import query, table
+from .steps import Steps
 
 BLOCK = 1024  # queries sent to the executors at once
 SHARD = 8192  # rows whose postings are traversed together
@@ -115,13 +116,17 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
     Both sides have ``id`` (long) and ``terms`` (array of long); rows with a null in either take
     no part, an id is never a candidate for itself, ties go to the smaller id, and of several
     query rows with one id the smallest vector asks. Vectors of other lengths are filled up with
-    zeros. Queries travel in blocks of 1024, so neither side is held whole anywhere; each task keeps k
-    rows per query, and the merge reads k rows per query and task.
+    zeros. Queries are stored, pass through the driver partition by partition and travel in blocks of 1024.
+    Each block's results are stored before the next is taken, so no plan holds more than one block; each task
+    keeps k rows per query, and the merge reads k rows per query and task.
     """
     whole = lambda df: df.select("id", "terms").where("id is not null and terms is not null")
     rows, asked = whole(rows), whole(queries).groupBy("id").agg(F.min("terms").alias("terms"))
-    waiting = asked.toLocalIterator()
-    found = None
+    spark = rows.sparkSession
+    steps, kept = Steps(spark), Steps(spark)
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
+    waiting = steps.keep(asked).toLocalIterator()
+    results = []
     while block := list(islice(waiting, BLOCK)):
         ids = np.array([r.id for r in block], np.int64)
         weights = _matrix([r.terms for r in block], max(len(r.terms) for r in block)).T
@@ -129,12 +134,12 @@ def top_k(rows: DataFrame, queries: DataFrame, k: int = 10) -> DataFrame:
         def search(batches, ids=ids, weights=weights):
             return _search_shards(batches, ids, weights, k)
 
-        part = rows.mapInArrow(search, "query_id long, id long, score long")
-        found = part if found is None else found.unionAll(part)
-    if found is None:
-        return rows.sparkSession.createDataFrame([], "query_id long, rank int, id long, score long")
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))
-    return found.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", "id", "score")
+        found = rows.mapInArrow(search, "query_id long, id long, score long")
+        ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+        results.append(kept.keep(ranked.select("query_id", "rank", "id", "score")))
+    steps.drop_from(0)
+    schema = "query_id long, rank int, id long, score long"
+    return spark.read.schema(schema).parquet(*kept.paths) if results else spark.createDataFrame([], schema)
 
 
 SQL = """
