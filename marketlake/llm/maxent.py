@@ -26,11 +26,13 @@ SKIPS = 2048  # rows for the hashed word before last
 STARTS = (0, CONTEXTS, CONTEXTS + SKIPS, CONTEXTS + SKIPS + OUTPUTS**2)  # first rows of the kinds of features
 ROWS = STARTS[-1] + OUTPUTS**2
 SLOT_ROWS = OUTPUTS * CLASSES  # by the class of the word before, and the class
-RATES = (0.5, 0.5, 0.5)  # of the updates, each over all training texts
+UPDATES = 2  # each over all training texts
+STEP = 0.25  # of a class feature: four are active at once; the one of a slot takes the whole step
 PRIOR = 4.0  # tokens' worth of the unigram model in each row
 BLOCK = 1 << 14  # weights sent as one row
 CHUNK = 1 << 11  # tokens scored at once, so that their logits stay in a core's cache
 SUM_CHUNK = 1 << 13  # tokens whose expectations are summed at once
+TASK_TOKENS = 1 << 24  # of one task of a pass, or fewer
 REPEATS = 16  # rows found more often in a chunk are summed one by one
 ADD = 0.1
 END = np.uint64(0x656E64)  # key of the end token
@@ -204,7 +206,7 @@ def _softmax(x: np.ndarray) -> np.ndarray:
 
 def _add_rows(out: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
     """``out[rows] += values`` with repeated rows: frequent ones are summed each, the others in a few passes."""
-    order = np.argsort(rows, kind="stable")
+    order = np.argsort(rows.astype(np.uint16), kind="stable")  # ROWS fit, and 16 bits are sorted by digits
     ranked = rows[order]
     first = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
     count = np.diff(np.append(first, len(rows)))
@@ -217,27 +219,58 @@ def _add_rows(out: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
         out[rows[at]] += values[at]
 
 
-def _gradient_task(batches: Iterator[pa.RecordBatch], model: Model, expected: bool) -> Iterator[pa.RecordBatch]:
+def _contexts(features: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The different rows of ``features``, sorted by the word before, and how often each is found.
+
+    Tokens of one context have one distribution, and sorted contexts read and write the same weights.
+    """
+    sizes = np.diff((*STARTS, ROWS))
+    code = features[:, 0]
+    for f in range(1, len(STARTS)):
+        code = code * sizes[f] + (features[:, f] - STARTS[f])
+    code, n = np.unique(code, return_counts=True)
+    kinds = []
+    for f in range(len(STARTS) - 1, 0, -1):
+        code, rest = np.divmod(code, sizes[f])
+        kinds.append(rest + STARTS[f])
+    return np.column_stack([code, *kinds[::-1]]), n.astype(np.float32)
+
+
+def _expect(out: np.ndarray, model: Model, features: np.ndarray) -> None:
+    """Adds the expected counts of the tokens' features and classes to ``out``."""
+    rows, n = _contexts(features)
+    sums = np.zeros((ROWS, OUTPUTS), np.float32)  # of a batch; over batches in double precision
+    x = np.empty((SUM_CHUNK, OUTPUTS), np.float32)
+    for a in range(0, len(rows), SUM_CHUNK):
+        some = rows[a : a + SUM_CHUNK]
+        for b in range(0, len(some), CHUNK):
+            x[b : b + CHUNK][: len(some) - b] = _softmax(model.class_logits(some[b : b + CHUNK])) * n[a + b : a + min(b + CHUNK, len(some)), None]
+        for f in range(rows.shape[1]):
+            _add_rows(sums, some[:, f], x[: len(some)])
+    out += sums
+
+
+def _gradient_task(batches: Iterator[pa.RecordBatch], model: Model, expected: bool, words_only: bool) -> Iterator[pa.RecordBatch]:
     """Observed, or expected, counts of the features and outputs over the task's texts, in blocks.
 
+    With ``words_only`` those of the word before alone.
+
     Only classes are expected here: a slot's distribution depends on its row alone, so the driver has it from
     the rows' counts.
     """
     tokens = Tokens()
     sum_c, sum_s = np.zeros((ROWS, OUTPUTS)), np.zeros(0 if expected else SLOT_ROWS * SLOTS)
-    for batch in by_size(batches, "text", 1 << 20):
+    for batch in by_size(batches, "text", 1 << 22):
         keys, tails, bounds = tokens(batch.column("text"))
         _, klass, slot, features, slot_row = model.events(keys, tails, bounds)
         if expected:
-            for a in range(0, len(keys), SUM_CHUNK):
-                x = _softmax(model.class_logits(features[a : a + SUM_CHUNK]))
-                for f in range(features.shape[1]):
-                    _add_rows(sum_c, features[a : a + SUM_CHUNK, f], x)
+            _expect(sum_c, model, features)
             continue
         main = slot >= 0
-        for f, (low, high) in enumerate(zip(STARTS, (*STARTS[1:], ROWS))):
+        for f, (low, high) in enumerate(zip(STARTS[: 1 if words_only else None], (*STARTS[1:], ROWS))):
             sum_c[low:high] += np.bincount((features[:, f] - low) * OUTPUTS + klass, minlength=(high - low) * OUTPUTS).reshape(-1, OUTPUTS)
-        sum_s += np.bincount(slot_row[main] * SLOTS + slot[main], minlength=sum_s.size)
+        if not words_only:
+            sum_s += np.bincount(slot_row[main] * SLOTS + slot[main], minlength=sum_s.size)
     flat = np.concatenate([sum_c.ravel(), sum_s]).astype(np.float32)
     salt = TaskContext.get().partitionId() % 4
     starts = range(0, len(flat), BLOCK)
@@ -260,11 +293,12 @@ def _sum_task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
-def _sums(model: Model, texts: DataFrame, expected: bool) -> tuple[np.ndarray, np.ndarray]:
+def _sums(model: Model, texts: DataFrame, expected: bool, words_only: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """What ``_gradient_task`` counts over all of ``texts``, summed in two steps; its size is that of the weights."""
     spark = texts.sparkSession
     schema = "block long, salt long, data binary"
-    parts = texts.select("text").coalesce(2 * spark.sparkContext.defaultParallelism).mapInArrow(lambda b: _gradient_task(b, model, expected), schema)
+    tasks = max(2 * spark.sparkContext.defaultParallelism, -(-model.tokens // TASK_TOKENS))
+    parts = texts.select("text").coalesce(int(tasks)).mapInArrow(lambda b: _gradient_task(b, model, expected, words_only), schema)
     parts = parts.repartition("block", "salt").mapInArrow(_sum_task, schema).repartition("block").mapInArrow(_sum_task, schema)
     c, s = ROWS * OUTPUTS, 0 if expected else SLOT_ROWS * SLOTS
     flat = np.zeros(c + s, np.float32)
@@ -274,11 +308,11 @@ def _sums(model: Model, texts: DataFrame, expected: bool) -> tuple[np.ndarray, n
     return flat[:c].reshape(ROWS, OUTPUTS), flat[c:].reshape(-1, SLOTS)
 
 
-def _update(model: Model, texts: DataFrame, seen: tuple[np.ndarray, np.ndarray], rate: float, first: bool) -> None:
+def _update(model: Model, texts: DataFrame, seen: tuple[np.ndarray, np.ndarray], first: bool) -> None:
     """One gradient update: sums over all texts, made in the tasks, move the weights.
 
     The step is the gradient, observed less expected, on the scale of iterative scaling: the logarithm of
-    their ratio, with a prior of a few tokens in each row. ``seen`` are the observed counts, the same in every
+    their ratio, with a prior of a few tokens in each row, shared by the features that are active at once. ``seen`` are the observed counts, the same in every
     update; in the first one the weights are 0, so the expectation follows from them too.
     """
     seen_c, seen_s = seen
@@ -286,9 +320,9 @@ def _update(model: Model, texts: DataFrame, seen: tuple[np.ndarray, np.ndarray],
     hope_c = seen_c.sum(1, keepdims=True) * p if first else _sums(model, texts, True)[0]
     hope_s = seen_s.sum(1, keepdims=True) * np.exp(model.slot_logs())
     prior = PRIOR * p
-    model.class_weights += (rate * np.log((seen_c + prior) / (hope_c + prior))).astype(np.float32)
+    model.class_weights += (STEP * np.log((seen_c + prior) / (hope_c + prior))).astype(np.float32)
     prior = PRIOR * np.maximum(np.tile(np.exp(model.slot_base), (OUTPUTS, 1)), 1e-9)
-    model.slot_weights += (rate * np.log((seen_s + prior) / (hope_s + prior))).astype(np.float32)
+    model.slot_weights += np.log((seen_s + prior) / (hope_s + prior)).astype(np.float32)
 
 
 def count_words(texts: DataFrame) -> DataFrame:
@@ -311,11 +345,11 @@ def fit(counts: DataFrame, docs: DataFrame) -> Model:
     model = Model(keys[order], head.c.to_numpy(np.int64)[order], order, all_.n, all_.v, code_tokens, code_types)
     if not all_.n:
         return model
-    seen = _sums(model, docs, False)[0][:CONTEXTS]
+    seen = _sums(model, docs, False, words_only=True)[0][:CONTEXTS]
     model = model.regrouped(seen.astype(np.float64))
     seen = _sums(model, docs, False)
-    for turn, rate in enumerate(RATES):
-        _update(model, docs, seen, rate, turn == 0)
+    for turn in range(UPDATES):
+        _update(model, docs, seen, turn == 0)
     return model
 
 
