@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -13,11 +13,13 @@ from pyspark.sql import functions as F
 
 from .base import query, table
 from .kernels import SliceHasher, by_size, fold_case, per_row, runs, utf8, words
+from .steps import Steps
 from .trees import BoostedTrees, Isotonic, bounded_sample, out_of_fold, part, sampled_rows, sigmoid
 
-SAMPLE = 20_000  # labelled rows that the model is fitted on, and as many without a label for pseudo-labels
+SAMPLE = 20_000  # labelled rows that the model is fitted on
 ROUNDS = 3
 SURE = 0.97  # probability from which a view's label is passed to the other
+EXCHANGED = 4_000  # about as many pseudo-labels a view gives in the first round, of all rows it is sure of; n times in the nth
 PSEUDO_WEIGHT = 0.5
 SOURCES, LANGS = 16, 8  # columns for hashed names
 THRESHOLD = 0.5
@@ -112,32 +114,43 @@ def _combine(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return np.append(w[:1], np.maximum(w[1:], 0))
 
 
-def co_train(xs: list[np.ndarray], y: np.ndarray, fold: np.ndarray, pool: list[np.ndarray], rounds: int = ROUNDS) -> CoTrained:
-    """Views are refitted each round with the pool rows of which the other view is sure.
+@dataclass
+class View:
+    """One view's trees and their calibration."""
+
+    trees: BoostedTrees
+    calibration: Isotonic
+
+    def sure(self, x: np.ndarray) -> np.ndarray:
+        """1 or 0 where the view is sure of a row's label, else -1."""
+        p = self.calibration(self.trees.margin(x))
+        return np.where(p >= SURE, 1, np.where(p <= 1 - SURE, 0, -1)).astype(np.int32)
+
+
+Given = tuple[list[np.ndarray], np.ndarray]  # features of both views, and labels
 
-    As many of each label as the labelled rows have in proportion, so that pseudo-labels keep their balance.
-    Calibration and weights come from margins of models that have not seen the rows' fold.
+
+def co_train(xs: list[np.ndarray], y: np.ndarray, fold: np.ndarray, exchange: Callable[[list[View], float, int], list[Given]], rounds: int = ROUNDS) -> CoTrained:
+    """Views are refitted each round with unlabelled rows of which the other view is sure.
+
+    ``exchange`` takes the views, the share of good rows and a number, and returns the rows that each view labels.
+    Each round's labels are given afresh. Calibration and weights come from margins of models that have not seen
+    the rows' fold.
     """
     make = lambda: BoostedTrees(rounds=40)
-    extra: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0))] * 2
+    extra = [(x[:0], y[:0]) for x in xs]
 
     def fit(view: int, rows: np.ndarray) -> BoostedTrees:
-        at, label = extra[view]
-        weight = np.append(np.ones(rows.sum()), np.full(len(at), PSEUDO_WEIGHT))
-        return make().fit(np.concatenate([xs[view][rows], pool[view][at]]), np.append(y[rows], label), weight)
+        more, label = extra[view]
+        weight = np.append(np.ones(rows.sum()), np.full(len(label), PSEUDO_WEIGHT))
+        return make().fit(np.concatenate([xs[view][rows], more]), np.append(y[rows], label), weight)
 
     everyone = np.ones(len(y), bool)
-    share = y.mean() if len(y) else 0.5
-    for _ in range(rounds):
-        sure = []
-        for view in (0, 1):
-            p = Isotonic.fit(out_of_fold(xs[view], y, fold, make), y)(fit(view, everyone).margin(pool[view]))
-            good, bad = np.flatnonzero(p >= SURE), np.flatnonzero(p <= 1 - SURE)
-            good, bad = good[np.argsort(-p[good], kind="stable")], bad[np.argsort(p[bad], kind="stable")]
-            n = min(len(pool[view]) // (2 * rounds), int(len(good) / max(share, 0.01)), int(len(bad) / max(1 - share, 0.01)))
-            take = np.append(good[: int(n * share)], bad[: int(n * (1 - share))])
-            sure.append((take, (p[take] > 0.5).astype(float)))
-        extra = [(np.append(extra[v][0], sure[1 - v][0]), np.append(extra[v][1], sure[1 - v][1])) for v in (0, 1)]
+    share = float(y.mean()) if len(y) else 0.5
+    alone = [Isotonic.fit(out_of_fold(x, y, fold, make), y) for x in xs]
+    for turn in range(1, rounds + 1):
+        given = exchange([View(fit(v, everyone), alone[v]) for v in (0, 1)], share, turn * EXCHANGED)
+        extra = [(given[1 - v][0][v], given[1 - v][1]) for v in (0, 1)]
     margins = [np.zeros(len(y)) for _ in range(2)]
     for f in np.unique(fold):
         for view in (0, 1):
@@ -163,35 +176,82 @@ def _inputs(docs: DataFrame) -> list:
     return [c.alias(f"{mark}{i}") for i, c in enumerate(found)]
 
 
-def _rows(docs: DataFrame) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+def _featured(docs: DataFrame, column: str, kind: str) -> DataFrame:
+    """``column``, and features of both views as ``a`` and ``b``."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = SliceHasher()
-        for batch in by_size(batches, 2):
-            lists = [pa.array(list(x), pa.list_(pa.float64())) for x in _views(batch.columns[2:], hasher)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], *lists], ["y", "role", "a", "b"])
+        for batch in by_size(batches, 1):
+            lists = [pa.array(list(x), pa.list_(pa.float64())) for x in _views(batch.columns[1:], hasher)]
+            yield pa.RecordBatch.from_arrays([batch.columns[0], *lists], [column, "a", "b"])
+
+    return docs.select(F.col(column).cast(kind), *_inputs(docs)).mapInArrow(run, f"{column} {kind}, a array<double>, b array<double>")
 
-    found = docs.select("y", "role", *_inputs(docs)).mapInArrow(run, "y int, role long, a array<double>, b array<double>").collect()
+
+def _matrices(found: list) -> list[np.ndarray]:
+    """Features of collected rows."""
     empty = [pa.array([""])] * 3 + [pa.array([0])]
     widths = [x.shape[1] for x in _views(empty, SliceHasher())]
-    xs = [np.array([r[c] for r in found], np.float64).reshape(-1, w) for c, w in zip("ab", widths)]
-    return xs, np.array([r.y for r in found], np.float64), np.array([r.role % 3 for r in found], np.int64)
+    return [np.array([r[c] for r in found], np.float64).reshape(-1, w) for c, w in zip("ab", widths)]
+
+
+def unlabelled(docs: DataFrame, known: DataFrame) -> DataFrame:
+    """``place, a, b`` of the different features of all rows without a label; place is a hash of 53 bits.
+
+    Copies are one row, so that a group of them weighs no more than another text. Texts are not shuffled.
+    """
+    rows = _featured(docs, "doc_id", "long").join(known.select("doc_id"), "doc_id", "left_anti").select("a", "b").distinct()
+    return rows.select(F.shiftrightunsigned(F.xxhash64("a", "b"), 11).alias("place"), "a", "b")
+
+
+def exchange_over(pool: DataFrame) -> Callable[[list[View], float, int], list[Given]]:
+    """Labels from a pass over all of ``pool`` (place, a, b): of the rows that a view is sure of, those of lowest place.
+
+    Both labels in the proportion of the labelled rows. About ``limit`` rows of a view reach the driver.
+    """
+
+    def exchange(views: list[View], share: float, limit: int) -> list[Given]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if n := batch.num_rows:
+                    xs = [batch.column(c).flatten().to_numpy().reshape(n, -1) for c in "ab"]
+                    new = [pa.array(v.sure(x)) for v, x in zip(views, xs)]
+                    yield pa.RecordBatch.from_arrays([*batch.columns, *new], ["place", "a", "b", "y0", "y1"])
+
+        sure = pool.mapInArrow(run, "place long, a array<double>, b array<double>, y0 int, y1 int")
+        many = sure.agg(*(F.count_if(F.col(f"y{v}") == label).alias(f"n{v}{label}") for v in (0, 1) for label in (0, 1))).first()
+        given = []
+        for v in (0, 1):
+            shares = 1 - share, share
+            n = min(limit, *(int(many[f"n{v}{label}"] / max(shares[label], 0.01)) for label in (0, 1)))
+            bounds = [min(1 << 53, int((1 << 53) * n * shares[label] / max(many[f"n{v}{label}"], 1))) for label in (0, 1)]
+            chosen = sure.where(" or ".join(f"y{v} = {label} and place < {bounds[label]}" for label in (0, 1)))
+            found = sorted(chosen.collect(), key=lambda r: (r.place, r.a, r.b))
+            given.append((_matrices(found), np.array([r[f"y{v}"] for r in found], np.float64)))
+        return given
+
+    return exchange
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> CoTrained:
     """A model from ``docs`` (doc_id, text, and source and lang where there are) and ``labels`` (doc_id, quality).
 
-    Fitted on about ``sample`` labelled rows and as many unlabelled ones, chosen by a hash of doc_id. Of several
-    labels of a doc_id the smallest counts, of several rows the least. Without labels of both kinds every text has their share.
+    Fitted on about ``sample`` labelled rows, chosen by a hash of doc_id, and on pseudo-labels: each round the views
+    label all rows without a label and exchange those of which they are sure, ``EXCHANGED`` times the round's number.
+    Of several labels of a doc_id the smallest counts, of several rows the least; a null doc_id has no label.
+    Without labels of both kinds every text has their share.
     """
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").cast("int").alias("y"))
     chosen = bounded_sample(known, "doc_id", sample, "quality").withColumn("role", part(F.col("doc_id"), "fold"))
-    columns = [c for c in ("doc_id", "text", "source", "lang") if c in docs.columns]
-    xs, y, fold = _rows(sampled_rows(docs.select(*columns), chosen, "doc_id"))
-    ids = docs.select("doc_id").where("doc_id is not null")
-    spare = bounded_sample(ids.join(known.select("doc_id"), "doc_id", "left_anti").distinct(), "doc_id", sample, "pool")
-    spare = spare.select("doc_id", F.lit(0).alias("y"), F.lit(0).cast("long").alias("role"))
-    pool, _, _ = _rows(sampled_rows(docs.select(*columns), spare, "doc_id"))
-    return co_train(xs, y, fold, pool)
+    docs = docs.select(*[c for c in ("doc_id", "text", "source", "lang") if c in docs.columns])
+    one = sampled_rows(docs, chosen, "doc_id").withColumn("role", F.col("role") * 2 + F.col("y"))
+    found = _featured(one, "role", "long").collect()
+    y, fold = np.array([r.role % 2 for r in found], np.float64), np.array([r.role // 2 % 3 for r in found], np.int64)
+    steps = Steps(docs.sparkSession)
+    pool = steps.keep(unlabelled(docs, known))
+    model = co_train(_matrices(found), y, fold, exchange_over(pool))
+    steps.drop_from(0)
+    return model
 
 
 def score(docs: DataFrame, model: CoTrained) -> DataFrame:

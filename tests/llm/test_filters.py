@@ -3,7 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from marketlake.llm import quality, toxicity
-from marketlake.llm.trees import BoostedTrees, Isotonic, bounded_sample
+from marketlake.llm.trees import BoostedTrees, Isotonic, bounded_sample, out_of_fold
 
 SF = "/root/testdata/sf0.01"
 
@@ -100,3 +100,53 @@ def test_small_shares_are_no_empty_samples(spark, monkeypatch):
     monkeypatch.undo()
     bound = int((1 << 53) * 20_000 / 40_000_000_000_000)
     assert bound > 4_000_000 and str(bound) in sample._jdf.queryExecution().analyzed().toString()
+
+
+def plain_co_training(xs, y, fold, pool, many, rounds):
+    """Co-training over rows (place, a, b), one by one."""
+    make = lambda: BoostedTrees(rounds=40)
+    share, given = y.mean(), {0: [], 1: []}
+    for turn in range(rounds):
+        sure = {}
+        for v in (0, 1):
+            more = given[1 - v]
+            x = np.array([*xs[v], *(r[0][v] for r in more)])
+            trees = make().fit(x, np.array([*y, *(r[1] for r in more)]), np.array([1.0] * len(y) + [quality.PSEUDO_WEIGHT] * len(more)))
+            curve = Isotonic.fit(out_of_fold(xs[v], y, fold, make), y)
+            p = [curve(trees.margin(np.array([r[1 + v]])))[0] for r in pool]
+            good, bad = ([r for r, q in zip(pool, p) if keep(q)] for keep in (lambda q: q >= quality.SURE, lambda q: q <= 1 - quality.SURE))
+            n = min(many * (turn + 1), int(len(good) / max(share, 0.01)), int(len(bad) / max(1 - share, 0.01)))
+            take = lambda rows, want: [r for r in rows if r[0] < 2**53 * want / max(len(rows), 1)]
+            sure[v] = sorted([*((r, 1.0) for r in take(good, n * share)), *((r, 0.0) for r in take(bad, n * (1 - share)))])
+        given = {v: [((r[1], r[2]), label) for r, label in sure[v]] for v in (0, 1)}
+    return given
+
+
+@pytest.mark.parametrize("many", [60, 100_000])
+def test_co_training_like_a_plain_loop(spark, frames, monkeypatch, many):
+    docs, labels = frames
+    known = labels.where("doc_id % 2 = 0 and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("y"))
+    rows = quality._featured(docs, "doc_id", "long").join(known, "doc_id").orderBy("doc_id").collect()
+    xs, y, fold = quality._matrices(rows), np.array([float(r.y) for r in rows]), np.array([r.doc_id // 2 % 3 for r in rows])
+    pool = quality.unlabelled(docs, known)
+    monkeypatch.setattr(quality, "EXCHANGED", many)
+    asked = []
+
+    def watched(views, share, limit):
+        asked.append(quality.exchange_over(pool)(views, share, limit))
+        return asked[-1]
+
+    quality.co_train(xs, y, fold, watched)
+    plain = plain_co_training(xs, y, fold, [(r.place, list(r.a), list(r.b)) for r in pool.collect()], many, quality.ROUNDS)
+    assert all(len(given[0][1]) for given in asked)  # the text view is sure of some rows in each round
+    for v in (0, 1):
+        (a, b), label = asked[-1][v]
+        assert [((list(i), list(j)), k) for i, j, k in zip(a, b, label)] == plain[v]
+
+
+def test_pool_is_all_rows_without_a_label(spark, frames):
+    docs, labels = frames
+    known = labels.where("quality is not null").select("doc_id").distinct()
+    twice = docs.unionByName(docs).unionByName(docs.withColumn("doc_id", F.lit(None).cast("long")).limit(1))
+    rest = docs.join(known, "doc_id", "left_anti").count()
+    assert 0.9 * rest < quality.unlabelled(docs, known).count() <= quality.unlabelled(twice, known).count() <= rest + 1
