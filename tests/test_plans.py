@@ -138,3 +138,15 @@ def test_small_upsert_does_not_shuffle_the_target(spark, tmp_path, monkeypatch):
         tables.upsert(df, f"file:{tmp_path}/t", ["k"], ["_o"], {"p": F.col("k") % 3})
     assert "Exchange hash" not in seen[1] and "BroadcastHashJoin" in seen[1]
     assert spark.read.parquet(f"file:{tmp_path}/t").count() == 100
+
+
+def test_partitioned_writes_are_not_sorted(spark, tmp_path):
+    spark.sql(f"CREATE TABLE unsorted (v BIGINT, p BIGINT) USING parquet PARTITIONED BY (p) LOCATION 'file:{tmp_path}/t'")
+    try:
+        text = spark.sql("EXPLAIN INSERT INTO unsorted SELECT id, id % 40 FROM range(400)").first()[0]
+        assert "Sort" not in text
+    finally:
+        spark.sql("DROP TABLE unsorted")
+    # More partitions than a task has writers for at once.
+    table = tables.replace_partitions(spark.range(0, 400, 1, 1).select("id", (F.col("id") % 40).alias("p")), f"file:{tmp_path}/u", ["p"], False)
+    assert table.groupBy("p").count().where("count = 10").count() == 40 and table.where("id % 40 = p").count() == 400
