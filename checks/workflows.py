@@ -165,7 +165,8 @@ def load_statements(t: Tables) -> DataFrame:
 )
 def standardize_job(t: Tables) -> DataFrame:
     root = new_folder(t.spark, "warehouse")
-    replace_partitions(loaded_statements(t), f"{root}/bctc", ["report_code"])
+    # A task's rows are of one statement kind, so they need no shuffle by kind.
+    replace_partitions(loaded_statements(t), f"{root}/bctc", ["report_code"], rebalance=False)
     mapping = statements.standard_mapping(t.spark)
     for day in ("2026-01-15", "2026-01-16"):
         standardize.standardize_table(

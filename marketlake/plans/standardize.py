@@ -77,7 +77,8 @@ def standardize_table(
         if partition_by:
             folders = touched.select(*[paths.folder_value(F.col("folder"), name) for name in partition_by]).collect()
             stale = current.where(in_partitions(folders, partition_by))
-            swap_in(standardize_names(stale, rules), table, partition_by, written=record)
+            # Each task writes back the partitions it read: a shuffle would send the whole table.
+            swap_in(standardize_names(stale, rules), table, partition_by, rebalance=False, written=record)
         else:
             full_refresh(standardize_names(current, rules), table, written=record)
 

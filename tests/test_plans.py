@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from checks import QUERIES
 from marketlake import functions as fn
 from marketlake.operators import dedup, filters, joins, reshape, tables
-from marketlake.plans import prices, statements
+from marketlake.plans import prices, standardize, statements
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -150,3 +150,22 @@ def test_partitioned_writes_are_not_sorted(spark, tmp_path):
     # More partitions than a task has writers for at once.
     table = tables.replace_partitions(spark.range(0, 400, 1, 1).select("id", (F.col("id") % 40).alias("p")), f"file:{tmp_path}/u", ["p"], False)
     assert table.groupBy("p").count().where("count = 10").count() == 40 and table.where("id % 40 = p").count() == 400
+
+
+def test_standardising_does_not_shuffle_the_table(spark, tmp_path, monkeypatch):
+    seen = []
+    real = tables.replace_partitions
+    root = f"file:{tmp_path}"
+    rows = [("a", "IS"), ("b", "IS"), ("a", "BL"), ("c", "CF")]
+    real(spark.createDataFrame(rows, "ind_name string, report_code string"), f"{root}/t", ["report_code"])
+
+    def replace(df, path, partition_by, rebalance=True):
+        seen.append((rebalance, plan(df)))
+        return real(df, path, partition_by, rebalance)
+
+    monkeypatch.setattr(tables, "replace_partitions", replace)
+    mapping = spark.createDataFrame([("a", "A")], "raw_ind_name string, std_ind_name string")
+    standardize.standardize_table(spark, f"{root}/t", mapping, f"{root}/m", f"{root}/s", "2026-01-15", ["report_code"])
+    assert [r for r, _ in seen] == [False] and "Exchange hash" not in seen[0][1]
+    found = spark.read.parquet(f"{root}/t").select("ind_name", "report_code").collect()
+    assert sorted(map(tuple, found)) == [("A", "BL"), ("A", "IS"), ("b", "IS"), ("c", "CF")]
