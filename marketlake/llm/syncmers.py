@@ -18,21 +18,28 @@ LEAST = 64  # anchors that a fingerprint has at least, if the text has them
 SHARE = 16  # of the other anchors one in 16 is kept, by its hash
 BAND = 8  # matching anchors lie on one diagonal, give or take an eighth of the text
 HASHES = 1 << 31
+POSITION = (1 << 31) - 1  # bits of an anchor
+SPACE = " \t\n\x0b\x0c\r"
 BOUNDS_PER_PARTITION = 4
 
 
-def with_anchors(df: DataFrame, text: str, out: str) -> DataFrame:
-    """``out``: array of the text's closed syncmers, each a long of a 31-bit hash and a position in 32 bits.
+def with_units(df: DataFrame, text: str, out: str) -> DataFrame:
+    """``out``: hashes of the text's units, with six marks of 0 before them. A null text counts as empty."""
+    units = F.split(F.coalesce(text, F.lit("")), UNIT_END)
+    return df.withColumn(out, F.concat(_marks(), F.transform(units, lambda u: F.xxhash64(u))))
 
-    A unit is a syllable or so of Latin text and one code point of most other scripts; its end depends on the
-    code point before it alone. The six units from a position on are an anchor if, of the four runs of three in
-    them, the one with the least hash stands first or last. So equal passages have equal anchors wherever they
-    stand, and one of any three places in a row is an anchor. Six marks stand before the text, and positions
-    count units from the first of them; texts that agree in their first two units have an anchor in common. A text
-    that is one unit has one anchor, of the whole text at position 0; an empty or null one has none.
-    """
+
+def _marks() -> Column:
+    return F.array_repeat(F.lit(0).cast("long"), PAD)
+
+
+def _packed(h: Column, position: Column) -> Column:
+    return F.shiftleft(F.shiftrightunsigned(h, 33), 32) + position
+
+
+def _closed(units: Column, start: Column | int = 0) -> Column:
+    """The closed syncmers of an array of unit hashes, the first of which has position ``start``."""
     last = K - S
-    packed = lambda h, i: F.shiftleft(F.shiftrightunsigned(h, 33), 32) + i
 
     def runs(units: Column) -> Column:
         return F.transform(
@@ -42,19 +49,33 @@ def with_anchors(df: DataFrame, text: str, out: str) -> DataFrame:
     def closed(inner: Column) -> Column:
         at = lambda i: F.get(inner, i)
         ends = lambda x, i: F.least(x, at(i + last)) <= F.least(*(at(i + j) for j in range(1, last)))
-        return F.transform(F.slice(inner, F.lit(1), F.size(inner) - last), lambda x, i: F.when(ends(x, i), packed(F.xxhash64(x, at(i + last)), i)))
+        anchor = lambda x, i: F.when(ends(x, i), _packed(F.xxhash64(x, at(i + last)), i + start))
+        return F.transform(F.slice(inner, F.lit(1), F.size(inner) - last), anchor)
+
+    return F.array_compact(_with(_with(units, runs), closed))
+
+
+def _whole(text: str) -> Column:
+    return F.array(_packed(F.xxhash64(text), F.lit(0).cast("long")))
+
+
+def with_anchors(df: DataFrame, text: str, out: str) -> DataFrame:
+    """``out``: array of the text's closed syncmers, each a long of a 31-bit hash and a position in 32 bits.
+
+    A unit is a syllable or so of Latin text and one code point of most other scripts; its end depends on the
+    code point before it alone. The six units from a position on are an anchor if, of the four runs of three in
+    them, the one with the least hash stands first or last. So equal passages have equal anchors wherever they
+    stand, and one of any three places in a row is an anchor. Six marks stand before the text, and positions
+    count units from the first of them; texts that agree in their first two units have an anchor in common. A text
+    that is one unit has one anchor, of the whole text at position 0; an empty or null one has none.
+    """
+    return with_units(df, text, "_units").withColumn(out, _or_whole(text, F.size("_units"), _closed(F.col("_units")))).drop("_units")
 
-    whole = F.array(packed(F.xxhash64(text), F.lit(0).cast("long")))
-    marks = F.array_repeat(F.lit(0).cast("long"), PAD)
+
+def _or_whole(text: str, units: Column, anchors: Column) -> Column:
+    """``anchors``, but none of an empty text, and one of a text that is one unit. ``units`` counts the marks too."""
     empty = F.coalesce(F.length(text) == 0, F.lit(True))
-    return (
-        df.withColumn("_units", F.split(F.coalesce(text, F.lit("")), UNIT_END))
-        .withColumn("_units", F.concat(marks, F.transform("_units", lambda u: F.xxhash64(u))))
-        .withColumn("_inner", _with(F.col("_units"), runs))
-        .withColumn(out, F.array_compact(_with(F.col("_inner"), closed)))
-        .withColumn(out, F.when(empty, F.array().cast("array<bigint>")).when(F.size("_units") <= PAD + 1, whole).otherwise(F.col(out)))
-        .drop("_units", "_inner")
-    )
+    return F.when(empty, F.array().cast("array<bigint>")).when(units <= PAD + 1, _whole(text)).otherwise(anchors)
 
 
 def _with(value: Column, f) -> Column:
@@ -66,19 +87,63 @@ def _hash(anchor: Column) -> Column:
     return F.shiftright(anchor, 32)
 
 
+def with_firsts(df: DataFrame, anchors: Column, out: str) -> DataFrame:
+    """``out``: the anchors ascending by hash, each hash with its first position."""
+    first = lambda x, i: (i == 0) | (_hash(x) != _hash(F.get("_sorted", i - 1)))
+    return df.withColumn("_sorted", F.sort_array(anchors)).withColumn(out, F.filter("_sorted", first)).drop("_sorted")
+
+
+def kept(firsts: Column) -> Column:
+    """The anchors that a fingerprint keeps, of all of a text as by ``with_firsts``: a bottom-k sketch.
+
+    The 64 of least hash, and all whose hash is in the lowest sixteenth: long texts keep one in 16. A function of
+    the whole set, so of two sets together the sketch follows from their sketches.
+    """
+    return F.filter(firsts, lambda x, i: (i < LEAST) | (x < (HASHES // SHARE) << 32))
+
+
 def with_sketch(df: DataFrame, text: str, out: str) -> DataFrame:
-    """``out``: the anchors kept of the whole text, ascending by hash, each hash with its first position.
+    """``out``: the anchors kept of the whole text, ascending by hash, each hash with its first position."""
+    return with_firsts(with_anchors(df, text, out), F.col(out), "_all").withColumn(out, kept(F.col("_all"))).drop("_all")
+
+
+def _rest(last: str, tail: str) -> Column:
+    """Hashes of the units from a text's unfinished unit on, if ``tail`` follows. White space after an end is part of it."""
+    follows = F.when(F.col(last) == "", F.ltrim(F.col(tail), F.lit(SPACE))).otherwise(F.col(tail))
+    return F.transform(F.split(F.concat(last, follows), UNIT_END), lambda u: F.xxhash64(u))
+
 
-    The 64 of least hash, and all whose hash is in the lowest sixteenth: long texts keep one in 16.
+def with_head_sketch(df: DataFrame, text: str, head: Column, out: str) -> DataFrame:
+    """``out``: as by ``with_sketch``; ``_head_sketch`` and what ``with_new_tail`` needs of the first ``head`` code points.
+
+    The units that end there, ``_ended`` with the marks, and so their anchors, are those of every text that begins so. The
+    last five of them are ``_edge``, and ``_last`` is the unit that goes on.
     """
-    first = lambda x, i: (i == 0) | (_hash(x) != _hash(F.get("_all", i - 1)))
-    return (
-        with_anchors(df, text, out)
-        .withColumn("_all", F.sort_array(out))
-        .withColumn("_all", F.filter("_all", first))
-        .withColumn(out, F.filter("_all", lambda x, i: (i < LEAST) | (x < (HASHES // SHARE) << 32)))
-        .drop("_all")
+    return with_firsts(
+        df.withColumn("_cut", F.split(F.substring(F.col(text), F.lit(1), head), UNIT_END))
+        .withColumn("_tail", F.substring(F.col(text), head + 1, F.length(text)))
+        .withColumn("_last", F.element_at("_cut", -1))
+        .withColumn("_begun", F.concat(_marks(), F.transform(F.slice("_cut", F.lit(1), F.size("_cut") - 1), lambda u: F.xxhash64(u))))
+        .withColumn("_ended", F.size("_begun"))
+        .withColumn("_edge", F.slice("_begun", 1 - K, K - 1))
+        .withColumn("_units", F.concat("_begun", _rest("_last", "_tail"))),
+        _closed(F.col("_units")), "_all",
+    ).withColumn(out, _or_whole(text, F.size("_units"), kept(F.col("_all")))).withColumn(
+        "_head_sketch", kept(F.filter("_all", lambda x: x.bitwiseAND(POSITION) <= F.col("_ended") - K))
+    ).drop("_cut", "_tail", "_begun", "_units", "_all")
+
+
+def with_new_tail(df: DataFrame, text: str, tail: str, out: str) -> DataFrame:
+    """``out``: what ``with_sketch`` gives for ``text``, which is the head of ``with_head_sketch`` followed by ``tail``.
+
+    Only the units from the head's end on are looked at; the columns of ``with_head_sketch`` are dropped.
+    """
+    joined = df.withColumn("_new", _rest("_last", tail)).withColumn(
+        "_anchors", F.concat("_head_sketch", _closed(F.concat("_edge", "_new"), F.col("_ended") - (K - 1)))
     )
+    made = with_firsts(joined, F.col("_anchors"), "_all")
+    made = made.withColumn(out, _or_whole(text, F.col("_ended") + F.size("_new"), kept(F.col("_all"))))
+    return made.drop("_new", "_anchors", "_all", "_head_sketch", "_ended", "_edge", "_last")
 
 
 def fingerprint(sketch: Column) -> Column:
@@ -94,24 +159,24 @@ def with_likeness(df: DataFrame, a: str, b: str, out: str) -> DataFrame:
     were moved don't. Two empty sketches are alike.
     """
     side = 1 << 31  # set in anchors of b, so that of two with one hash that of a comes first
-    complete = lambda s: F.when(F.size(s) < LEAST, F.lit(HASHES)).otherwise(
-        F.greatest(F.lit(HASHES // SHARE), _hash(F.element_at(s, -1)) + 1)
-    )
-    upto = F.least(complete(F.col(a)), complete(F.col(b)))
-    end = lambda s: F.coalesce(F.array_max(F.transform(s, lambda x: x.bitwiseAND(side - 1))), F.lit(0))
+    upto = F.least(*(  # the greatest anchor that counts
+        F.when(F.size(s) < LEAST, F.lit((1 << 63) - 1)).otherwise(F.greatest(F.lit((HASHES // SHARE << 32) - 1), F.element_at(s, -1).bitwiseOR((1 << 32) - 1)))
+        for s in (a, b)
+    ))
+    end = lambda s: F.coalesce(F.array_max(F.transform(s, lambda x: x.bitwiseAND(POSITION))), F.lit(0))
     after = lambda i: F.get("_both", i + 1)
     shift = lambda x, i: F.when(_hash(after(i)) == _hash(x), after(i) - x - side)
+    pooled = F.concat(F.col(a), F.transform(b, lambda x: x + side))
+    middle = F.get("_shifts", F.floor(F.size("_shifts") / 2).cast("int"))
     band = F.greatest(end(F.col(a)), end(F.col(b))) / BAND
-    matching = F.size(F.filter("_shifts", lambda d: F.abs(d - F.col("_middle")) <= F.col("_band")))
+    near = lambda m: F.filter("_shifts", lambda d: F.abs(d - m.middle) <= m.band)
+    matching = F.size(_with(F.struct(middle.alias("middle"), band.alias("band")), near))
     union = F.size("_both") - F.size("_shifts")
     return (
-        df.withColumn("_upto", upto)
-        .withColumn("_both", F.sort_array(F.filter(F.concat(F.col(a), F.transform(b, lambda x: x + side)), lambda x: _hash(x) < F.col("_upto"))))
+        df.withColumn("_both", F.sort_array(_with(upto, lambda u: F.filter(pooled, lambda x: x <= u))))
         .withColumn("_shifts", F.sort_array(F.array_compact(F.transform("_both", shift))))
-        .withColumn("_middle", F.get("_shifts", F.floor(F.size("_shifts") / 2).cast("int")))
-        .withColumn("_band", band)
         .withColumn(out, F.when(union == 0, F.lit(1.0)).otherwise(matching / union))
-        .drop("_upto", "_both", "_shifts", "_middle", "_band")
+        .drop("_both", "_shifts")
     )
 
 
@@ -173,11 +238,16 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     columns are ignored; an empty table gives no rows.
     """
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    pairs = with_next(with_sketch(texts, "text", "sketch"), "doc_id", ["text"], ["text", "sketch"])
     n = F.length("text")
     quarter = F.floor(n / 4).cast("int")
-    edited = F.concat(F.substring(F.col("text"), F.lit(1), n - quarter), F.substring(F.col("next_text"), F.lit(1), quarter))
-    made = with_sketch(pairs.withColumn("edited", edited).withColumn("n_chars", n.cast("long")).drop("next_text", "text"), "edited", "edited_sketch")
+    pairs = with_next(with_head_sketch(texts, "text", n - quarter, "sketch"), "doc_id", ["text"], ["text", "sketch"])
+    made = (
+        pairs.withColumn("_tail", F.substring(F.col("next_text"), F.lit(1), quarter))
+        .withColumn("edited", F.concat(F.substring(F.col("text"), F.lit(1), n - quarter), "_tail"))
+        .withColumn("n_chars", n.cast("long"))
+        .drop("next_text", "text")
+    )
+    made = with_new_tail(made, "edited", "_tail", "edited_sketch")
     made = with_likeness(with_likeness(made, "sketch", "edited_sketch", "near_edited"), "sketch", "next_sketch", "near_next")
     return made.select(
         "doc_id", "n_chars", "edited",

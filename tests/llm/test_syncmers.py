@@ -4,7 +4,9 @@ import re
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
+from marketlake.llm import syncmers
 from marketlake.llm.syncmers import fingerprints
 
 M = (1 << 64) - 1
@@ -98,3 +100,17 @@ def test_odd_rows(spark, documents, odd):
     assert rows(fingerprints(documents(odd))) == brute_force(odd)
     assert rows(fingerprints(documents([(1, "one two three four five six")]))) == brute_force([(1, "one two three four five six")])
     assert fingerprints(documents([])).count() == 0
+
+
+def test_edited_texts_have_the_sketch_of_their_whole_text(spark):
+    """A new tail is looked at from the last unit of the head on, wherever the cut falls."""
+    letters = ["a", "b", "k", "7", "E", " ", " ", "\t", "\x0b", " ", "é", "中", "😀"]
+    dice = random.Random(3)
+    texts = ["".join(dice.choice(letters) for _ in range(dice.choice([1, 2, 4, 5, 7, 8, 12, 20, 60, 400]))) for _ in range(300)]
+    texts += ["bcdf", "bcdfg", "    ", "   x", "aaaa", "", "bbbb bbbb", "ba  ", " a  b  "]
+    found = fingerprints(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    whole = syncmers.with_sketch(found, "edited", "sketch").withColumn("whole", syncmers.fingerprint(F.col("sketch")))
+    assert whole.where("whole <> edited_fingerprint").count() == 0 and whole.count() == len(texts)
+    # Only the new tail is cut into units: the tasks hash those of one text and a quarter, not of two.
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(edited" not in plan and "_head_sketch" in plan
