@@ -36,6 +36,7 @@ TASK_TOKENS = 1 << 24  # of one task of a pass, or fewer
 REPEATS = 16  # rows found more often in a chunk are summed one by one
 ADD = 0.1
 END = np.uint64(0x656E64)  # key of the end token
+KEY_SHIFT = np.uint64(46)  # the first 18 bits of a key lead to its place
 
 
 class Tokens:
@@ -132,6 +133,7 @@ class Model:
         self.class_weights = np.zeros((ROWS, OUTPUTS), np.float32)
         self.slot_weights = np.zeros((SLOT_ROWS, SLOTS), np.float32)
         self.context_class = np.append(np.arange(MODELLED) % CLASSES, CLASSES + self.code_class)
+        self.begin = np.searchsorted(self.keys >> KEY_SHIFT, np.arange(1 << 64 - int(KEY_SHIFT), dtype=np.uint64)).astype(np.int32)
 
     def regrouped(self, seen: np.ndarray) -> Model:
         """With words, and codes, of like successors in one class. ``seen``: successors' classes of each context."""
@@ -153,7 +155,14 @@ class Model:
         """Place among the head words, -1 if absent."""
         if not len(self.keys):
             return np.full(len(keys), -1)
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        # The keys are hashes: few begin with the same bits, so the place is at most a few steps from the first of these.
+        at = self.begin[keys >> KEY_SHIFT].astype(np.int64)
+        most = len(self.keys) - 1
+        behind = np.flatnonzero(self.keys[np.minimum(at, most)] < keys)
+        while len(behind := behind[at[behind] <= most]):
+            at[behind] += 1
+            behind = behind[self.keys[np.minimum(at[behind], most)] < keys[behind]]
+        at = np.minimum(at, most)
         return np.where(self.keys[at] == keys, at, -1)
 
     def events(self, keys: np.ndarray, codes: np.ndarray, bounds: np.ndarray):
@@ -182,6 +191,27 @@ class Model:
             out += self.class_weights[features[:, f]]
         return out
 
+    def factors(self) -> np.ndarray | None:
+        """Exponentials of the weights, with the unigram logits in those of the word before. None if products may overflow."""
+        x = self.class_weights.copy()
+        x[: STARTS[1]] += self.class_base
+        most = sum(float(np.abs(x[low:high]).max()) for low, high in zip(STARTS, (*STARTS[1:], ROWS)))
+        return np.exp(x) if most < 80 else None
+
+    def class_shares(self, features: np.ndarray, factors: np.ndarray | None) -> np.ndarray:
+        """Probability of each class: from the product of the weights' ``factors``, which needs no exponential per token."""
+        return _softmax(self.class_logits(features)) if factors is None else _normalised(_products(features, factors))
+
+    def class_logs(self, features: np.ndarray, klass: np.ndarray, factors: np.ndarray | None) -> np.ndarray:
+        """Log-probability of the given class of each token."""
+        at = np.arange(len(klass))
+        if factors is None:
+            x = self.class_logits(features)
+            own = x[at, klass]
+            return own - _log_sum(x)
+        x = _products(features, factors)
+        return np.log(x[at, klass] / (x @ np.ones(x.shape[1], np.float32)))
+
     def slot_logs(self) -> np.ndarray:
         """Log-probability of each slot by slot row, which holds the class."""
         x = np.tile(self.slot_base, (OUTPUTS, 1)) + self.slot_weights
@@ -200,10 +230,21 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     if len(x) and x.max() > 80:
         x -= x.max(1, keepdims=True)
     np.exp(x, out=x)
+    return _normalised(x)
+
+
+def _normalised(x: np.ndarray) -> np.ndarray:
     x /= (x @ np.ones(x.shape[1], np.float32))[:, None]
     return x
 
 
+def _products(features: np.ndarray, factors: np.ndarray) -> np.ndarray:
+    out = factors[features[:, 0]]
+    for f in range(1, features.shape[1]):
+        out *= factors[features[:, f]]
+    return out
+
+
 def _add_rows(out: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
     """``out[rows] += values`` with repeated rows: frequent ones are summed each, the others in a few passes."""
     order = np.argsort(rows.astype(np.uint16), kind="stable")  # ROWS fit, and 16 bits are sorted by digits
@@ -236,7 +277,7 @@ def _contexts(features: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.column_stack([code, *kinds[::-1]]), n.astype(np.float32)
 
 
-def _expect(out: np.ndarray, model: Model, features: np.ndarray) -> None:
+def _expect(out: np.ndarray, model: Model, features: np.ndarray, factors: np.ndarray | None) -> None:
     """Adds the expected counts of the tokens' features and classes to ``out``."""
     rows, n = _contexts(features)
     sums = np.zeros((ROWS, OUTPUTS), np.float32)  # of a batch; over batches in double precision
@@ -244,7 +285,7 @@ def _expect(out: np.ndarray, model: Model, features: np.ndarray) -> None:
     for a in range(0, len(rows), SUM_CHUNK):
         some = rows[a : a + SUM_CHUNK]
         for b in range(0, len(some), CHUNK):
-            x[b : b + CHUNK][: len(some) - b] = _softmax(model.class_logits(some[b : b + CHUNK])) * n[a + b : a + min(b + CHUNK, len(some)), None]
+            x[b : b + CHUNK][: len(some) - b] = model.class_shares(some[b : b + CHUNK], factors) * n[a + b : a + min(b + CHUNK, len(some)), None]
         for f in range(rows.shape[1]):
             _add_rows(sums, some[:, f], x[: len(some)])
     out += sums
@@ -260,11 +301,12 @@ def _gradient_task(batches: Iterator[pa.RecordBatch], model: Model, expected: bo
     """
     tokens = Tokens()
     sum_c, sum_s = np.zeros((ROWS, OUTPUTS)), np.zeros(0 if expected else SLOT_ROWS * SLOTS)
+    factors = model.factors() if expected else None
     for batch in by_size(batches, "text", 1 << 22):
         keys, tails, bounds = tokens(batch.column("text"))
         _, klass, slot, features, slot_row = model.events(keys, tails, bounds)
         if expected:
-            _expect(sum_c, model, features)
+            _expect(sum_c, model, features, factors)
             continue
         main = slot >= 0
         for f, (low, high) in enumerate(zip(STARTS[: 1 if words_only else None], (*STARTS[1:], ROWS))):
@@ -363,17 +405,14 @@ def _score_task(batches: Iterator[pa.RecordBatch], model: Model) -> Iterator[pa.
     bottom = np.log10(model.tokens + ADD * (model.types + 1))
     tail_bottom = np.log10(model.tail_tokens + ADD * (model.tail_types + 1))
     logs = np.append(np.log10(model.counts + ADD), 0.0)
-    slot_logs = model.slot_logs()
+    slot_logs, factors = model.slot_logs(), model.factors()
     for batch in by_size(batches, "text", 1 << 20):
         n = batch.num_rows
         keys, tails, bounds = tokens(batch.column("text"))
         at, klass, slot, features, slot_row = model.events(keys, tails, bounds)
         score = np.empty(len(keys))
         for a in range(0, len(keys), CHUNK):
-            x = model.class_logits(features[a : a + CHUNK])
-            k = klass[a : a + CHUNK]
-            own = x[np.arange(len(x)), k]
-            score[a : a + CHUNK] = own - _log_sum(x)
+            score[a : a + CHUNK] = model.class_logs(features[a : a + CHUNK], klass[a : a + CHUNK], factors)
         main = slot >= 0
         score[main] += slot_logs[slot_row[main], slot[main]]
         own = logs[at]  # the rare ones' counts are not known yet: 0

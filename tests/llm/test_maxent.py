@@ -116,3 +116,24 @@ def fit_counts(training, model):
     sums = [x[a:b].sum() for x in (seen, hope) for a, b in zip(ends, ends[1:])]
     assert np.allclose(sums, sums[0], rtol=1e-4)
     return round(float(sums[0]))
+
+
+def test_places_and_class_probabilities_without_a_search_or_an_exponential_per_token():
+    dice = np.random.default_rng(4)
+    keys = np.unique(np.append(dice.integers(0, 1 << 64, 5000, np.uint64, False), np.array([0, (1 << 64) - 1], np.uint64)))
+    keys = np.unique(np.append(keys, keys[100] + np.arange(40, dtype=np.uint64)))  # many that begin alike
+    counts = np.arange(1, len(keys) + 1)
+    codes = np.ones(maxent.CODES)
+    model = maxent.Model(keys, counts, np.arange(len(keys)), int(counts.sum()), len(keys), codes, codes)
+    asked = np.concatenate([keys, keys[:-1] + np.uint64(1), dice.integers(0, 1 << 64, 999, np.uint64, False)])
+    place = {int(k): i for i, k in enumerate(keys)}
+    assert model.look_up(asked).tolist() == [place.get(int(k), -1) for k in asked]
+
+    model.class_weights[:] = dice.normal(0, 1, model.class_weights.shape)
+    features = np.column_stack([dice.integers(a, b, 3000) for a, b in zip(maxent.STARTS, (*maxent.STARTS[1:], maxent.ROWS))])
+    klass = dice.integers(0, maxent.OUTPUTS, 3000)
+    factors = model.factors()
+    assert np.allclose(model.class_logs(features, klass, factors), model.class_logs(features, klass, None), atol=1e-5)
+    assert np.allclose(model.class_shares(features, factors), model.class_shares(features, None), rtol=1e-4, atol=1e-9)
+    model.class_weights[5, 5] = 90  # a product could overflow
+    assert model.factors() is None and np.isfinite(model.class_logs(features, klass, None)).all()
