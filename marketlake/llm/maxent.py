@@ -31,9 +31,9 @@ STEP = 0.25  # of a class feature: four are active at once; the one of a slot ta
 PRIOR = 4.0  # tokens' worth of the unigram model in each row
 BLOCK = 1 << 14  # weights sent as one row
 CHUNK = 1 << 11  # tokens scored at once, so that their logits stay in a core's cache
-SUM_CHUNK = 1 << 13  # tokens whose expectations are summed at once
+SUM_CHUNK = 1 << 14  # tokens whose expectations are summed at once
 TASK_TOKENS = 1 << 24  # of one task of a pass, or fewer
-REPEATS = 16  # rows found more often in a chunk are summed one by one
+REPEATS = 32  # rows found more often in a chunk are summed one by one
 ADD = 0.1
 END = np.uint64(0x656E64)  # key of the end token
 KEY_SHIFT = np.uint64(46)  # the first 18 bits of a key lead to its place
@@ -198,9 +198,9 @@ class Model:
         most = sum(float(np.abs(x[low:high]).max()) for low, high in zip(STARTS, (*STARTS[1:], ROWS)))
         return np.exp(x) if most < 80 else None
 
-    def class_shares(self, features: np.ndarray, factors: np.ndarray | None) -> np.ndarray:
-        """Probability of each class: from the product of the weights' ``factors``, which needs no exponential per token."""
-        return _softmax(self.class_logits(features)) if factors is None else _normalised(_products(features, factors))
+    def class_shares(self, features: np.ndarray, factors: np.ndarray | None, n: np.ndarray | float = 1.0) -> np.ndarray:
+        """Probability of each class, ``n`` times: from the product of the weights' ``factors``, which needs no exponential per token."""
+        return _softmax(self.class_logits(features), n) if factors is None else _normalised(_products(features, factors), n)
 
     def class_logs(self, features: np.ndarray, klass: np.ndarray, factors: np.ndarray | None) -> np.ndarray:
         """Log-probability of the given class of each token."""
@@ -226,15 +226,16 @@ def _log_sum(x: np.ndarray) -> np.ndarray:
     return np.log(x @ np.ones(x.shape[1], np.float32)) + np.ravel(most)
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
+def _softmax(x: np.ndarray, n: np.ndarray | float = 1.0) -> np.ndarray:
     if len(x) and x.max() > 80:
         x -= x.max(1, keepdims=True)
     np.exp(x, out=x)
-    return _normalised(x)
+    return _normalised(x, n)
 
 
-def _normalised(x: np.ndarray) -> np.ndarray:
-    x /= (x @ np.ones(x.shape[1], np.float32))[:, None]
+def _normalised(x: np.ndarray, n: np.ndarray | float = 1.0) -> np.ndarray:
+    """Each row on the scale that makes its sum ``n``."""
+    x *= (n / (x @ np.ones(x.shape[1], np.float32)))[:, None]
     return x
 
 
@@ -255,9 +256,13 @@ def _add_rows(out: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
     for at, n in zip(first[frequent].tolist(), count[frequent].tolist()):
         out[ranked[at]] += values[order[at : at + n]].sum(0)
     first, count = first[~frequent], count[~frequent]
-    for k in range(count.max(initial=0)):
-        at = order[first[count > k] + k]
-        out[rows[at]] += values[at]
+    by = np.argsort(-count, kind="stable")  # so that the rows found more than k times stand first
+    first, count = first[by], count[by]
+    total = values[order[first]]
+    for k in range(1, count.max(initial=0)):
+        n = np.searchsorted(-count, -k)
+        total[:n] += values[order[first[:n] + k]]
+    out[ranked[first]] += total
 
 
 def _contexts(features: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -285,7 +290,7 @@ def _expect(out: np.ndarray, model: Model, features: np.ndarray, factors: np.nda
     for a in range(0, len(rows), SUM_CHUNK):
         some = rows[a : a + SUM_CHUNK]
         for b in range(0, len(some), CHUNK):
-            x[b : b + CHUNK][: len(some) - b] = model.class_shares(some[b : b + CHUNK], factors) * n[a + b : a + min(b + CHUNK, len(some)), None]
+            x[b : b + CHUNK][: len(some) - b] = model.class_shares(some[b : b + CHUNK], factors, n[a + b : a + min(b + CHUNK, len(some))])
         for f in range(rows.shape[1]):
             _add_rows(sums, some[:, f], x[: len(some)])
     out += sums

@@ -137,3 +137,23 @@ def test_places_and_class_probabilities_without_a_search_or_an_exponential_per_t
     assert np.allclose(model.class_shares(features, factors), model.class_shares(features, None), rtol=1e-4, atol=1e-9)
     model.class_weights[5, 5] = 90  # a product could overflow
     assert model.factors() is None and np.isfinite(model.class_logs(features, klass, None)).all()
+
+
+def test_row_sums_like_one_by_one():
+    some = np.random.default_rng(3)
+    for times in ([], [1], [1, 2, 3, 2, 1], [maxent.REPEATS + 1, 1, maxent.REPEATS, 2, 5 * maxent.REPEATS]):
+        rows = some.permutation(np.repeat(some.permutation(maxent.ROWS)[: len(times)], times))
+        values = some.random((len(rows), 3))
+        out = np.ones((maxent.ROWS, 3))
+        expected = out.copy()
+        np.add.at(expected, rows, values)
+        maxent._add_rows(out, rows, values)
+        assert np.allclose(out, expected, rtol=1e-12)
+
+
+def test_shares_for_contexts_found_more_than_once():
+    x = np.random.default_rng(4).random((5, maxent.OUTPUTS)).astype(np.float32)
+    n = np.array([1, 2, 3, 1, 40], np.float32)
+    shares = maxent._softmax(x.copy(), n)
+    assert shares.dtype == np.float32 and np.allclose(shares.sum(1), n, rtol=1e-5)
+    assert np.allclose(shares, maxent._softmax(x.copy()) * n[:, None], rtol=1e-5)
