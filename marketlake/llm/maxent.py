@@ -250,7 +250,7 @@ def _add_rows(out: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
     """``out[rows] += values`` with repeated rows: frequent ones are summed each, the others in a few passes."""
     order = np.argsort(rows.astype(np.uint16), kind="stable")  # ROWS fit, and 16 bits are sorted by digits
     ranked = rows[order]
-    first = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
+    first = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))[: len(rows)]
     count = np.diff(np.append(first, len(rows)))
     frequent = count > REPEATS
     for at, n in zip(first[frequent].tolist(), count[frequent].tolist()):
